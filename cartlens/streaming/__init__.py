@@ -1,0 +1 @@
+"""cartlens.streaming"""
