@@ -35,7 +35,7 @@ def parse_boolean(c, name: str = "value") -> Column:
 def parse_integer(c, name: str = "value") -> Column:
     """Nullable integer: ``1.0`` -> 1; ``1.5`` or text raises."""
     c = _col(c)
-    d = F.try_cast(c, "double")
+    d = c.try_cast("double")
     ok = d.isNotNull() & (d == F.floor(d))
     return (F.when(c.isNull(), F.lit(None).cast("long"))
             .when(ok, d.cast("long"))
@@ -46,7 +46,7 @@ def parse_integer(c, name: str = "value") -> Column:
 def parse_double(c, name: str = "value") -> Column:
     """Nullable float; text raises."""
     c = _col(c)
-    d = F.try_cast(c, "double")
+    d = c.try_cast("double")
     return (F.when(c.isNull() | d.isNotNull(), d)
             .otherwise(F.raise_error(F.concat(F.lit(f"invalid number in {name}: "), c))
                        .cast("double")))

@@ -49,9 +49,17 @@ def parse_list_string(c, has_brackets: bool = True, sep: str = ",") -> Column:
 
 
 def is_invalid_json(c) -> Column:
-    """True for a non-null string that does not parse as JSON."""
+    """True for a non-null string that is not one complete JSON document.
+
+    Spark's parser stops after the first value and ignores what follows
+    (``'"k": 1}'`` parses as ``"k"``). Wrapping the text in ``[...]`` makes
+    trailing content a syntax error, and the array must hold one element
+    (which also rejects the empty string and ``'1, 2'``).
+    """
     c = _col(c)
-    return c.isNotNull() & F.try_parse_json(c).isNull()
+    wrapped = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    n = F.array_size(F.try_variant_get(wrapped, "$", "array<variant>"))
+    return c.isNotNull() & ~F.coalesce(n == 1, F.lit(False))
 
 
 def canonical_sex(c) -> Column:

@@ -1 +1,107 @@
-"""Registered queries."""
+"""Registered queries for scans, typed parsing and table profiles (A)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+
+from cartlens.catalog import register
+from cartlens.functions import parse as ps
+from cartlens.oracles.views import in_list, sql
+from cartlens.operators import quality as dq
+from cartlens.plans.etl import shop_raw
+from cartlens.schema import FALSE_TOKENS, NA_TOKENS, TRUE_TOKENS
+from cartlens.sources import shop_tables as st
+
+_TOKENS_CTE = "raw_tokens"
+
+
+def _tokens_sql() -> str:
+    na = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS + ["NA"])
+    bools = ", ".join(f"'{t}'" for t in ["True", "TRUE", "true", "1", "1.0",
+                                          "False", "FALSE", "false", "0", "0.0"])
+    return f"""
+WITH raw_tokens AS (
+SELECT event_id,
+       CASE WHEN event_id % 3 = 0 THEN ([{na}])[CAST(event_id % {len(NA_TOKENS) + 1} AS INTEGER) + 1]
+            ELSE event_type END AS raw_text,
+       CASE WHEN event_id % 17 = 0 THEN NULL ELSE ([{bools}])[CAST(event_id % 10 AS INTEGER) + 1] END AS raw_bool,
+       CASE WHEN event_id % 19 = 0 THEN NULL
+            ELSE CAST(user_id % 50 AS VARCHAR) || CASE WHEN event_id % 2 = 0 THEN '.0' ELSE '' END END AS raw_int,
+       CASE WHEN event_id % 23 = 0 THEN NULL ELSE printf('%.2f', value) END AS raw_double,
+       CASE WHEN event_id % 7 = 0 THEN 'not a date'
+            WHEN event_id % 7 = 1 THEN strftime(ts, '%Y-%m-%d')
+            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS raw_ts
+FROM events)"""
+
+
+def _with_tokens(body: str) -> str:
+    return _tokens_sql().strip() + "\n" + body.strip()
+
+
+@register("na_tokens", _with_tokens(f"""
+SELECT event_id, raw_text, CASE WHEN raw_text IN {in_list(NA_TOKENS)} THEN NULL ELSE raw_text END AS value
+FROM raw_tokens"""))
+def q_na_tokens(spark, sf):
+    t = st.raw_tokens(spark, sf)
+    return t.select("event_id", "raw_text", ps.na_to_null("raw_text").alias("value"))
+
+
+@register("parse_boolean", _with_tokens(f"""
+SELECT event_id, raw_bool, CASE WHEN raw_bool IN {in_list(TRUE_TOKENS)} THEN true
+                                WHEN raw_bool IN {in_list(FALSE_TOKENS)} THEN false END AS value
+FROM raw_tokens"""))
+def q_parse_boolean(spark, sf):
+    t = st.raw_tokens(spark, sf)
+    return t.select("event_id", "raw_bool", ps.parse_boolean("raw_bool", "raw_bool").alias("value"))
+
+
+@register("parse_integer", _with_tokens("""
+SELECT event_id, raw_int, CAST(CAST(raw_int AS DOUBLE) AS BIGINT) AS value FROM raw_tokens"""))
+def q_parse_integer(spark, sf):
+    t = st.raw_tokens(spark, sf)
+    return t.select("event_id", "raw_int", ps.parse_integer("raw_int", "raw_int").alias("value"))
+
+
+@register("parse_double", _with_tokens("""
+SELECT event_id, raw_double, CAST(raw_double AS DOUBLE) AS value FROM raw_tokens"""))
+def q_parse_double(spark, sf):
+    t = st.raw_tokens(spark, sf)
+    return t.select("event_id", "raw_double", ps.parse_double("raw_double", "raw_double").alias("value"))
+
+
+@register("parse_ts_coerce", _with_tokens("""
+SELECT event_id, raw_ts, TRY_CAST(raw_ts AS TIMESTAMP) AS value FROM raw_tokens"""))
+def q_parse_ts_coerce(spark, sf):
+    t = st.raw_tokens(spark, sf)
+    return t.select("event_id", "raw_ts", ps.parse_ts_coerce("raw_ts").alias("value"))
+
+
+@register("distinct_values", sql("""
+SELECT status, count(*) AS num_rows FROM raw_cards GROUP BY status""", "raw_cards"))
+def q_distinct_values(spark, sf):
+    return dq.distinct_values(st.raw_cards(spark, sf), "status")
+
+
+_PROFILED = ["users", "profiles", "cards", "orders", "order_details", "reviews", "reviews_labelled"]
+_PROFILE_CTE = {"users": "raw_users", "profiles": "raw_profiles", "cards": "raw_cards",
+                "orders": "raw_orders", "order_details": "raw_details", "reviews": "raw_reviews",
+                "reviews_labelled": "raw_labelled"}
+
+
+# Declared column counts of the raw entities (see sources.shop_tables).
+_RAW_WIDTH = {"users": 6, "profiles": 6, "cards": 6, "orders": 5, "order_details": 6,
+              "reviews": 3, "reviews_labelled": 3}
+
+
+def _profile_sql() -> str:
+    parts = [f"SELECT '{n}' AS table_name, count(*) AS num_rows, "
+             f"CAST({_RAW_WIDTH[n]} AS INTEGER) AS num_columns FROM {_PROFILE_CTE[n]}" for n in _PROFILED]
+    return sql("\nUNION ALL\n".join(parts), *_PROFILE_CTE.values())
+
+
+@register("table_profile", _profile_sql())
+def q_table_profile(spark, sf):
+    raw = shop_raw(spark, sf)
+    return reduce(lambda a, b: a.unionByName(b), [dq.table_profile(raw[n], n) for n in _PROFILED])
+
