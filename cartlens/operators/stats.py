@@ -83,3 +83,31 @@ def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
     value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
     return per_prob.agg(F.array_sort(F.collect_list(F.struct("i", value.alias("x")))).alias("qs")) \
         .select(F.transform("qs", lambda s: s["x"]).alias("q"))
+
+
+def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],
+                   buckets: int = 1024) -> DataFrame:
+    """Add ``<c>_before``: the sum of ``c`` over all rows with a smaller
+    ``order_col`` (exclusive prefix sum in global order), for each ``c``.
+
+    ``order_col`` should be unique (aggregate ties first). A global running
+    sum would put every row in one window task; instead rows are split into
+    ``buckets`` equi-depth ranges from a sketch, bucket totals (at most
+    ``buckets`` rows) give each range its offset, and the running sum runs
+    per range in parallel.
+    """
+    from pyspark.sql import Window
+    grid = [i / buckets for i in range(1, buckets)]
+    bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), grid, 10 * buckets).alias("_bounds"))
+    tagged = (with_scalars(df, bounds)
+              .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(order_col))))
+              .drop("_bounds"))
+    totals = tagged.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    w_all = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_all), F.lit(0)).alias(f"_o_{c}")
+                                         for c in sum_cols])
+    w = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    out = tagged.join(F.broadcast(offsets), "_bucket")
+    for c in sum_cols:
+        out = out.withColumn(f"{c}_before", F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(w), F.lit(0)))
+    return out.drop("_bucket", *[f"_o_{c}" for c in sum_cols])

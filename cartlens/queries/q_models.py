@@ -1 +1,291 @@
-"""Registered queries."""
+"""Registered queries for features, metrics, text features and models (I, J, K).
+
+Model fits (logistic regression, random forest) have no SQL twin: their keys
+are checked on rows only. Everything around them (imputation, scaling,
+one-hot, split, AUC, reports, TF-IDF) is SQL-checked.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cartlens.catalog import register
+from cartlens.oracles.views import sql, strip
+from cartlens.operators import campaign, features
+from cartlens.operators import sentiment as sn
+from cartlens.operators.features import threshold_hex
+from cartlens.plans import campaign as camp_plan
+from cartlens.plans import sentiment as sent_plan
+from cartlens.plans.etl import shop_clean
+from cartlens.queries.q_analytics import _features
+from cartlens.queries.q_text import sql_normalize_ws, sql_review_clean
+from cartlens.schema import CHURN_NUMERIC, CHURN_TEST_FRACTION, SEED, SENTIMENT_TEST_FRACTION
+from cartlens.sources import shop_tables as st
+
+NUM = CHURN_NUMERIC
+CAT = ["source", "language", "sex", "level", "main_city"]
+
+
+def _num_sql(fn) -> str:
+    return ", ".join(fn(c) for c in NUM)
+
+
+# ------------------------------------------------------------ I: features
+
+@register("impute_median", sql(f"""
+SELECT user_uid, {_num_sql(lambda c: f'coalesce(CAST({c} AS DOUBLE), median(CAST({c} AS DOUBLE)) OVER ()) AS {c}')}
+FROM churn_features""", "churn_features"))
+def q_impute_median(spark, sf):
+    f = _features(spark, sf).select("user_uid", *NUM)
+    return features.impute_median(f, NUM)
+
+
+def _std_sql(c: str) -> str:
+    x = f"coalesce(CAST({c} AS DOUBLE), median(CAST({c} AS DOUBLE)) OVER ())"
+    return x
+
+
+@register("standardize", sql(f"""
+WITH imp AS (SELECT user_uid, {_num_sql(lambda c: f'{_std_sql(c)} AS {c}')} FROM churn_features)
+SELECT user_uid, {_num_sql(lambda c: f'''round(({c} - avg({c}) OVER ()) /
+  CASE WHEN stddev_pop({c}) OVER () IS NULL OR stddev_pop({c}) OVER () = 0 THEN 1.0
+       ELSE stddev_pop({c}) OVER () END, 6) AS {c}''')}
+FROM imp""", "churn_features"))
+def q_standardize(spark, sf):
+    f = _features(spark, sf).select("user_uid", *NUM)
+    s = features.standardize(features.impute_median(f, NUM), NUM)
+    return s.select("user_uid", *[F.round(c, 6).alias(c) for c in NUM])
+
+
+@register("one_hot", sql("\nUNION ALL\n".join(
+    f"SELECT user_uid, '{c}' AS feature, coalesce(CAST({c} AS VARCHAR), 'Missing') AS level, "
+    f"'{c}_' || coalesce(CAST({c} AS VARCHAR), 'Missing') AS dummy FROM churn_features" for c in CAT),
+    "churn_features"))
+def q_one_hot(spark, sf):
+    return features.one_hot_long(_features(spark, sf), "user_uid", CAT)
+
+
+@register("stratified_split", sql(f"""
+SELECT user_uid, churned,
+       substr(md5(CAST(user_uid AS VARCHAR) || ':{SEED}'), 1, 8) < '{threshold_hex(CHURN_TEST_FRACTION)}' AS is_test
+FROM churn_features""", "churn_features"))
+def q_stratified_split(spark, sf):
+    f = _features(spark, sf).select("user_uid", "churned")
+    return features.split_flag(f, "user_uid", CHURN_TEST_FRACTION, SEED)
+
+
+_INACTIVE = "tenure_days - date_sub('day', first_order_date, last_order_before_T0)"
+
+
+def _inactive_days():
+    return F.col("tenure_days") - F.timestamp_diff("DAY", F.col("first_order_date"), F.col("last_order_before_T0"))
+
+
+def _auc_sql(score: str, name: str) -> str:
+    return f"""
+SELECT '{name}' AS score_name, round(sum(pos * (CAST(nb AS DOUBLE) + neg * CAST(0.5 AS DOUBLE)))
+                               / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 9) AS auc
+FROM (SELECT s, pos, neg,
+             coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb
+      FROM (SELECT CAST({score} AS DOUBLE) AS s, count(*) FILTER (WHERE churned = 1) AS pos,
+                   count(*) FILTER (WHERE churned <> 1) AS neg
+            FROM churn_features WHERE {score} IS NOT NULL GROUP BY 1))"""
+
+
+@register("roc_auc", sql(_auc_sql(_INACTIVE, "inactive_days") + "\nUNION ALL\n" + _auc_sql("freq_total", "freq_total"),
+                         "churn_features"))
+def q_roc_auc(spark, sf):
+    f = _features(spark, sf).withColumn("inactive_days", _inactive_days())
+    parts = [features.roc_auc(f, "churned", s).select(F.lit(s).alias("score_name"), F.round("auc", 9).alias("auc"))
+             for s in ("inactive_days", "freq_total")]
+    return parts[0].unionByName(parts[1])
+
+
+_RULE_PRED = "CASE WHEN orders_last_30d = 0 THEN 1 ELSE 0 END"
+
+
+def _rule_pred(df):
+    return df.withColumn("prediction", F.when(F.col("orders_last_30d") == 0, 1).otherwise(0))
+
+
+@register("classification_report", sql(f"""
+WITH p AS (SELECT CAST(churned AS VARCHAR) AS label, CAST({_RULE_PRED} AS VARCHAR) AS pred FROM churn_features),
+cls AS (SELECT label AS cls FROM p UNION SELECT pred FROM p),
+per AS (SELECT c.cls,
+               (SELECT count(*) FROM p WHERE label = c.cls) AS support,
+               (SELECT count(*) FROM p WHERE pred = c.cls) AS predicted,
+               (SELECT count(*) FROM p WHERE label = c.cls AND pred = c.cls) AS tp FROM cls c),
+m AS (SELECT cls, support, tp,
+             CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+             CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
+m2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                      ELSE 0.0 END AS f1 FROM m)
+SELECT cls AS class_name, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       support FROM m2
+UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM m2
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+                 CAST(sum(support) AS BIGINT) FROM m2
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+                 round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+                 CAST(sum(support) AS BIGINT) FROM m2""", "churn_features"))
+def q_classification_report(spark, sf):
+    return features.classification_report(_rule_pred(_features(spark, sf)), "churned", "prediction")
+
+
+@register("confusion_matrix", sql(f"""
+SELECT CAST(churned AS VARCHAR) AS label,
+       count(*) FILTER (WHERE {_RULE_PRED} = 0) AS pred_0, count(*) FILTER (WHERE {_RULE_PRED} = 1) AS pred_1
+FROM churn_features GROUP BY churned""", "churn_features"))
+def q_confusion_matrix(spark, sf):
+    return features.confusion_matrix(_rule_pred(_features(spark, sf)), "churned", "prediction", ["0", "1"])
+
+
+# ------------------------------------------------------------------ J: text
+
+_LAB = f"""
+WITH lab AS (
+  SELECT id, text, sentiment_label,
+         substr(md5(CAST(id AS VARCHAR) || ':{SEED}'), 1, 8) < '{threshold_hex(SENTIMENT_TEST_FRACTION)}' AS is_test
+  FROM (SELECT labelled_review_uid AS id, {sql_review_clean(sql_normalize_ws('text'))} AS text,
+               lower({strip('sentiment_label')}) AS sentiment_label FROM raw_labelled)
+  WHERE length(text) > 3),
+tk AS (SELECT id, is_test, regexp_extract_all(lower(text), '\\b\\w\\w+\\b') AS t FROM lab),
+counts AS (SELECT id, is_test, term, count(*) AS tf FROM (
+  SELECT id, is_test, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term
+  FROM tk) GROUP BY id, is_test, term),
+ntrain AS (SELECT count(*) AS n FROM lab WHERE NOT is_test),
+vocab AS (SELECT term, df, ln((1 + n) / (1 + df)) + 1 AS idf
+          FROM (SELECT term, count(*) AS df FROM counts WHERE NOT is_test GROUP BY term), ntrain
+          WHERE df >= 2 AND df <= n * CAST(0.95 AS DOUBLE))
+"""
+
+
+def _lab_sql(body: str) -> str:
+    return sql(_LAB + body, "raw_labelled")
+
+
+def _docs(spark, sf):
+    return sent_plan.labelled_docs(st.raw_reviews_labelled(spark, sf))
+
+
+@register("tokenize", _lab_sql("""
+SELECT id, len(t) AS num_tokens, array_to_string(t, ' ') AS tokens FROM tk"""))
+def q_tokenize(spark, sf):
+    d = _docs(spark, sf)
+    t = sn.tokens(F.col("text"))
+    return d.select("id", F.size(t).alias("num_tokens"), F.array_join(t, " ").alias("tokens"))
+
+
+@register("ngrams_1_2", _lab_sql("SELECT id, term, tf FROM counts"))
+def q_ngrams(spark, sf):
+    return sn.term_counts(_docs(spark, sf), "id", "text")
+
+
+@register("vocabulary", _lab_sql("SELECT term, df, round(idf, 9) AS idf FROM vocab"))
+def q_vocabulary(spark, sf):
+    tf = sent_plan.fit_text_features(_docs(spark, sf))
+    return tf.vocab.select("term", "df", F.round("idf", 9).alias("idf"))
+
+
+@register("tfidf", _lab_sql("""
+SELECT id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)), 9) AS weight
+FROM (SELECT c.id, c.term, (1 + ln(c.tf)) * v.idf AS raw FROM counts c JOIN vocab v ON c.term = v.term)"""))
+def q_tfidf(spark, sf):
+    d = _docs(spark, sf)
+    tf = sent_plan.fit_text_features(d)
+    w = sn.tfidf(sn.term_counts(d, "id", "text"), tf.vocab, "id")
+    return w.select("id", "term", F.round("weight", 9).alias("weight"))
+
+
+@register("term_index", _lab_sql("""
+SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM vocab"""))
+def q_term_index(spark, sf):
+    return sent_plan.fit_text_features(_docs(spark, sf)).index
+
+
+@register("class_weights", _lab_sql("""
+SELECT sentiment_label, round(n / (k * n_c), 9) AS weight
+FROM (SELECT sentiment_label, count(*) AS n_c FROM lab WHERE NOT is_test GROUP BY sentiment_label),
+     (SELECT count(*) AS n, count(DISTINCT sentiment_label) AS k FROM lab WHERE NOT is_test)"""))
+def q_class_weights(spark, sf):
+    d = _docs(spark, sf).where(~F.col("is_test"))
+    return sn.class_weights(d, "sentiment_label").select("sentiment_label", F.round("weight", 9).alias("weight"))
+
+
+@register("sentiment_lr")
+def q_sentiment_lr(spark, sf):
+    """Hold-out predictions of the class-weighted multinomial model."""
+    return sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf)).test_predictions
+
+
+@register("sentiment_confusion_matrix")
+def q_sentiment_confusion(spark, sf):
+    """Confusion matrix of the sentiment model on the hold-out part."""
+    return sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf)).confusion
+
+
+@register("sentiment_report")
+def q_sentiment_report(spark, sf):
+    """Classification report of the sentiment model."""
+    return sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf)).report
+
+
+@register("sentiment_scored")
+def q_sentiment_scored(spark, sf):
+    """Every review with its predicted sentiment."""
+    res = sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf))
+    return sent_plan.score_reviews(st.raw_reviews(spark, sf), res)
+
+
+# ---------------------------------------------------------- I/K: models
+
+def _churn_data(spark, sf):
+    return camp_plan.churn_data(shop_clean(spark, sf), user_columns=["user_uid", "source", "language"])
+
+
+@register("churn_lr")
+def q_churn_lr(spark, sf):
+    """Logistic regression hold-out scores."""
+    return camp_plan.evaluate(_churn_data(spark, sf), "lr")[0]
+
+
+@register("churn_rf")
+def q_churn_rf(spark, sf):
+    """Random forest hold-out scores."""
+    return camp_plan.evaluate(_churn_data(spark, sf), "rf")[0]
+
+
+@register("model_comparison")
+def q_model_comparison(spark, sf):
+    """Hold-out AUC of both models."""
+    data = _churn_data(spark, sf)
+    return camp_plan.evaluate(data, "lr")[1].unionByName(camp_plan.evaluate(data, "rf")[1])
+
+
+_RULE_PROBA_SQL = "1.0 / (1.0 + exp(-(tenure_days / (30.0 * freq_total) - 1.0)))"
+
+
+def _rule_proba():
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("tenure_days") / (F.lit(30.0) * F.col("freq_total"))
+                                               - F.lit(1.0))))
+
+
+@register("campaign_targets", sql(f"""
+WITH s AS (SELECT *, {_RULE_PROBA_SQL} AS churn_proba FROM churn_features)
+SELECT user_uid, round(churn_proba, 9) AS churn_proba, monetary_total, freq_total, tenure_days, orders_last_30d,
+       main_city, sex, level, source
+FROM s WHERE churn_proba >= 0.65 AND monetary_total >= (SELECT quantile_cont(monetary_total, 0.5) FROM s)""",
+                                  "churn_features"))
+def q_campaign_targets(spark, sf):
+    """K2-K4 with a fixed, documented score in place of the model probability
+    (mean gap between orders relative to a month, through a logistic)."""
+    scored = _features(spark, sf).withColumn("churn_proba", _rule_proba())
+    t = campaign.select_targets(scored, "churn_proba")
+    return t.withColumn("churn_proba", F.round("churn_proba", 9))
+
+
+@register("campaign_end_to_end")
+def q_campaign_end_to_end(spark, sf):
+    """K5: model-scored campaign target list."""
+    return camp_plan.run_campaign(shop_clean(spark, sf), evaluate_holdout=False)["targets"]
+
