@@ -254,20 +254,20 @@ def q_rfm_base(spark, sf):
     return rfm.rfm_base(_order_kpi(spark, sf))
 
 
-@register("rfm_breaks", sql("""
-SELECT recency_breaks[1] AS r20, recency_breaks[2] AS r40, recency_breaks[3] AS r60, recency_breaks[4] AS r80,
-       frequency_breaks[1] AS f20, frequency_breaks[2] AS f40, frequency_breaks[3] AS f60, frequency_breaks[4] AS f80,
-       round(monetary_breaks[1], 6) AS m20, round(monetary_breaks[2], 6) AS m40,
-       round(monetary_breaks[3], 6) AS m60, round(monetary_breaks[4], 6) AS m80
+_BREAK_COLS = ",\n       ".join(f"round({src}_breaks[{i + 1}], 6) AS {src[0]}{q}"
+                                for src in ("recency", "frequency", "monetary")
+                                for i, q in enumerate((20, 40, 60, 80)))
+
+
+@register("rfm_breaks", sql(f"""
+SELECT {_BREAK_COLS}
 FROM rfm_breaks""", "rfm_breaks"))
 def q_rfm_breaks(spark, sf):
     b = rfm.rfm_breaks(rfm.rfm_base(_order_kpi(spark, sf)))
     cols = []
-    for src, p, rnd in (("recency_breaks", "r", False), ("frequency_breaks", "f", False),
-                        ("monetary_breaks", "m", True)):
+    for src in ("recency", "frequency", "monetary"):
         for i, q in enumerate((20, 40, 60, 80)):
-            c = F.col(src)[i]
-            cols.append((F.round(c, 6) if rnd else c).alias(f"{p}{q}"))
+            cols.append(F.round(F.col(f"{src}_breaks")[i], 6).alias(f"{src[0]}{q}"))
     return b.select(*cols)
 
 
