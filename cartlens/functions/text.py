@@ -6,10 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cartlens.schema import (REPEATED_PUNCT, REVIEW_KEEP_CLASS, SEX_FEMALE_TOKENS,
-                             SEX_MALE_TOKENS, TAG_PATTERN, URL_PATTERN, WS, WS_CLASS)
+                             SEX_MALE_TOKENS, TAG_PATTERN, URL_PATTERN, WS, WS_CHARS, WS_CLASS)
 
 # Java regexes: (?d) makes "." stop only at "\n", as in Python.
-_EDGE_WS = f"^{WS}+|{WS}+$"
 
 
 def _col(c) -> Column:
@@ -17,8 +16,12 @@ def _col(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Strip Unicode whitespace at both ends (``F.trim`` only strips spaces)."""
-    return F.regexp_replace(_col(c), _EDGE_WS, "")
+    """Strip Unicode whitespace at both ends (``F.trim`` only strips spaces).
+
+    ``btrim`` with the explicit character set is a native scan of both ends,
+    several times cheaper than an anchored regular expression.
+    """
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def clean_str(c, case: str | None = None) -> Column:
@@ -90,8 +93,10 @@ def clean_review_text(c) -> Column:
     t = F.lower(F.coalesce(_col(c), F.lit("")))
     t = F.regexp_replace(t, "(?d)" + URL_PATTERN.replace(r"\S", f"[^{WS_CLASS}]"), "")
     t = F.regexp_replace(t, "(?d)" + TAG_PATTERN, "")
-    t = F.regexp_replace(t, f"[^{REVIEW_KEEP_CLASS}{WS_CLASS}]", " ")
-    t = strip(F.regexp_replace(t, f"{WS}+", " "))
+    # "Other characters -> space, then whitespace runs -> one space, strip"
+    # in one pass: every run of characters outside the kept set (whitespace
+    # included) becomes one space. Same output, one ASCII-class scan.
+    t = F.btrim(F.regexp_replace(t, f"[^{REVIEW_KEEP_CLASS}]+", " "), F.lit(" "))
     return F.regexp_replace(t, "([" + REPEATED_PUNCT + r"])\1+", "$1")
 
 

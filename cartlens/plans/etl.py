@@ -68,35 +68,57 @@ def clean_reviews_labelled(raw: DataFrame) -> DataFrame:
             .withColumn("sentiment_label", normalize_label("sentiment_label")))
 
 
-def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Clean all entities present in ``raw`` in dependency order."""
-    out: dict[str, DataFrame] = {}
-    users = out["users"] = clean_users(raw["users"])
-    if "profiles" in raw:
-        out["profiles"] = clean_profiles(raw["profiles"], users)
-    if "cards" in raw:
-        out["cards"] = clean_cards(raw["cards"], users)
-    orders = out["orders"] = clean_orders(raw["orders"], users)
-    if "order_details" in raw:
-        out["order_details"] = clean_order_details(raw["order_details"], orders)
-    if "reviews" in raw:
-        out["reviews"] = clean_reviews(raw["reviews"])
-    if "reviews_labelled" in raw:
-        out["reviews_labelled"] = clean_reviews_labelled(raw["reviews_labelled"])
-    return out
+class _Tables(dict):
+    """Entity name -> DataFrame, built on first access (in dependency order)."""
+
+    def __init__(self, builders):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name):
+        df = self._builders[name](self)
+        self[name] = df
+        return df
+
+    def __contains__(self, name):
+        return name in self._builders
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(n, self[n]) for n in self._builders]
+
+
+def clean_tables(raw) -> dict[str, DataFrame]:
+    """Clean entities of ``raw`` (a dict or a lazy table map) in dependency order.
+
+    The result is lazy: an entity and its dependencies are built when first
+    used, so a query touching two entities plans only those.
+    """
+    b = {
+        "users": lambda t: clean_users(raw["users"]),
+        "profiles": lambda t: clean_profiles(raw["profiles"], t["users"]),
+        "cards": lambda t: clean_cards(raw["cards"], t["users"]),
+        "orders": lambda t: clean_orders(raw["orders"], t["users"]),
+        "order_details": lambda t: clean_order_details(raw["order_details"], t["orders"]),
+        "reviews": lambda t: clean_reviews(raw["reviews"]),
+        "reviews_labelled": lambda t: clean_reviews_labelled(raw["reviews_labelled"]),
+    }
+    return _Tables({k: v for k, v in b.items() if k in raw})
 
 
 def shop_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Raw shop entities over the supplied test tables."""
-    return {
-        "users": st.raw_users(spark, sf_dir),
-        "profiles": st.raw_profiles(spark, sf_dir),
-        "cards": st.raw_cards(spark, sf_dir),
-        "orders": st.raw_orders(spark, sf_dir),
-        "order_details": st.raw_order_details(spark, sf_dir),
-        "reviews": st.raw_reviews(spark, sf_dir),
-        "reviews_labelled": st.raw_reviews_labelled(spark, sf_dir),
-    }
+    """Raw shop entities over the supplied test tables (built on first access)."""
+    return _Tables({
+        "users": lambda t: st.raw_users(spark, sf_dir),
+        "profiles": lambda t: st.raw_profiles(spark, sf_dir),
+        "cards": lambda t: st.raw_cards(spark, sf_dir),
+        "orders": lambda t: st.raw_orders(spark, sf_dir),
+        "order_details": lambda t: st.raw_order_details(spark, sf_dir),
+        "reviews": lambda t: st.raw_reviews(spark, sf_dir),
+        "reviews_labelled": lambda t: st.raw_reviews_labelled(spark, sf_dir),
+    })
 
 
 def shop_clean(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

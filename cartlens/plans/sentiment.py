@@ -37,19 +37,26 @@ class TextFeatures:
     n_train: DataFrame    # one row: n
 
 
-def fit_text_features(docs: DataFrame) -> TextFeatures:
-    train = docs.where(~F.col("is_test"))
-    counts = sn.term_counts(train, "id", "text")
-    n_train = train.agg(F.count(F.lit(1)).alias("n"))
-    vocab = sn.vocabulary(counts, n_train)
+def doc_counts(docs: DataFrame) -> DataFrame:
+    """(id, is_test, term, tf) for every document, computed once and shared by
+    vocabulary fitting and weighting."""
+    return sn.term_counts(docs, "id", "text", carry=["is_test"])
+
+
+def fit_text_features(docs: DataFrame, counts: DataFrame | None = None) -> TextFeatures:
+    counts = counts if counts is not None else doc_counts(docs)
+    n_train = docs.where(~F.col("is_test")).agg(F.count(F.lit(1)).alias("n"))
+    vocab = sn.vocabulary(counts.where(~F.col("is_test")), n_train)
     index = sn.dense_index(vocab, "term")
     size = index.agg(F.count(F.lit(1)).cast("int").alias("vocab_size"))
     return TextFeatures(vocab, index, size, n_train)
 
 
-def vectorize(docs: DataFrame, tf: TextFeatures, doc: str = "id") -> DataFrame:
+def vectorize(docs: DataFrame, tf: TextFeatures, doc: str = "id",
+              counts: DataFrame | None = None) -> DataFrame:
     """Documents -> ``features`` sparse vectors (empty vector when no term is known)."""
-    weights = sn.tfidf(sn.term_counts(docs, doc, "text"), tf.vocab, doc)
+    counts = counts if counts is not None else sn.term_counts(docs, doc, "text")
+    weights = sn.tfidf(counts.select(doc, "term", "tf"), tf.vocab, doc)
     vecs = sn.doc_vectors(weights, tf.index, doc, tf.size)
     j = docs.join(vecs.drop("vocab_size"), doc, "left").crossJoin(F.broadcast(tf.size))
     empty = F.array().cast("array<int>")
@@ -77,8 +84,9 @@ class SentimentResult:
 
 def train_sentiment(raw_labelled: DataFrame) -> SentimentResult:
     docs = cut_lineage(labelled_docs(raw_labelled))
-    tf = fit_text_features(docs)
-    data = vectorize(docs, tf).withColumn("label", label_index())
+    counts = cut_lineage(doc_counts(docs))
+    tf = fit_text_features(docs, counts)
+    data = vectorize(docs, tf, counts=counts).withColumn("label", label_index())
     train = data.where(~F.col("is_test"))
     weights = sn.class_weights(train, "sentiment_label")
     train = train.join(F.broadcast(weights), "sentiment_label")   # one row per class

@@ -39,6 +39,10 @@ SEX_FEMALE_TOKENS = ["F", "FEMMINA", "DONNA"]
 
 # Unicode whitespace as Python's str.isspace() defines it. Written once so the
 # Java (Spark) and RE2 (DuckDB oracle) patterns are the same text.
+WS_CODEPOINTS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+                 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009,
+                 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+WS_CHARS = "".join(chr(c) for c in WS_CODEPOINTS)
 WS_CLASS = (r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 WS = f"[{WS_CLASS}]"
@@ -140,7 +144,6 @@ ENTITY_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
         ("product.durationHours", "product_duration_hours", "double"),
         ("item.profiles", "item_profiles", "string"), ("item.variantName", "item_variant_name", "string"),
         ("item.slotName", "item_slot_name", "string"),
-        ("item.snowitcardNumber", "item_card_number", "string"),
     ],
     "reviews": [
         ("review.uid", "review_uid", "string"), ("user.uid", "user_uid", "string"),

@@ -19,7 +19,19 @@ ORPHAN_OFFSET = 100_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan one supplied table.
+
+    A file written as a single row group cannot be split, so its scan is one
+    task and every per-row step before the first shuffle would run on one
+    core. When the scan has fewer splits than the cluster's default
+    parallelism (judged from the file index, without planning a job) it is
+    spread round-robin; on large inputs (thousands of files) this is a no-op. Column pruning and filters still reach the scan.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < want:
+        df = df.repartition(want)
+    return df
 
 
 def _days_after(day: str, n: Column) -> Column:

@@ -65,3 +65,10 @@ def test_review_cleaning(spark):
 def test_json_validity(spark):
     out = col_values(spark, ['{"a": 1}', '"k": 1}', "", "1, 2", None, "[1]"], is_invalid_json)
     assert out == [False, True, True, True, False, False]
+
+
+def test_whitespace_set_matches_python_isspace(spark):
+    from cartlens.schema import WS_CHARS
+    assert WS_CHARS == "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+    s = "\u3000\xa0 a b \x1c"
+    assert col_values(spark, [s], lambda c: clean_str(c)) == [s.strip()]
