@@ -75,7 +75,7 @@ def read_typed_csv(spark: SparkSession, path: str, entity: str, ts_format: str |
 def write_csv(df: DataFrame, path: str, headers: dict[str, str] | None = None) -> None:
     """A10 (and test fixtures): header CSV, columns renamed to ``headers``."""
     headers = headers or {}
-    out = df.select(*[F.col(c).alias(headers.get(c, c)) for c in df.columns])
+    out = df.select(*[F.col(f"`{c}`").alias(headers.get(c, c)) for c in df.columns])
     (out.write.mode("overwrite")
      .options(header="true", escape='"', quoteAll="true",
               timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
