@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.operators.stats import ordered_prefix, with_scalars
+from cartlens.operators.stats import distributed_quantiles, ordered_prefix, with_scalars
 from cartlens.schema import MISSING_LEVEL
 
 
@@ -25,11 +25,20 @@ def as_float(df: DataFrame, cols: list[str]) -> DataFrame:
                        if c in cols else F.col(c) for c in df.columns])
 
 
-def impute_median(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Replace nulls by the column median (exact, over all rows)."""
+def impute_median(df: DataFrame, cols: list[str], unbounded: list[str] | None = None) -> DataFrame:
+    """Replace nulls by the column median (exact, over all rows).
+
+    Columns listed in ``unbounded`` (about one distinct value per row, such as
+    money) use the bucketed exact quantile; the others Spark's ``median``,
+    whose final merge holds one entry per distinct value.
+    """
+    unbounded = [c for c in (unbounded or []) if c in cols]
     df = as_float(df, cols)
-    med = df.agg(*[F.median(c).alias(f"_med_{c}") for c in cols])
-    out = with_scalars(df, med)
+    med = df.agg(*[F.median(c).alias(f"_med_{c}") for c in cols if c not in unbounded] or
+                 [F.lit(0).alias("_none")])
+    for c in unbounded:
+        med = med.crossJoin(distributed_quantiles(df, c, [0.5]).select(F.col("q")[0].alias(f"_med_{c}")))
+    out = with_scalars(df, med.drop("_none") if "_none" in med.columns else med)
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}")))
     return out.drop(*[f"_med_{c}" for c in cols])
@@ -65,9 +74,13 @@ def one_hot_long(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
                     F.concat(F.col("_p.feature"), F.lit("_"), F.col("_p.level")).alias("dummy")))
 
 
+MONEY_FEATURES = ["monetary_total", "avg_order_value"]
+
+
 def prepare_design(df: DataFrame, num_cols: list[str], cat_cols: list[str]) -> DataFrame:
     """Imputed + standardised numerics, categoricals with ``Missing``."""
-    return fill_missing_level(standardize(impute_median(df, num_cols), num_cols), cat_cols)
+    imputed = impute_median(df, num_cols, unbounded=MONEY_FEATURES)
+    return fill_missing_level(standardize(imputed, num_cols), cat_cols)
 
 
 def hash_score(key: Column, seed: int) -> Column:

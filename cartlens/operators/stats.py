@@ -39,11 +39,29 @@ def percentiles(c, probs: list[float]) -> Column:
     return F.percentile(col, F.array(*[F.lit(float(p)) for p in probs]))
 
 
+def _sketch_buckets(df: DataFrame, col: str, buckets: int, out: str) -> DataFrame:
+    """Tag rows with an equi-depth bucket of ``col`` (ascending, 0-based).
+
+    Bounds come from a quantile sketch: a list of at most ``buckets - 1``
+    numbers, the only thing that reaches the driver. ``Bucketizer`` then
+    places every row by binary search in the JVM.
+    """
+    from pyspark.ml.feature import Bucketizer
+    grid = [i / buckets for i in range(1, buckets)]
+    bounds = df.agg(F.percentile_approx(F.col(col).cast("double"), grid, 10 * buckets)).first()[0] or []
+    splits = [float("-inf")] + sorted({float(b) for b in bounds}) + [float("inf")]
+    tmp = f"_{out}_x"
+    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
+    return (b.transform(df.withColumn(tmp, F.col(col).cast("double")))
+            .withColumn(out, F.col(out).cast("int")).drop(tmp))
+
+
 def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
                           buckets: int = 1024) -> DataFrame:
     """Exact interpolated quantiles without a single-reducer value map.
 
-    1. values are collapsed to (value, count) — a hot value becomes one row;
+    1. values are collapsed to (value, count) — a hot value becomes one row —
+       and that table is checkpointed (it is read twice);
     2. a sketch gives ``buckets`` equi-depth bounds over the distinct values;
     3. per-bucket counts (at most ``buckets`` rows) locate the bucket holding
        each needed rank;
@@ -51,16 +69,14 @@ def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
        distinct/buckets values.
     Returns one row with a ``q`` array aligned with ``probs``.
     """
+    from pyspark.sql import Window
+
+    from cartlens.session import cut_lineage
     v = F.col(c).cast("double")
-    vc = (df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-          .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
-    grid = [i / buckets for i in range(1, buckets)]
-    bounds = vc.agg(F.percentile_approx("v", grid, 10 * buckets).alias("bounds"))
-    tagged = with_scalars(vc, bounds).select(
-        "v", "cnt",
-        F.size(F.filter("bounds", lambda b: b < F.col("v"))).alias("bucket"))
+    vc = cut_lineage(df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+                     .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
+    tagged = _sketch_buckets(vc, "v", buckets, "bucket")
     per_bucket = tagged.groupBy("bucket").agg(F.sum("cnt").alias("n_b"))
-    from pyspark.sql import Window
     w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_bucket.select("bucket", "n_b",
                                F.coalesce(F.sum("n_b").over(w), F.lit(0)).alias("start"))
@@ -97,11 +113,9 @@ def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],
     per range in parallel.
     """
     from pyspark.sql import Window
-    grid = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(F.col(order_col).cast("double"), grid, 10 * buckets).alias("_bounds"))
-    tagged = (with_scalars(df, bounds)
-              .withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(order_col))))
-              .drop("_bounds"))
+
+    from cartlens.session import cut_lineage
+    tagged = _sketch_buckets(cut_lineage(df), order_col, buckets, "_bucket")
     totals = tagged.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_all = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_all), F.lit(0)).alias(f"_o_{c}")

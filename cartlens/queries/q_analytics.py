@@ -14,31 +14,11 @@ from cartlens.operators import churn, kpi, rfm
 from cartlens.plans.etl import shop_clean, with_product_type
 from cartlens.sources import shop_tables as st
 
-AS_OF = "2024-01-01"  # fixed "now" for age queries, so results are reproducible
-
-
-def _order_kpi(spark, sf):
-    t = shop_clean(spark, sf)
-    return kpi.order_kpi(t["orders"], t["order_details"])
-
-
-def _customer_orders(spark, sf):
-    t = shop_clean(spark, sf)
-    users = t["users"].select("user_uid", "created_at", "source", "city", "language")
-    return kpi.customer_orders(kpi.orders_with_revenue(t["orders"], t["order_details"]), users)
-
-
-def _aged(spark, sf):
-    return bd.with_age(shop_clean(spark, sf)["profiles"], AS_OF)
-
-
-def _features(spark, sf):
-    t = shop_clean(spark, sf)
-    ok = kpi.order_kpi(t["orders"], t["order_details"])
-    cut = churn.cutoff(ok)
-    users = t["users"].select("user_uid", "created_at", "source", "city", "language")
-    return kpi.churn_features(churn.behavior_features(ok, cut), churn.churn_labels(ok, cut),
-                              users, kpi.user_profile(t["profiles"]))
+from cartlens.queries.common import AS_OF
+from cartlens.queries.common import aged_profiles as _aged
+from cartlens.queries.common import churn_features_of as _features
+from cartlens.queries.common import customer_orders_of as _customer_orders
+from cartlens.queries.common import order_kpi_of as _order_kpi
 
 
 # ----------------------------------------------------------------- E: joins

@@ -17,7 +17,7 @@ from cartlens.operators.features import threshold_hex
 from cartlens.plans import campaign as camp_plan
 from cartlens.plans import sentiment as sent_plan
 from cartlens.plans.etl import shop_clean
-from cartlens.queries.q_analytics import _features
+from cartlens.queries.common import churn_features_of as _features
 from cartlens.queries.q_text import sql_normalize_ws, sql_review_clean
 from cartlens.schema import CHURN_NUMERIC, CHURN_TEST_FRACTION, SEED, SENTIMENT_TEST_FRACTION
 from cartlens.sources import shop_tables as st
@@ -37,7 +37,7 @@ SELECT user_uid, {_num_sql(lambda c: f'coalesce(CAST({c} AS DOUBLE), median(CAST
 FROM churn_features""", "churn_features"))
 def q_impute_median(spark, sf):
     f = _features(spark, sf).select("user_uid", *NUM)
-    return features.impute_median(f, NUM)
+    return features.impute_median(f, NUM, unbounded=features.MONEY_FEATURES)
 
 
 def _std_sql(c: str) -> str:
@@ -53,7 +53,7 @@ SELECT user_uid, {_num_sql(lambda c: f'''round(({c} - avg({c}) OVER ()) /
 FROM imp""", "churn_features"))
 def q_standardize(spark, sf):
     f = _features(spark, sf).select("user_uid", *NUM)
-    s = features.standardize(features.impute_median(f, NUM), NUM)
+    s = features.standardize(features.impute_median(f, NUM, unbounded=features.MONEY_FEATURES), NUM)
     return s.select("user_uid", *[F.round(c, 6).alias(c) for c in NUM])
 
 
