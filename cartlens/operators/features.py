@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cartlens.operators.stats import distributed_quantiles, ordered_prefix, with_scalars
 from cartlens.schema import MISSING_LEVEL
+from cartlens.session import cut_lineage
 
 
 def present(df: DataFrame, candidates: list[str]) -> list[str]:
@@ -25,28 +26,38 @@ def as_float(df: DataFrame, cols: list[str]) -> DataFrame:
                        if c in cols else F.col(c) for c in df.columns])
 
 
-def impute_median(df: DataFrame, cols: list[str], unbounded: list[str] | None = None) -> DataFrame:
-    """Replace nulls by the column median (exact, over all rows).
+def impute_median(df: DataFrame, cols: list[str], unbounded: list[str] | None = None,
+                  fit_rows: Column | None = None) -> DataFrame:
+    """Replace nulls by the column median (exact).
 
-    Columns listed in ``unbounded`` (about one distinct value per row, such as
-    money) use the bucketed exact quantile; the others Spark's ``median``,
-    whose final merge holds one entry per distinct value.
+    Medians come from all rows (the reference's behaviour) or, with
+    ``fit_rows`` (e.g. ``~is_test``), from those rows only and are applied to
+    all. Columns listed in ``unbounded`` (about one distinct value per row,
+    such as money) use the bucketed exact quantile; the others Spark's
+    ``median``, whose final merge holds one entry per distinct value.
     """
     unbounded = [c for c in (unbounded or []) if c in cols]
     df = as_float(df, cols)
-    med = df.agg(*[F.median(c).alias(f"_med_{c}") for c in cols if c not in unbounded] or
-                 [F.lit(0).alias("_none")])
+    if unbounded:
+        # Read by several jobs (sketches, medians, the output): materialise once.
+        df = cut_lineage(df)
+    fit = df if fit_rows is None else df.where(fit_rows)
+    med = fit.agg(*[F.median(c).alias(f"_med_{c}") for c in cols if c not in unbounded] or
+                  [F.lit(0).alias("_none")])
     for c in unbounded:
-        med = med.crossJoin(distributed_quantiles(df, c, [0.5]).select(F.col("q")[0].alias(f"_med_{c}")))
+        med = med.crossJoin(F.broadcast(
+            distributed_quantiles(fit, c, [0.5]).select(F.col("q")[0].alias(f"_med_{c}"))))
     out = with_scalars(df, med.drop("_none") if "_none" in med.columns else med)
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}")))
     return out.drop(*[f"_med_{c}" for c in cols])
 
 
-def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
-    """I4: (x - mean) / population std; a constant column is divided by 1."""
-    st = df.agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
+def standardize(df: DataFrame, cols: list[str], fit_rows: Column | None = None) -> DataFrame:
+    """I4: (x - mean) / population std; a constant column is divided by 1.
+    Statistics from all rows, or from ``fit_rows`` only."""
+    fit = df if fit_rows is None else df.where(fit_rows)
+    st = fit.agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
                 *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
     out = with_scalars(df, st)
     for c in cols:
@@ -77,10 +88,15 @@ def one_hot_long(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 MONEY_FEATURES = ["monetary_total", "avg_order_value"]
 
 
-def prepare_design(df: DataFrame, num_cols: list[str], cat_cols: list[str]) -> DataFrame:
-    """Imputed + standardised numerics, categoricals with ``Missing``."""
-    imputed = impute_median(df, num_cols, unbounded=MONEY_FEATURES)
-    return fill_missing_level(standardize(imputed, num_cols), cat_cols)
+def prepare_design(df: DataFrame, num_cols: list[str], cat_cols: list[str],
+                   fit_rows: Column | None = None) -> DataFrame:
+    """Imputed + standardised numerics, categoricals with ``Missing``.
+
+    By default statistics come from all rows, as in the reference (the
+    hold-out then leaks slightly); pass ``fit_rows`` to fit on training rows.
+    """
+    imputed = impute_median(df, num_cols, unbounded=MONEY_FEATURES, fit_rows=fit_rows)
+    return fill_missing_level(standardize(imputed, num_cols, fit_rows), cat_cols)
 
 
 def hash_score(key: Column, seed: int) -> Column:
@@ -101,6 +117,41 @@ def split_flag(df: DataFrame, key: str, test_fraction: float, seed: int,
     return df.withColumn(name, hash_score(F.col(key), seed) < F.lit(threshold_hex(test_fraction)))
 
 
+def exact_split_flag(df: DataFrame, key: str, label: str, test_fraction: float, seed: int,
+                     name: str = "is_test") -> DataFrame:
+    """I9 exact variant: per class exactly floor(test_fraction * n_c + 0.5)
+    test rows, those with the smallest keyed hash.
+
+    Ranks come from the distributed prefix count over (class, hash) — each
+    class is shifted into its own range of the ordering key — so no class is
+    ranked inside one task. Only the class counts (one row per class) reach
+    the driver.
+    """
+    h = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 14), 16, 10)
+    classes = sorted((r[0], r[1]) for r in df.groupBy(label).agg(F.count(F.lit(1))).collect())
+    if len(classes) > 127:
+        raise ValueError("exact_split_flag supports at most 127 classes")
+    start, idx, quota = 0, {}, {}
+    for i, (c, n) in enumerate(classes):
+        idx[c] = (i, start)
+        quota[c] = int(test_fraction * n + 0.5)
+        start += n
+    cls = F.lit(None).cast("int")
+    off = F.lit(None).cast("long")
+    cap = F.lit(None).cast("long")
+    for c, (i, s0) in idx.items():
+        hit = F.col(label).eqNullSafe(F.lit(c))
+        cls = F.when(hit, F.lit(i)).otherwise(cls)
+        off = F.when(hit, F.lit(s0)).otherwise(off)
+        cap = F.when(hit, F.lit(quota[c])).otherwise(cap)
+    ranked = ordered_prefix(
+        df.withColumn("_ord", F.shiftleft(cls.cast("long"), 56) + h.cast("long"))
+          .withColumn("_off", off).withColumn("_cap", cap).withColumn("_one", F.lit(1)),
+        "_ord", ["_one"])
+    return (ranked.withColumn(name, (F.col("_one_before") - F.col("_off")) < F.col("_cap"))
+            .drop("_ord", "_off", "_cap", "_one", "_one_before"))
+
+
 def roc_auc(scored: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
     """Exact ROC-AUC (ties count one half) in one row.
 
@@ -132,7 +183,8 @@ def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list[str]) -
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per-class precision, recall, F1 and support, then accuracy, macro
     and weighted averages. An empty denominator gives 0."""
-    c = confusion_counts(df, label, pred)
+    # (label, prediction) counts: at most classes² rows, read by four branches.
+    c = cut_lineage(confusion_counts(df, label, pred))
     true_n = c.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
     pred_n = c.groupBy(F.col("pred").alias("cls")).agg(F.sum("n").alias("predicted"))
     hit = c.where(F.col("label") == F.col("pred")).select(F.col("label").alias("cls"), F.col("n").alias("tp"))

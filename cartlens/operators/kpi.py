@@ -27,17 +27,22 @@ def orders_with_revenue(orders: DataFrame, details: DataFrame,
 
 
 def customer_orders(orders_rev: DataFrame, users: DataFrame,
-                    user_columns: list[str] | None = None) -> DataFrame:
+                    user_columns: list[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Orders left-joined to users on ``user_uid``.
 
     Names shared by both sides get explicit prefixes: ``order_*`` for the
     order's, ``user_*`` for the user's (the reference's ``_x`` / ``_y``).
+    ``null_safe`` also matches a null user with a null user (pandas merge
+    semantics); the default is plain equality.
     """
     ucols = [c for c in (user_columns or users.columns) if c != "user_uid"]
     clash = set(ucols) & (set(orders_rev.columns) - {"user_uid"})
     o = orders_rev.select(*[F.col(c).alias(f"order_{c}" if c in clash else c)
                             for c in orders_rev.columns])
     u = users.select("user_uid", *[F.col(c).alias(f"user_{c}" if c in clash else c) for c in ucols])
+    if null_safe:
+        u = u.withColumnRenamed("user_uid", "_u")
+        return o.join(u, o["user_uid"].eqNullSafe(u["_u"]), "left").drop("_u")
     return o.join(u, "user_uid", "left")
 
 

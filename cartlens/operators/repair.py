@@ -63,3 +63,17 @@ def domain_filter(df: DataFrame, column: str, domain: list[str]) -> DataFrame:
 def non_negative(df: DataFrame, column: str) -> DataFrame:
     """Keep rows with value >= 0 (null dropped)."""
     return df.where(F.col(column) >= 0)
+
+
+def keep_where(df: DataFrame, column: str, predicate) -> DataFrame:
+    """Keep rows whose (computed) ``column`` satisfies ``predicate(col)``.
+
+    A plain ``where`` on a computed column is pushed below the projection
+    with the column's expression substituted, so an expensive expression
+    (a chain of regular expressions over long texts) runs twice. Filtering
+    through a generator over a zero-or-one-element array keeps the value
+    computed once; column order is preserved.
+    """
+    kept = F.explode(F.filter(F.array(F.col(column)), predicate)).alias(column)
+    return df.select(*[kept if c == column else F.col(c) for c in df.columns])
+

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cartlens.operators.stats import distributed_quantiles, money_sum, percentiles, with_scalars
 from cartlens.schema import RFM_OTHER, RFM_QUINTILES, RFM_SEGMENTS
+from cartlens.session import cut_lineage
 
 
 def rfm_base(order_kpi: DataFrame, snapshot_offset_days: int = 1) -> DataFrame:
@@ -42,7 +43,7 @@ def rfm_breaks(rfm: DataFrame, probs: list[float] = RFM_QUINTILES) -> DataFrame:
     counts = rfm.agg(percentiles("recency", probs).alias("recency_breaks"),
                      percentiles("frequency", probs).alias("frequency_breaks"))
     money = distributed_quantiles(rfm, "monetary", probs).select(F.col("q").alias("monetary_breaks"))
-    return counts.crossJoin(money)
+    return counts.crossJoin(F.broadcast(money))
 
 
 def quintile_score(x: Column, breaks: Column, reverse: bool = False) -> Column:
@@ -60,8 +61,12 @@ def quintile_score(x: Column, breaks: Column, reverse: bool = False) -> Column:
 
 def rfm_scores(rfm: DataFrame, breaks: DataFrame | None = None) -> DataFrame:
     """R/F/M scores and the concatenated code."""
-    b = breaks if breaks is not None else rfm_breaks(rfm)
-    out = (with_scalars(rfm, b)
+    if breaks is None:
+        # The per-user table feeds three jobs (count breaks, money sketch,
+        # scoring): materialise it once in the shared checkpoint folder.
+        rfm = cut_lineage(rfm)
+        breaks = rfm_breaks(rfm)
+    out = (with_scalars(rfm, breaks)
            .withColumn("R_score", quintile_score(F.col("recency"), F.col("recency_breaks"), True))
            .withColumn("F_score", quintile_score(F.col("frequency"), F.col("frequency_breaks")))
            .withColumn("M_score", quintile_score(F.col("monetary"), F.col("monetary_breaks")))

@@ -32,7 +32,11 @@ class ChurnData:
 
 def churn_data(tables: dict[str, DataFrame], churn_period_days: int = CHURN_PERIOD_DAYS,
                test_fraction: float = CHURN_TEST_FRACTION, seed: int = SEED,
-               user_columns: list[str] | None = None, checkpoint: bool = True) -> ChurnData:
+               user_columns: list[str] | None = None, checkpoint: bool = True,
+               fit_stats_on_train: bool = False) -> ChurnData:
+    """Labelled feature table and design matrix. ``fit_stats_on_train`` fits
+    imputation and scaling on the training part only (no hold-out leakage);
+    the default follows the reference (statistics over all rows)."""
     ok = kpi.order_kpi(tables["orders"], tables["order_details"])
     if checkpoint:
         ok = cut_lineage(ok)
@@ -44,10 +48,11 @@ def churn_data(tables: dict[str, DataFrame], churn_period_days: int = CHURN_PERI
                                users, kpi.user_profile(tables["profiles"]))
     num = features.present(feats, CHURN_NUMERIC)
     cat = features.present(feats, CHURN_CATEGORICAL)
-    prepared = features.prepare_design(feats.select("user_uid", "churned", *num, *cat), num, cat)
+    base = features.split_flag(feats.select("user_uid", "churned", *num, *cat), "user_uid",
+                               test_fraction, seed)
+    prepared = features.prepare_design(base, num, cat, ~F.col("is_test") if fit_stats_on_train else None)
     design, _ = models.design_matrix(prepared, num, cat)
-    design = features.split_flag(design.withColumn("label", F.col("churned").cast("double")),
-                                 "user_uid", test_fraction, seed)
+    design = design.withColumn("label", F.col("churned").cast("double"))
     if checkpoint:
         design = cut_lineage(design)
     return ChurnData(feats, design, num, cat)
@@ -64,7 +69,7 @@ def evaluate(data: ChurnData, which: str = "rf") -> tuple[DataFrame, DataFrame]:
     train = data.design.where(~F.col("is_test"))
     test = data.design.where(F.col("is_test"))
     est = models.random_forest() if which == "rf" else models.logistic(train.count())
-    model = models.fit_reliably(est, train)
+    model = models.fit_reliably(est, train, checkpoint=False)
     scored = _scored(model, test)
     auc = features.roc_auc(scored, "churned", "churn_proba").select(F.lit(which).alias("model"), "auc")
     return scored, auc
@@ -80,7 +85,7 @@ def run_campaign(tables: dict[str, DataFrame], prob_threshold: float = CHURN_PRO
         scored, auc = evaluate(data, "rf")
         out["holdout_auc"] = auc
         out["report"] = features.classification_report(scored, "churned", "prediction")
-    final = models.fit_reliably(models.random_forest(), data.design)
+    final = models.fit_reliably(models.random_forest(), data.design, checkpoint=False)
     proba = _scored(final, data.design).select("user_uid", "churn_proba")
     scored_all = data.features.join(proba, "user_uid")
     out["targets"] = campaign.select_targets(scored_all, "churn_proba", prob_threshold, value_percentile)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.text import clean_review_text, text_length
-from cartlens.operators import features, models
+from cartlens.operators import features, models, repair
 from cartlens.operators import sentiment as sn
 from cartlens.plans.etl import clean_reviews, clean_reviews_labelled
 from cartlens.schema import MIN_REVIEW_LENGTH, SEED, SENTIMENT_CLASSES, SENTIMENT_TEST_FRACTION
@@ -24,7 +24,7 @@ def labelled_docs(raw_labelled: DataFrame, test_fraction: float = SENTIMENT_TEST
                   seed: int = SEED) -> DataFrame:
     """B5/B6 -> B7 -> B8 -> J1 -> J2: (id, text, sentiment_label, is_test)."""
     lab = clean_reviews_labelled(raw_labelled).withColumn("text", clean_review_text("text"))
-    lab = lab.where(text_length("text") > MIN_REVIEW_LENGTH)
+    lab = repair.keep_where(lab, "text", lambda t: text_length(t) > MIN_REVIEW_LENGTH)
     lab = lab.select(F.col("labelled_review_uid").alias("id"), "text", "sentiment_label")
     return features.split_flag(lab, "id", test_fraction, seed)
 

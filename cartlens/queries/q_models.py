@@ -20,6 +20,7 @@ from cartlens.plans.etl import shop_clean
 from cartlens.queries.common import churn_features_of as _features
 from cartlens.queries.q_text import sql_normalize_ws, sql_review_clean
 from cartlens.schema import CHURN_NUMERIC, CHURN_TEST_FRACTION, SEED, SENTIMENT_TEST_FRACTION
+from cartlens.session import cut_lineage
 from cartlens.sources import shop_tables as st
 
 NUM = CHURN_NUMERIC
@@ -74,6 +75,25 @@ def q_stratified_split(spark, sf):
     return features.split_flag(f, "user_uid", CHURN_TEST_FRACTION, SEED)
 
 
+@register("stratified_split_exact", sql(f"""
+SELECT user_uid, churned,
+       row_number() OVER (PARTITION BY churned
+                          ORDER BY substr(md5(CAST(user_uid AS VARCHAR) || ':{SEED}'), 1, 14)) - 1
+         < floor({CHURN_TEST_FRACTION} * count(*) OVER (PARTITION BY churned) + 0.5) AS is_test
+FROM churn_features""", "churn_features"))
+def q_stratified_split_exact(spark, sf):
+    f = _features(spark, sf).select("user_uid", "churned")
+    return features.exact_split_flag(f, "user_uid", "churned", CHURN_TEST_FRACTION, SEED)
+
+
+@register("target_distribution", sql("""
+SELECT churned, count(*) AS num_users FROM churn_features GROUP BY churned""", "churn_features"))
+def q_target_distribution(spark, sf):
+    """I8: rows per target value in the design table."""
+    f = _features(spark, sf)
+    return f.groupBy("churned").agg(F.count(F.lit(1)).alias("num_users"))
+
+
 _INACTIVE = "tenure_days - date_sub('day', first_order_date, last_order_before_T0)"
 
 
@@ -95,7 +115,7 @@ FROM (SELECT s, pos, neg,
 @register("roc_auc", sql(_auc_sql(_INACTIVE, "inactive_days") + "\nUNION ALL\n" + _auc_sql("freq_total", "freq_total"),
                          "churn_features"))
 def q_roc_auc(spark, sf):
-    f = _features(spark, sf).withColumn("inactive_days", _inactive_days())
+    f = cut_lineage(_features(spark, sf).withColumn("inactive_days", _inactive_days()))
     parts = [features.roc_auc(f, "churned", s).select(F.lit(s).alias("score_name"), F.round("auc", 9).alias("auc"))
              for s in ("inactive_days", "freq_total")]
     return parts[0].unionByName(parts[1])
@@ -168,6 +188,12 @@ def _docs(spark, sf):
     return sent_plan.labelled_docs(st.raw_reviews_labelled(spark, sf))
 
 
+@register("sentiment_split", _lab_sql("SELECT id, sentiment_label, is_test FROM lab"))
+def q_sentiment_split(spark, sf):
+    """Labelled training projection with its 80/20 split flag."""
+    return _docs(spark, sf).select("id", "sentiment_label", "is_test")
+
+
 @register("tokenize", _lab_sql("""
 SELECT id, len(t) AS num_tokens, array_to_string(t, ' ') AS tokens FROM tk"""))
 def q_tokenize(spark, sf):

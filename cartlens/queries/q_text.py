@@ -8,6 +8,7 @@ from cartlens.catalog import register
 from cartlens.functions import text as tx
 from cartlens.oracles.views import WS, clean, q, sex, sql, strip
 from cartlens.operators import quality as dq
+from cartlens.operators import repair
 from cartlens.plans.etl import clean_reviews_labelled
 from cartlens.schema import MIN_REVIEW_LENGTH, REVIEW_KEEP_CLASS, WS_CLASS
 from cartlens.sources import shop_tables as st
@@ -112,4 +113,4 @@ WHERE length(text) > {MIN_REVIEW_LENGTH}""", "raw_labelled"))
 def q_min_length_filter(spark, sf):
     r = clean_reviews_labelled(st.raw_reviews_labelled(spark, sf))
     r = r.withColumn("text", tx.clean_review_text("text"))
-    return r.where(tx.text_length("text") > MIN_REVIEW_LENGTH)
+    return repair.keep_where(r, "text", lambda t: tx.text_length(t) > MIN_REVIEW_LENGTH)

@@ -67,3 +67,11 @@ def test_models_give_probabilities(spark):
     scored = Q["sentiment_scored"](spark, SMALL)
     assert scored.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert {r[0] for r in scored.select("sentiment_pred").distinct().collect()} <= {"negative", "neutral", "positive"}
+
+
+def test_exact_split_quota_per_class(spark):
+    s = Q["stratified_split_exact"](spark, SMALL)
+    per = {r.churned: (r.n, r.t) for r in s.groupBy("churned").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
+    for n, t in per.values():
+        assert t == int(0.3 * n + 0.5)

@@ -110,3 +110,21 @@ def test_fk_repairs_keep_and_drop_nulls(spark):
     keep = sorted(r.id for r in repair.fk_keep_null(child, parent, "user_uid", "user_uid").collect())
     strict = sorted(r.id for r in repair.fk_strict(child, parent, "user_uid", "user_uid").collect())
     assert keep == [1, 3] and strict == [1]
+
+
+def test_fit_statistics_on_training_rows_only(spark):
+    df = spark.createDataFrame([(1, 1.0, False), (2, None, False), (3, 100.0, True)],
+                               "k int, x double, is_test boolean")
+    all_rows = {r.k: r.x for r in features.impute_median(df, ["x"]).collect()}
+    train = {r.k: r.x for r in features.impute_median(df, ["x"], fit_rows=~F.col("is_test")).collect()}
+    assert all_rows[2] == 50.5 and train[2] == 1.0
+    z = {r.k: r.x for r in features.standardize(df.fillna(1.0), ["x"], fit_rows=~F.col("is_test")).collect()}
+    assert z[1] == 0.0 and z[3] == 99.0
+
+
+def test_customer_orders_null_safe_option(spark):
+    orders = spark.createDataFrame([(1, None), (2, 7)], "order_uid int, user_uid int")
+    users = spark.createDataFrame([(None, "x"), (7, "y")], "user_uid int, city string")
+    plain = {r.order_uid: r.city for r in kpi.customer_orders(orders, users).collect()}
+    safe = {r.order_uid: r.city for r in kpi.customer_orders(orders, users, null_safe=True).collect()}
+    assert plain == {1: None, 2: "y"} and safe == {1: "x", 2: "y"}
