@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cartlens.functions.text import (canonical_sex, clean_str, normalize_label,
                                      normalize_whitespace, parse_list_string)
 from cartlens.operators import repair
-from cartlens.schema import CARD_NOT_ASSIGNED, CARD_STATUSES, ITEM_STATUSES
+from cartlens.schema import CARD_NOT_ASSIGNED, ITEM_STATUSES
 from cartlens.sources import shop_tables as st
 
 
