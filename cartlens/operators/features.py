@@ -46,7 +46,7 @@ def impute_median(df: DataFrame, cols: list[str], unbounded: list[str] | None =
                   [F.lit(0).alias("_none")])
     for c in unbounded:
         med = med.crossJoin(F.broadcast(
-            distributed_quantiles(fit, c, [0.5]).select(F.col("q")[0].alias(f"_med_{c}"))))
+            distributed_quantiles(fit, c, [0.5], materialize=False).select(F.col("q")[0].alias(f"_med_{c}"))))
     out = with_scalars(df, med.drop("_none") if "_none" in med.columns else med)
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}")))

@@ -32,7 +32,8 @@ def rfm_base(order_kpi: DataFrame, snapshot_offset_days: int = 1) -> DataFrame:
             .drop("_snapshot"))
 
 
-def rfm_breaks(rfm: DataFrame, probs: list[float] = RFM_QUINTILES) -> DataFrame:
+def rfm_breaks(rfm: DataFrame, probs: list[float] = RFM_QUINTILES,
+               materialized: bool = False) -> DataFrame:
     """Quintile breaks of recency, frequency and monetary (one row).
 
     Recency (days) and frequency (orders) have few distinct values, so Spark's
@@ -42,7 +43,8 @@ def rfm_breaks(rfm: DataFrame, probs: list[float] = RFM_QUINTILES) -> DataFrame:
     """
     counts = rfm.agg(percentiles("recency", probs).alias("recency_breaks"),
                      percentiles("frequency", probs).alias("frequency_breaks"))
-    money = distributed_quantiles(rfm, "monetary", probs).select(F.col("q").alias("monetary_breaks"))
+    money = (distributed_quantiles(rfm, "monetary", probs, materialize=not materialized)
+             .select(F.col("q").alias("monetary_breaks")))
     return counts.crossJoin(F.broadcast(money))
 
 
@@ -65,7 +67,7 @@ def rfm_scores(rfm: DataFrame, breaks: DataFrame | None = None) -> DataFrame:
         # The per-user table feeds three jobs (count breaks, money sketch,
         # scoring): materialise it once in the shared checkpoint folder.
         rfm = cut_lineage(rfm)
-        breaks = rfm_breaks(rfm)
+        breaks = rfm_breaks(rfm, materialized=True)
     out = (with_scalars(rfm, breaks)
            .withColumn("R_score", quintile_score(F.col("recency"), F.col("recency_breaks"), True))
            .withColumn("F_score", quintile_score(F.col("frequency"), F.col("frequency_breaks")))

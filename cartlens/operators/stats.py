@@ -57,11 +57,12 @@ def _sketch_buckets(df: DataFrame, col: str, buckets: int, out: str) -> DataFram
 
 
 def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
-                          buckets: int = 1024) -> DataFrame:
+                          buckets: int = 1024, materialize: bool = True) -> DataFrame:
     """Exact interpolated quantiles without a single-reducer value map.
 
     1. values are collapsed to (value, count) — a hot value becomes one row —
-       and that table is checkpointed (it is read twice);
+       and that table is checkpointed (it is read twice) unless
+       ``materialize=False`` (when ``df`` is itself a checkpoint);
     2. a sketch gives ``buckets`` equi-depth bounds over the distinct values;
     3. per-bucket counts (at most ``buckets`` rows) locate the bucket holding
        each needed rank;
@@ -73,8 +74,10 @@ def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
 
     from cartlens.session import cut_lineage
     v = F.col(c).cast("double")
-    vc = cut_lineage(df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-                     .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
+    vc = (df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+          .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
+    if materialize:
+        vc = cut_lineage(vc)
     tagged = _sketch_buckets(vc, "v", buckets, "bucket")
     per_bucket = tagged.groupBy("bucket").agg(F.sum("cnt").alias("n_b"))
     w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
