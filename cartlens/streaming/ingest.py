@@ -13,15 +13,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from cartlens.plans.etl import clean_order_details, clean_orders, clean_reviews
+from cartlens.plans.etl import (clean_order_details, clean_orders, clean_profiles, clean_reviews,
+                                clean_reviews_labelled, clean_users)
 from cartlens.schema import raw_schema
 from cartlens.session import checkpoint_dir
 from cartlens.sources.csv_ingest import typed_from_raw
 
+# Entities whose cleaning is row-local or a stream-static join. Cards are not
+# here: "latest row per card" is a per-key aggregate, not an append-only
+# stream, and stays a batch step.
 _CLEANERS = {
-    "order_details": lambda df, parents: clean_order_details(df, parents["orders"]),
+    "users": lambda df, parents: clean_users(df),
+    "profiles": lambda df, parents: clean_profiles(df, parents["users"]),
     "orders": lambda df, parents: clean_orders(df, parents["users"]),
+    "order_details": lambda df, parents: clean_order_details(df, parents["orders"]),
     "reviews": lambda df, parents: clean_reviews(df),
+    "reviews_labelled": lambda df, parents: clean_reviews_labelled(df),
 }
 
 

@@ -38,3 +38,21 @@ def test_stream_matches_batch(spark):
                                                key_types=KEYS), parents["orders"])
     assert got.count() == batch.count() > 0
     assert got.exceptAll(batch.select(*got.columns)).count() == 0
+
+
+def test_profiles_stream_keeps_null_users(spark):
+    from cartlens.plans.etl import clean_profiles
+    landing = tempfile.mkdtemp(prefix="cartlens-landing-p-")
+    out = tempfile.mkdtemp(prefix="cartlens-stream-p-")
+    raw = shop_raw(spark, SMALL)["profiles"]
+    write_csv(_declared(raw, "profiles"), f"{landing}/drop0")
+    users = shop_clean(spark, SMALL)["users"]
+    keys = {"user_uid": "bigint", "profile_uid": "bigint"}
+    q = start_ingest(spark, f"{landing}/*", "profiles", out, {"users": users}, keys,
+                     available_now=True, name="profiles-test")
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    batch = clean_profiles(typed_from_raw(read_raw_csv(spark, f"{landing}/*"), "profiles", key_types=keys), users)
+    assert got.count() == batch.count() > 0
+    assert got.where(F.col("user_uid").isNull()).count() > 0
+    assert got.exceptAll(batch.select(*got.columns)).count() == 0
