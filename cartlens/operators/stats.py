@@ -84,8 +84,11 @@ def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
     starts = per_bucket.select("bucket", "n_b",
                                F.coalesce(F.sum("n_b").over(w), F.lit(0)).alias("start"))
     total = per_bucket.agg(F.sum("n_b").alias("n"))
-    spark = df.sparkSession
-    probs_df = spark.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "i int, p double")
+    # The probability list as a tiny frame built in the JVM (no Python workers).
+    plist = F.array(*[F.lit(float(p)) for p in probs])
+    probs_df = (df.sparkSession.range(len(probs))
+                .select(F.col("id").cast("int").alias("i"),
+                        F.element_at(plist, F.col("id").cast("int") + 1).alias("p")))
     ranks = (with_scalars(probs_df, total)
              .select("i", "p", (F.col("p") * (F.col("n") - 1)).alias("pos"))
              .select("i", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("r")))
