@@ -128,3 +128,10 @@ def test_customer_orders_null_safe_option(spark):
     plain = {r.order_uid: r.city for r in kpi.customer_orders(orders, users).collect()}
     safe = {r.order_uid: r.city for r in kpi.customer_orders(orders, users, null_safe=True).collect()}
     assert plain == {1: None, 2: "y"} and safe == {1: "x", 2: "y"}
+
+
+def test_keep_where_matches_where(spark):
+    df = spark.createDataFrame([(1, "abcd"), (2, "ab"), (3, None), (4, "xxxxx")], "id int, text string")
+    got = repair.keep_where(df, "text", lambda t: F.length(t) > 3)
+    assert got.columns == ["id", "text"]
+    assert sorted(got.collect()) == sorted(df.where(F.length("text") > 3).collect())
