@@ -135,3 +135,22 @@ def test_keep_where_matches_where(spark):
     got = repair.keep_where(df, "text", lambda t: F.length(t) > 3)
     assert got.columns == ["id", "text"]
     assert sorted(got.collect()) == sorted(df.where(F.length("text") > 3).collect())
+
+
+def test_order_volume_week_and_day(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 3),), (dt.datetime(2024, 1, 10),)],
+                               "created_at timestamp_ntz")
+    days = [(r.period_end.date(), r.num_orders) for r in bd.order_volume(df, "created_at", "day").orderBy("period_end").collect()]
+    assert len(days) == 10 and days[0] == (dt.date(2024, 1, 1), 1) and days[1][1] == 0 and days[-1][1] == 1
+    weeks = [r.num_orders for r in bd.order_volume(df, "created_at", "week").orderBy("period_end").collect()]
+    assert weeks == [2, 1]
+
+
+def test_exact_split_three_classes(spark):
+    rows = [(i, ["a", "b", "c"][i % 3] if i % 7 else "c") for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, y string")
+    out = features.exact_split_flag(df, "k", "y", 0.25, 42)
+    per = {r.y: (r.n, r.t) for r in out.groupBy("y").agg(F.count(F.lit(1)).alias("n"),
+                                                           F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
+    assert all(t == int(0.25 * n + 0.5) for n, t in per.values())
+    assert out.count() == 600
