@@ -7,8 +7,13 @@ documents is tokenised by a few numpy passes and no Python string is made.
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +27,23 @@ PASS_BYTES = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package: send it with the application, once,
+    as ``--py-files`` would (the driver serves the archive to the executors)."""
+    sc = spark.sparkContext
+    if any(name.startswith("cartlens-") for name in sc._python_includes):
+        return
+    import cartlens
+    root = Path(cartlens.__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="cartlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder) / f"cartlens-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/cartlens-{name}-{uuid.uuid4().hex}"

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import byte_bpe, sharding, token_counts, url_filter
+from cartlens.llm import byte_bpe, language_id, sharding, token_counts, url_filter
+from cartlens.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,7 @@ def register(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -86,3 +88,10 @@ def op6_sharding(spark, sf):
 @register("op8_token_counts")
 def op8_token_counts(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@register("op2_language_id")
+def op2_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    out = language_id.identify(docs, language_id.fit(docs))
+    return out.select(F.col("c0").alias("doc_id"), language_id.hold_out("c0").alias("held_out"), "lang_pred", "score", "n_spans")
