@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import byte_bpe, language_id, sharding, token_counts, url_filter
+from cartlens.llm import byte_bpe, decontamination, language_id, sharding, token_counts, url_filter, vector_search
 from cartlens.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,22 @@ def op2_language_id(spark, sf):
     docs = table(spark, sf, "documents")
     out = language_id.identify(docs, language_id.fit(docs))
     return out.select(F.col("c0").alias("doc_id"), language_id.hold_out("c0").alias("held_out"), "lang_pred", "score", "n_spans")
+
+
+@register("op3_decontamination")
+def op3_decontamination(spark, sf):
+    return decontamination.find(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register("op9_exact_topk", """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND NOT list_bool_or([x IS NULL OR NOT isfinite(x::DOUBLE) for x in embedding])),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op9_exact_topk(spark, sf):
+    return vector_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
