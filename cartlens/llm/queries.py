@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import byte_bpe, decontamination, language_id, sharding, token_counts, url_filter, vector_search
+from cartlens.llm import byte_bpe, decontamination, jaccard_join, language_id, sharding, token_counts, url_filter, vector_search
 from cartlens.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,22 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""")
 def op9_exact_topk(spark, sf):
     return vector_search.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op7_jaccard_join", """
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS g FROM w),
+t AS (SELECT r, len(g) AS n, unnest(g) AS g FROM s),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM t a JOIN t b ON a.g = b.g AND a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+c AS (SELECT r AS a, r AS b FROM s UNION SELECT c.a, l.b FROM c JOIN l ON c.b = l.a)
+SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, m.component_id
+FROM s JOIN (SELECT c.a AS r, min(d.doc_id) AS component_id FROM c JOIN s d ON d.r = c.b GROUP BY c.a) m USING (r)""")
+def op7_jaccard_join(spark, sf):
+    return jaccard_join.join(table(spark, sf, "documents"))
