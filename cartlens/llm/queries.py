@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import byte_bpe, decontamination, jaccard_join, language_id, sharding, token_counts, url_filter, vector_search
+from cartlens.llm import byte_bpe, decontamination, jaccard_join, language_id, sharding, suffix_dedup, token_counts, url_filter, vector_search
 from cartlens.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,8 @@ SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, m.component_id
 FROM s JOIN (SELECT c.a AS r, min(d.doc_id) AS component_id FROM c JOIN s d ON d.r = c.b GROUP BY c.a) m USING (r)""")
 def op7_jaccard_join(spark, sf):
     return jaccard_join.join(table(spark, sf, "documents"))
+
+
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf):
+    return suffix_dedup.dedup(table(spark, sf, "documents")).withColumnRenamed("c0", "doc_id")
