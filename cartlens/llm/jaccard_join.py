@@ -362,3 +362,18 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return (named.join(smallest, "root", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, the one of the smallest id (then of the smallest
+    digest of id and text). Rows that repeat id and text are one document; documents without
+    words stay. All columns are kept."""
+    names = docs.columns
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("\0null")), text)))
+    own = docs.select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("row"), F.col(text_col).alias("text"))
+    parts = join(own, "row", "text").where((F.col("n_shingles") == 0) | (F.col("row") == F.col("component_id")))
+    kept = stored(parts.select(F.col("row.key").alias("kept")).distinct(), "kept")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], key.alias("key"))
+    rows = rows.join(kept, F.col("key") == F.col("kept"), "left_semi").dropDuplicates(["key"])
+    return rows.drop("key").toDF(*names)

@@ -209,7 +209,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rows = (counts.withColumn("rank", top).where(F.col("rank") <= F.greatest(F.lit(TOP_WORDS), F.lit(TRIGRAM_SLOTS)))
             .where((F.col("kind") != 0) | (F.col("rank") <= TOP_WORDS)).drop("rank").toPandas())
     if rows.empty:
-        raise ValueError("no labelled text to learn from")
+        return Model([], np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros((TRIGRAM_SLOTS, 0)), np.zeros((len(SCRIPT_NAMES), 0), bool), 0)
     langs = sorted(rows["lang"].unique())
     index = rows["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy()
     kind, key, n = (rows[c].to_numpy() for c in ("kind", "key", "n"))
@@ -234,6 +234,8 @@ SPANS = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end"
 
 def label(model: Model, texts: pa.RecordBatch, name: str) -> tuple[list[str], list[float], pa.Array]:
     """Prediction, score and spans (in characters) of each text of a batch."""
+    if not model.langs:
+        return ["und"] * texts.num_rows, [0.0] * texts.num_rows, pa.array([[]] * texts.num_rows, SPANS)
     data, offsets = common.text_column(texts, name)
     langs, scores, spans = [], [], []
     names = pa.array(model.langs, pa.string())

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import byte_bpe, decontamination, jaccard_join, language_id, sharding, suffix_dedup, token_counts, url_filter, vector_search
+from cartlens.llm import byte_bpe, decontamination, jaccard_join, language_id, sharding, suffix_dedup, token_counts, url_filter, vector_search, warc
 from cartlens.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,39 @@ def op7_jaccard_join(spark, sf):
 @register("op4_suffix_dedup")
 def op4_suffix_dedup(spark, sf):
     return suffix_dedup.dedup(table(spark, sf, "documents")).withColumnRenamed("c0", "doc_id")
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """Captures of every page: a response, and up to three later (or earlier) revisits whose URL is
+    spelled differently and whose validators agree, differ or are missing, by the page's id."""
+    i, etag = F.col("page_id"), F.concat(F.lit('"'), F.md5("html"), F.lit('"'))
+    modified = F.concat(F.lit("day "), (i % 97).cast("string"))
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + (i % 5000) * 600)
+
+    def h(name, value):
+        return F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"))
+
+    def record(n, kind, url, hours, status, headers, digest):
+        return F.struct((i * 4 + n).alias("record_id"), F.lit(kind).alias("kind"), url.alias("url"),
+                        (at + F.make_interval(hours=F.lit(hours))).alias("at"), F.lit(status).alias("status"),
+                        headers.cast(warc.HEADERS).alias("headers"), digest.cast("string").alias("digest"))
+
+    server = h("Server", F.lit("a"))
+    respelled = F.concat(F.regexp_replace("url", "^https://([^/]*)/", "HTTPS://$1:443/"), F.lit("#again"))
+    response = record(0, "response", F.col("url"), 0, 200, F.array(
+        h("ETag", F.when(i % 5 != 0, etag)), h("Last-Modified", modified), server, h("Content-Length", F.octet_length("html"))), F.md5("html"))
+    same = record(1, "revisit", respelled, 30, 304, F.array(
+        h("etag", F.concat(F.lit("W/"), etag)), h("Date", F.lit("later")), h("Content-Length", F.lit(0))), F.lit(None))
+    other = record(2, "revisit", F.col("url"), 5, 304, F.array(
+        h("ETag", F.when(i % 3 == 0, F.lit('"other"'))), h("last-modified", F.when(i % 3 != 1, modified)), h("server", F.lit("b"))), F.lit(None))
+    early = record(3, "revisit", F.col("url"), -700, 304, F.array(h("ETag", etag)), F.lit(None))
+    every = F.filter(F.array(response, same, other, early), lambda r: (r["kind"] == "response") | (i % 4 < 3) | (r["record_id"] % 4 != 3))
+    return pages.select(F.inline(every))
+
+
+@register("op10_warc_revisits")
+def op10_warc_revisits(spark, sf):
+    out = warc.resolve_revisits(page_records(table(spark, sf, "pages")))
+    text = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), F.coalesce(h["value"], F.lit("")))), "\n")
+    return out.select("record_id", "url", "at", "base_id", "outcome", "status", "digest",
+                      F.size("headers").alias("n_headers"), F.sha2(text, 256).alias("headers_sha256"))

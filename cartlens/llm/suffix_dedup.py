@@ -237,14 +237,14 @@ def _cuts(pieces: list | None, size: int, length: int) -> np.ndarray:
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] | None = None,
-          length: int = LENGTH, with_text: bool = False) -> DataFrame:
+          length: int = LENGTH, with_text: bool = False, gram: int = GRAM) -> DataFrame:
     """The carried columns (as ``c0``, ``c1``, ...; by default the id), n_bytes, n_removed, n_spans and
     kept_sha256 of every row; with ``with_text`` also the kept bytes as text (broken characters dropped)."""
     common.ship(docs.sparkSession)
     carry = (id_col,) if carry is None else carry
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(_key(id_col, text).alias("key"), text.alias("text"))
-    pieces = repeats(rows, length)
+    pieces = repeats(rows, length, gram)
     full = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], _key(id_col, text).alias("key"), text.alias("text"))
     schema = ", ".join([f"c{i} {t}" for i, (_, t) in enumerate(full.dtypes[:len(carry)])] +
                        ["n_bytes long, n_removed long, n_spans long, kept_sha256 string"] + ["kept string"] * with_text)
