@@ -27,6 +27,8 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartlens.llm.common import ship
+
 #: Longest piece laid out in a matrix.
 MATRIX_BYTES = 256
 #: Pieces whose ids are remembered by a worker, and the cells of one matrix.
@@ -222,6 +224,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
            with_ids: bool = False) -> DataFrame:
     """``id_col``, n_tokens, ids_sha256 and decoded_sha256 of every row; with
     ``with_ids`` also the ids. ``rank_path`` is read on the driver and shipped."""
+    ship(docs.sparkSession)
     with open(rank_path, "rb") as f:
         shipped = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary file, whatever the corpus
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -266,6 +269,7 @@ def _groups(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 def decode(encoded: DataFrame, rank_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``id_col`` and the decoded ``content`` bytes of every row of ids (null ids: null)."""
+    ship(encoded.sparkSession)
     with open(rank_path, "rb") as f:
         shipped = encoded.sparkSession.sparkContext.broadcast(f.read())
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))

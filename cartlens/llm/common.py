@@ -159,10 +159,10 @@ def shingles(h: np.ndarray, row: np.ndarray, k: int, n_rows: int) -> tuple[np.nd
     """Hashes of each row's k consecutive words, with the row of each; a row of
     fewer words gives its whole sequence as one, a row without words none."""
     n = np.bincount(row, minlength=n_rows)
-    first = np.concatenate([[0], np.cumsum(n)[:-1]])
+    first = np.cumsum(n) - n
     take = np.where(n == 0, 0, np.maximum(n - k + 1, 1))
     rows = np.repeat(np.arange(n_rows), take)
-    at = np.arange(take.sum()) - np.repeat(np.concatenate([[0], np.cumsum(take)[:-1]]), take) + first[rows]
+    at = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take) + first[rows]
     out = mix(np.minimum(n, k)[rows].astype(np.uint64))
     last = (first + n)[rows]
     for i in range(k):

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cartlens.llm import common
 
@@ -185,8 +186,10 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
          threshold: float = THRESHOLD) -> DataFrame:
     """A row for each contaminated document and item: ``id_col``, item_id, coverage, n_tiles, longest_tile."""
     spark = docs.sparkSession
+    common.ship(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     doc_type, item_type = dict(rows.dtypes)["id"], dict(benchmark.dtypes)["item_id"]
+    item_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = f"id {doc_type}, item_id {item_type}, coverage double, n_tiles int, longest_tile int"
     out = None
     for block in blocks(benchmark):
@@ -198,7 +201,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                          for r, *rest in shipped.value.hits(data, offsets, threshold)]
                 if found:
                     row, item, *rest = zip(*found, strict=True)
-                    ids = pa.array([shipped.value.ids[i] for i in item])
+                    ids = pa.array([shipped.value.ids[i] for i in item], item_arrow)
                     yield pa.record_batch([b.column(0).take(pa.array(row)), ids, pa.array(rest[0], pa.float64()),
                                            pa.array(rest[1], pa.int32()), pa.array(rest[2], pa.int32())],
                                           names=["id", "item_id", "coverage", "n_tiles", "longest_tile"])
@@ -210,6 +213,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 def drop(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept."""
+    common.ship(docs.sparkSession)
     names: Sequence[str] = docs.columns
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     schema, at = rows.schema, names.index(text_col)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from cartlens.llm.common import scratch
+from cartlens.llm.common import scratch, ship
 
 CACHE_SCHEMA = "tokenizer string, digest string, n_tokens long"
 #: Texts handed to the library at once: at most this many characters, or one text.
@@ -94,6 +94,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, id_c
     path of a ``.model`` or ``.json`` file; ``cache`` the folder of stored counts (a
     new one below the shared folder when none is named)."""
     spark = docs.sparkSession
+    ship(spark)
     kind = Path(tokenizer).suffix.lstrip(".")
     data = Path(tokenizer).read_bytes()
     version = tokenizer_version(data, kind)

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlens.llm.common import ship
+
 BLOCK, PIVOTS = 65_536, 24
 #: Candidates evaluated together, and queries whose bounds are held together.
 STEP, QUERY_BATCH = 256, 128
@@ -112,6 +114,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
           factor: int = 256) -> DataFrame:
     """query_id, rank, vec_id and score of each query's k best rows."""
     spark = rows.sparkSession
+    ship(spark)
     vectors = (rows.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), factor).alias("v"),
                            is_query.alias("asked"))
                .where(F.col("id").isNotNull() & F.col("v").isNotNull()))
