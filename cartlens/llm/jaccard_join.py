@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from cartlens.llm import common
 from cartlens.llm.common import stored
-from cartlens.llm.components import connected
+from cartlens.llm.components import connected, own_key
 
 WORDS, PERCENT = 5, 75
 #: Classes in a search block, shingles in a hash range, classes in a bucket.
@@ -292,49 +292,63 @@ def link(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("root", "i", "j").applyInArrow(run, "u long, v long")
 
 
-def _sized(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` with the number of blocks of their component."""
-    sizes = rows.groupBy(key).agg(F.count("*").alias("size"))
-    sizes = stored(sizes.where("size > 1").select(F.col(key).alias("owner"), F.ceil(F.col("size") / BLOCK).cast("int").alias("n_blocks")), "sizes")
-    return rows.join(sizes, F.col(key) == F.col("owner")).drop("owner")
-
-
-def component_edges(kept: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Verified edges that connect the classes of every component."""
-    rows = stored(kept.select("cls", "n", "tokens").join(candidates.select(F.col("node").alias("cls"), "root"), "cls"), "classes")
-    block = F.pmod(F.xxhash64("cls", "level"), F.col("n_blocks")).cast("int")
-    edges, now, level, before = None, rows, 0, None
+def _sized(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of blocks of their candidate component ``root``."""
+    sizes = rows.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    sizes = sizes.select(own_key("root").alias("owner"), "n_blocks")
+    return rows.join(sizes, own_key("root") == F.col("owner")).drop("owner")
+
+
+def _link_blocks(rows: DataFrame, level: int) -> DataFrame:
+    """One search per block of each candidate component: its edges, and whether the component has other blocks."""
+    block = F.pmod(F.xxhash64("cls", F.lit(level)), F.col("n_blocks")).cast("int")
+    blocks = rows.select("root", block.alias("i"), F.when(F.col("n_blocks") > 1, 1).otherwise(0).alias("j"), "cls", "n", "tokens",
+                         F.lit(1).alias("part"), F.col("cls").alias("joined"))
+    return stored(link(blocks), "links")
+
+
+def verified(kept: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(node, root) of the classes that are linked with a smaller or earlier one."""
+    rows = kept.select("cls", "n", "tokens").join(candidates.select(F.col("u").alias("cls"), "root"), "cls")
+    rows = stored(_sized(stored(rows, "classes")), "sized-classes")
+    found = _link_blocks(rows, 0)
+    large = rows.where("n_blocks > 1")
+    edges = found.select(F.col("u").alias("node"), F.col("v").alias("root")).where("node <> root")
+    if large.isEmpty():
+        return edges  # every component was searched whole: the edges lead straight to one class of each
+    # Components of several blocks: link the blocks' representatives, level by level.
+    mine = found.join(large.select(F.col("cls").alias("u")), "u", "left_semi")
+    links, now, level, before = mine, large, 0, None
     while True:
-        sized = _sized(now, "root")
-        blocks = (sized.withColumn("level", F.lit(level)).withColumn("i", block)
-                  .select("root", "i", F.col("i").alias("j"), "cls", "n", "tokens", F.lit(1).alias("part"), F.col("cls").alias("joined")))
-        found = stored(link(blocks), "links")
-        edges = found if edges is None else edges.unionAll(found)
-        heads = found.select(F.col("v").alias("cls")).distinct()
-        now = stored(sized.where("n_blocks > 1").drop("n_blocks").join(heads, "cls", "left_semi"), "heads")
+        heads = mine.select(F.col("v").alias("cls")).distinct()
+        now = stored(_sized(now.where("n_blocks > 1").drop("n_blocks").join(heads, "cls", "left_semi")), "heads")
         left, level = now.count(), level + 1
         if left == before or not left:
             break
         before = left
-    # Still apart, in candidate components of several blocks: compare what is outside the largest part with all of it.
-    parts = connected(edges).select(F.col("node").alias("cls"), F.col("root").alias("joined"))
-    apart = stored(rows.join(parts, "cls"), "parts")
+        mine = _link_blocks(now, level)
+        links = links.unionAll(mine)
+    # What is still apart: compare everything outside a component's largest part with all of it.
+    parts = connected(links)
+    apart = large.drop("n_blocks").join(parts.select(F.col("node").alias("cls"), F.col("root").alias("joined")), "cls", "left")
+    apart = stored(apart.withColumn("joined", F.coalesce("joined", "cls")), "parts")
     size = apart.groupBy("root", "joined").agg(F.count("*").alias("size"))
     main = size.groupBy("root").agg(F.max(F.struct("size", "joined")).alias("most"), F.sum("size").alias("all"))
-    main = stored(main.where((F.col("most.size") < F.col("all")) & (F.col("all") > BLOCK))
-                  .select(F.col("root").alias("owner"), F.col("most.joined").alias("main"),
-                          F.ceil((F.col("all") - F.col("most.size")) / BLOCK).cast("int").alias("n_rest"),
-                          F.ceil(F.col("all") / BLOCK).cast("int").alias("n_all")), "main")
-    apart = apart.join(main, F.col("root") == F.col("owner")).withColumn("rest", F.col("joined") != F.col("main"))
+    main = (main.where(F.col("most.size") < F.col("all"))
+            .select(own_key("root").alias("owner"), F.col("most.joined").alias("main"),
+                    F.ceil((F.col("all") - F.col("most.size")) / BLOCK).cast("int").alias("n_rest"),
+                    F.ceil(F.col("all") / BLOCK).cast("int").alias("n_all")))
+    apart = apart.join(main, own_key("root") == F.col("owner")).withColumn("rest", F.col("joined") != F.col("main"))
     of_rest = F.pmod(F.xxhash64("cls"), F.col("n_rest")).cast("int")
     of_all = F.pmod(F.xxhash64("cls", F.lit(1)), F.col("n_all")).cast("int")
     one = apart.where("rest").select("root", of_rest.alias("i"), F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)).alias("j"),
-                                     "cls", "n", "tokens", "joined", F.lit(1).alias("part"))
+                                     "cls", "n", "tokens", F.lit(1).alias("part"), "joined")
+    # A class on both sides of a block comes once, on the rest's side.
     other = apart.select("root", F.explode(F.sequence(F.lit(0), F.col("n_rest") - 1)).alias("i"), of_all.alias("j"),
-                         "cls", "n", "tokens", "joined", F.when(F.col("rest") & (of_rest == F.col("i")), 1).otherwise(0).alias("part"), "rest")
-    # A class on both sides of a block comes once, as part of the rest's side.
-    both = one.unionAll(other.where("part = 0").drop("rest").select(*one.columns))
-    return edges.unionAll(link(both)).where("u <> v")
+                         "cls", "n", "tokens", F.lit(0).alias("part"), "joined", "rest", of_rest.alias("mine"))
+    other = other.where(~(F.col("rest") & (F.col("mine") == F.col("i")))).drop("rest", "mine")
+    whole = connected(links.unionAll(link(one.unionAll(other))))
+    return edges.join(large.select(F.col("cls").alias("node")), "node", "left_anti").unionAll(whole)
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,14 +366,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     n_ranges = max(4 * least, -(-(total or 0) // RANGE))
     kept = stored(survivors(shared_shingles(rows, tokens, n_ranges, max(least, -(-size // BUCKET)))), "survivors")
     postings = kept.select(F.explode("prefix").alias("token"), "cls")
-    first = stored(postings.groupBy("token").agg(F.min("cls").alias("v"), F.max("cls").alias("w")).where("v < w").select("token", "v"), "lists")
-    candidates = connected(postings.join(first, "token").select(F.col("cls").alias("u"), "v").where("u <> v").distinct())
-    parts = connected(component_edges(kept, stored(candidates, "candidates")))
-    parts = stored(parts.select(F.col("node").alias("cls"), "root"), "components")
-    named = sets.join(parts, "cls", "left").select("id", "n", F.coalesce("root", "cls").alias("root"))
-    named = stored(named, "named")
-    smallest = stored(named.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")), "smallest")
-    return (named.join(smallest, "root", "left")
+    first = postings.groupBy("token").agg(F.min("cls").alias("v"), F.max("cls").alias("w")).where("v < w").select(own_key("token").alias("t"), "v")
+    lists = postings.join(first, own_key("token") == F.col("t")).select(F.col("cls").alias("u"), "v")
+    candidates = connected(lists)
+    roots = candidates.select("root").distinct()
+    candidates = candidates.select(F.col("node").alias("u"), "root").unionAll(roots.select(F.col("root").alias("u"), "root"))
+    parts = verified(kept, candidates).select(F.col("node").alias("cls"), "root")
+    named = stored(sets.join(parts, "cls", "left").select("id", "n", F.coalesce("root", "cls").alias("root")), "named")
+    smallest = named.where("n > 0").groupBy("root").agg(F.min("id").alias("component_id")).select(own_key("root").alias("r"), "component_id")
+    return (named.join(smallest, own_key("root") == F.col("r"), "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
 
