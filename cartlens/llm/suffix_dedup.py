@@ -10,7 +10,7 @@ are judged on the input.
    of windows. Anchors that occur once are dropped.
 2. Equal windows are one, with their number; of each, one document hands out the
    bytes. Windows are dealt to shards by anchor, so all occurrences of a string
-   meet in one shard.
+   meet in one shard. An anchor whose windows are all equal is settled by that.
 3. A shard's windows are joined with separators and suffix-sorted by external
    induced sorting (:mod:`cartlens.llm.induced_sort`): disk-backed queues,
    recursion on the reduced text. Neighbours in suffix order with a common prefix
@@ -42,7 +42,9 @@ from cartlens.llm import common
 from cartlens.llm.common import stored
 from cartlens.llm.induced_sort import suffix_array
 
-LENGTH, GRAM = 400, 32
+LENGTH, GRAM = 400, 128
+#: Bytes hashed by one numpy pass: few enough to stay in a processor's cache.
+PASS = 32_768
 #: Bytes of windows in a shard on average, and windows of one anchor that a shard takes.
 SHARD, HOT = 2_000_000, 1_000
 
@@ -62,19 +64,23 @@ def windows(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     if len(data) < length:
         return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
     sums = common.prefix_hash(data)
-    at = np.arange(len(data) - gram + 1)
-    h = common.span_hash(sums, at, at + gram)
+    h = (sums[gram:] - sums[:-gram]) * common.powers(len(data))[1][:len(data) - gram + 1]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0x9E3779B97F4A7C15)
     low = _sliding_min(h, length - gram + 1)
-    left = h[:len(low)] == low  # the anchor (the leftmost smallest) stands at the start itself and is left behind next
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:len(low)]
-    inside = np.arange(len(low)) + length <= offsets[row + 1]
-    start, low, row, left = np.flatnonzero(inside), low[inside], row[inside], left[inside]
-    first = (np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (row[1:] != row[:-1]) | left[:-1]]))
-             if len(low) else empty)
-    count = np.diff(np.append(first, len(low)))
-    begin = start[first]
-    content = common.span_hash(sums, begin, begin + count + length - 1) + common.mix(count.astype(np.uint64))
-    return row[first], begin - offsets[row[first]], count, low[first], content
+    new = np.ones(len(low), dtype=bool)
+    new[1:] = low[1:] != low[:-1]
+    new[1:] |= h[:len(low) - 1] == low[:-1]  # the anchor (the leftmost smallest) stood at the start itself and is left behind
+    inside = np.zeros(len(low) + length, dtype=bool)
+    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        if b - a >= length:
+            inside[a:b - length + 1] = new[a] = True
+    inside = inside[:len(low)]
+    first = np.flatnonzero(new & inside)
+    row = np.searchsorted(offsets, first, side="right") - 1
+    end = np.minimum(np.append(first[1:], len(low)), offsets[row + 1] - length + 1)
+    content = common.span_hash(sums, first, end + length - 1) + common.mix((end - first).astype(np.uint64))
+    return row, first - offsets[row], end - first, low[first], content
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -92,10 +98,13 @@ def find_windows(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = common.text_column(b, "text")
-            for lo, hi in common.passes(offsets):
-                row, first, count, anchor, content = windows(
-                    data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], length, gram)
-                yield pa.record_batch([b.column(0).take(pa.array(row + lo)), pa.array(first), pa.array(count),
+            found = []
+            for lo, hi in common.passes(offsets, PASS):
+                row, *rest = windows(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], length, gram)
+                found.append((row + lo, *rest))
+            if found:
+                row, first, count, anchor, content = map(np.concatenate, zip(*found, strict=True))
+                yield pa.record_batch([b.column(0).take(pa.array(row)), pa.array(first), pa.array(count),
                                        _signed(anchor), _signed(content)],
                                       names=["key", "first", "starts", "anchor", "content"])
 
@@ -189,8 +198,11 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     spans holds pairs of 64-bit offsets from ``first``: the marked starts."""
     least = rows.sparkSession.sparkContext.defaultParallelism
     found = stored(find_windows(rows, length, gram), "windows")
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select(F.col("anchor").alias("held"))
-    found = stored(found.join(stored(often, "anchors"), F.col("anchor") == F.col("held"), "left_semi"), "repeated-anchors")
+    often = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"))
+    often = stored(often.where("n > 1").select(F.col("anchor").alias("held"), (F.col("a") == F.col("b")).alias("equal")), "anchors")
+    found = stored(found.join(often, F.col("anchor") == F.col("held")).drop("held"), "repeated-anchors")
+    # Where all windows of an anchor are equal, every start is a repeat: nothing is left to sort.
+    equal, found = found.where("equal"), found.where("not equal")
     distinct = found.groupBy("anchor", "content").agg(
         F.count("*").alias("n"), F.min(F.struct("key", "first", "starts")).alias("at"))
     distinct = stored(distinct.select("anchor", "content", "n", "at.key", "at.first", "at.starts"), "distinct-windows")
@@ -222,7 +234,9 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
                  .unionAll(_hot(chosen.join(hot, is_hot, "left_semi"), length)))
     marks = stored(marks, "marks").select(F.col("anchor").alias("a"), F.col("content").alias("c"), "spans")
     pieces = found.join(marks, (F.col("anchor") == F.col("a")) & (F.col("content") == F.col("c")))
-    return stored(pieces.groupBy("key").agg(F.collect_set(F.struct("first", "spans")).alias("pieces"))
+    pieces = pieces.select("key", "first", "starts", "spans").unionAll(
+        equal.select("key", "first", "starts", F.lit(None).cast("binary").alias("spans")))
+    return stored(pieces.groupBy("key").agg(F.collect_set(F.struct("first", "starts", "spans")).alias("pieces"))
                   .withColumnRenamed("key", "of"), "pieces")
 
 
@@ -230,7 +244,8 @@ def _cuts(pieces: list | None, size: int, length: int) -> np.ndarray:
     """Which bytes of a text go."""
     edge = np.zeros(size + 1, dtype=np.int64)
     for p in pieces or []:
-        s = np.frombuffer(p["spans"], dtype=np.int64).reshape(-1, 2) + p["first"]
+        s = np.array([[0, p["starts"]]]) if p["spans"] is None else np.frombuffer(p["spans"], dtype=np.int64).reshape(-1, 2)
+        s = s + p["first"]
         np.add.at(edge, s[:, 0], 1)
         np.add.at(edge, s[:, 1] + length - 1, -1)
     return np.cumsum(edge)[:-1] > 0
