@@ -8,21 +8,34 @@ where the limit is the feature.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, oracle: str | None = None):
+#: Digits to which a registered query's money columns are rounded (double sums depend on the order of the rows).
+MONEY_DIGITS = {"amount_paid_eur": 2, "order_revenue": 2, "revenue": 2, "monetary": 2, "monetary_total": 2,
+                "avg_order_value": 8}
+
+
+def register(name: str, oracle: str | None = None, money: tuple[str, ...] = ()):
+    """Register a query; the ``money`` columns of its result and of its oracle's are rounded."""
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query key {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def rounded(spark, sf):
+            return fn(spark, sf).withColumns({c: F.round(c, MONEY_DIGITS[c]) for c in money})
+        QUERIES[name] = rounded if money else fn
         if oracle is not None:
-            ORACLES[name] = oracle
+            replaced = ", ".join(f"round({c}, {MONEY_DIGITS[c]}) AS {c}" for c in money)
+            ORACLES[name] = f"SELECT * REPLACE ({replaced}) FROM (\n{oracle}\n)" if money else oracle
         return fn
     return deco
 

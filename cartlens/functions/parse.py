@@ -32,12 +32,19 @@ def parse_boolean(c, name: str = "value") -> Column:
                        .cast("boolean")))
 
 
+def _is_number(c: Column) -> Column:
+    """Decimal or exponent notation, an infinity or NaN; no Java type suffix, no hexadecimals."""
+    return F.rlike(F.trim(c), F.lit(r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|[iI]nf(inity)?|[nN]a[nN])$"))
+
+
 def parse_integer(c, name: str = "value") -> Column:
-    """Nullable integer: ``1.0`` -> 1; ``1.5`` or text raises."""
+    """Nullable integer: ``1.0`` -> 1; ``1.5`` or text raises. Whole digits never go through a double."""
     c = _col(c)
-    d = c.try_cast("double")
-    ok = d.isNotNull() & (d == F.floor(d))
+    whole = F.regexp_replace(F.trim(c), r"\.0*$", "").try_cast("long")
+    d = F.when(_is_number(c), c.try_cast("double"))
+    ok = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) < 2.0 ** 53)
     return (F.when(c.isNull(), F.lit(None).cast("long"))
+            .when(whole.isNotNull() & _is_number(c), whole)
             .when(ok, d.cast("long"))
             .otherwise(F.raise_error(F.concat(F.lit(f"invalid integer in {name}: "), c))
                        .cast("long")))
@@ -46,7 +53,7 @@ def parse_integer(c, name: str = "value") -> Column:
 def parse_double(c, name: str = "value") -> Column:
     """Nullable float; text raises."""
     c = _col(c)
-    d = c.try_cast("double")
+    d = F.when(_is_number(c), c.try_cast("double"))
     return (F.when(c.isNull() | d.isNotNull(), d)
             .otherwise(F.raise_error(F.concat(F.lit(f"invalid number in {name}: "), c))
                        .cast("double")))
@@ -62,7 +69,14 @@ def parse_ts_strict(c, fmt: str | None = None, name: str = "value") -> Column:
 
 
 def parse_ts_coerce(c, fmt: str | None = None) -> Column:
-    """Timestamp (no time zone); unparsable values become null."""
+    """Timestamp (no time zone); values that are not in the column's one format become null.
+
+    The default format is ISO date and time (``T`` or a space between, a fraction allowed);
+    bare dates, years and offsets are other formats. ``fmt`` is a Spark datetime pattern.
+    Nothing passes through the session's time zone."""
     c = _col(c)
-    t = F.try_to_timestamp(c) if fmt is None else F.try_to_timestamp(c, F.lit(fmt))
-    return t.cast("timestamp_ntz")
+    if fmt is None:
+        iso = F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,9})?$"))
+        return F.when(iso, c.try_cast("timestamp_ntz"))
+    # Parsed without a zone; the guard keeps the strict parser from raising on other formats.
+    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))

@@ -171,7 +171,7 @@ def revenue_by_source(co: DataFrame, source: str | None = None) -> DataFrame:
     if col is None:
         raise ValueError("no source-like column")
     return (co.where(F.col(col).isNotNull()).groupBy(col)
-            .agg(F.coalesce(money_sum("amount_paid_eur"), F.lit(0.0)).alias("revenue")))
+            .agg(money_sum("amount_paid_eur").alias("revenue")))
 
 
 def find_date_column(columns: list[str], candidates: list[str] = ORDER_DATE_CANDIDATES) -> str | None:

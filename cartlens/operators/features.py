@@ -7,7 +7,7 @@ counts, so its size is independent of the number of rows scored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlens.operators.stats import distributed_quantiles, ordered_prefix, with_scalars
@@ -46,7 +46,7 @@ def impute_median(df: DataFrame, cols: list[str], unbounded: list[str] | None =
                   [F.lit(0).alias("_none")])
     for c in unbounded:
         med = med.crossJoin(F.broadcast(
-            distributed_quantiles(fit, c, [0.5], materialize=False).select(F.col("q")[0].alias(f"_med_{c}"))))
+            distributed_quantiles(fit, c, [0.5], materialize=False).select(F.get("q", F.lit(0)).alias(f"_med_{c}"))))
     out = with_scalars(df, med.drop("_none") if "_none" in med.columns else med)
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}")))
@@ -119,37 +119,27 @@ def split_flag(df: DataFrame, key: str, test_fraction: float, seed: int,
 
 def exact_split_flag(df: DataFrame, key: str, label: str, test_fraction: float, seed: int,
                      name: str = "is_test") -> DataFrame:
-    """I9 exact variant: per class exactly floor(test_fraction * n_c + 0.5)
-    test rows, those with the smallest keyed hash.
+    """I9 exact variant: per class (a null label is a class) exactly
+    floor(test_fraction * n_c + 0.5) test rows, those with the smallest keyed hash.
 
-    Ranks come from the distributed prefix count over (class, hash) — each
-    class is shifted into its own range of the ordering key — so no class is
-    ranked inside one task. Only the class counts (one row per class) reach
-    the driver.
+    Rows are ranked inside (class, first three hash digits), 4096 even parts of
+    a class, and the parts' counts give each part its offset: no class is
+    ranked in one task and nothing goes to the driver.
     """
-    h = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 14), 16, 10)
-    classes = sorted((r[0], r[1]) for r in df.groupBy(label).agg(F.count(F.lit(1))).collect())
-    if len(classes) > 127:
-        raise ValueError("exact_split_flag supports at most 127 classes")
-    start, idx, quota = 0, {}, {}
-    for i, (c, n) in enumerate(classes):
-        idx[c] = (i, start)
-        quota[c] = int(test_fraction * n + 0.5)
-        start += n
-    cls = F.lit(None).cast("int")
-    off = F.lit(None).cast("long")
-    cap = F.lit(None).cast("long")
-    for c, (i, s0) in idx.items():
-        hit = F.col(label).eqNullSafe(F.lit(c))
-        cls = F.when(hit, F.lit(i)).otherwise(cls)
-        off = F.when(hit, F.lit(s0)).otherwise(off)
-        cap = F.when(hit, F.lit(quota[c])).otherwise(cap)
-    ranked = ordered_prefix(
-        df.withColumn("_ord", F.shiftleft(cls.cast("long"), 56) + h.cast("long"))
-          .withColumn("_off", off).withColumn("_cap", cap).withColumn("_one", F.lit(1)),
-        "_ord", ["_one"])
-    return (ranked.withColumn(name, (F.col("_one_before") - F.col("_off")) < F.col("_cap"))
-            .drop("_ord", "_off", "_cap", "_one", "_one_before"))
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    part = [F.col("_l"), F.col("_part")]
+    rows = df.withColumn("_h", F.substring(digest, 1, 14)).withColumn("_l", F.col(label))
+    rows = rows.withColumn("_part", F.substring("_h", 1, 3))
+    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy("_l")
+    counts = counts.select(
+        F.col("_l").alias("_cl"), F.col("_part").alias("_cp"),
+        F.coalesce(F.sum("_n").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.floor(F.sum("_n").over(own) * F.lit(test_fraction) + 0.5).alias("_quota"))
+    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy("_h")) - 1)
+    hit = F.col("_l").eqNullSafe(F.col("_cl")) & F.col("_part").eqNullSafe(F.col("_cp"))
+    return (ranked.join(counts, hit).withColumn(name, F.col("_off") + F.col("_r") < F.col("_quota"))
+            .drop("_h", "_l", "_part", "_cl", "_cp", "_off", "_quota", "_r"))
 
 
 def roc_auc(scored: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
@@ -173,9 +163,14 @@ def confusion_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
                       F.col(pred).cast("string").alias("pred")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list[str]) -> DataFrame:
-    """rows = true class, one column per predicted class (explicit pivot values)."""
-    return (confusion_counts(df, label, pred).groupBy("label").pivot("pred", classes).sum("n")
+def confusion_matrix(df: DataFrame, label: str, pred: str, classes: list[str] | None = None) -> DataFrame:
+    """rows = true class, one column per predicted class. Without ``classes`` the columns are
+    all labels and predictions that occur (one name per class goes to the driver)."""
+    counts = cut_lineage(confusion_counts(df, label, pred))
+    if classes is None:
+        both = counts.select(F.explode(F.array("label", "pred")).alias("c")).where("c is not null").distinct()
+        classes = sorted(r["c"] for r in both.collect())
+    return (counts.groupBy("label").pivot("pred", classes).sum("n")
             .fillna(0, subset=classes)
             .select("label", *[F.col(c).cast("long").alias(f"pred_{c}") for c in classes]))
 

@@ -70,7 +70,8 @@ def first_non_null_per_key(df: DataFrame, key: str, columns: list[str], order: s
     Columns are independent (the first city may come from another row than
     the first sex). ``min_by`` ignores rows whose ordering value is null, so
     ordering by ``when(c is not null, order)`` skips nulls. It is an
-    aggregate with a map-side partial step, safe for hot keys.
+    aggregate with a map-side partial step (sorted there, as strings do not fit
+    a hash aggregate's buffer), safe for hot keys.
     """
     renames = renames or {}
     aggs = [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(renames.get(c, c))

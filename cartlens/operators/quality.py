@@ -23,6 +23,19 @@ def parent_keys(parent: DataFrame, parent_key: str, as_name: str) -> DataFrame:
             .where(F.col(as_name).isNotNull()).distinct())
 
 
+def matched(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, checked=None) -> DataFrame:
+    """``child`` with ``_found``: whether its key is in the parent. One pass over the child: rows without
+    a key (or outside ``checked``) get a key of their own that no parent has, so that they
+    spread over the join's tasks instead of meeting in one."""
+    key = F.col(child_key)
+    asks = key.isNotNull() if checked is None else key.isNotNull() & checked
+    own = F.concat(F.lit("\0"), F.xxhash64(*[F.col(f"`{c}`") for c in child.columns]).cast("string"))
+    pk = parent_keys(parent, parent_key, "_pk").select(F.col("_pk").cast("string").alias("_pk"))
+    rows = child.withColumn("_ck", F.when(asks, key.cast("string")).otherwise(own))
+    return (rows.join(pk, F.col("_ck") == F.col("_pk"), "left")
+            .withColumn("_found", F.col("_pk").isNotNull()).drop("_ck", "_pk"))
+
+
 def null_key_count(df: DataFrame, key: str, name: str = "null_keys") -> DataFrame:
     """Number of rows whose key is null."""
     return df.agg(F.count_if(F.col(key).isNull()).alias(name))
@@ -74,12 +87,8 @@ def fk_violation_count(child: DataFrame, parent: DataFrame, child_key: str,
 
 def _violations(keys: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
                 name: str) -> DataFrame:
-    # Null keys are violations by definition; they skip the shuffle so a
-    # null-heavy column cannot create one hot partition.
-    k = F.col(child_key)
-    orphans = (keys.where(k.isNotNull())
-               .join(parent_keys(parent, parent_key, child_key), child_key, "left_anti"))
-    return orphans.unionByName(keys.where(k.isNull())).agg(F.count(F.lit(1)).alias(name))
+    # Null keys are violations by definition.
+    return matched(keys, parent, child_key, parent_key).agg(F.count_if(~F.col("_found")).alias(name))
 
 
 def conditional_fk_count(child: DataFrame, parent: DataFrame, child_key: str,

@@ -6,16 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.nulls import is_member
-from cartlens.operators.quality import empty_row_condition, parent_keys
+from cartlens.operators.quality import empty_row_condition, matched, parent_keys
 
 
 def fk_keep_null(child: DataFrame, parent: DataFrame, child_key: str,
                  parent_key: str) -> DataFrame:
     """Drop rows whose non-null key is missing from the parent; keep null keys."""
-    # Null keys bypass the join (they would all hash to one partition).
-    pk = parent_keys(parent, parent_key, "_pk")
-    kept = child.join(pk, F.col(child_key) == F.col("_pk"), "left_semi")
-    return kept.unionByName(child.where(F.col(child_key).isNull()))
+    rows = matched(child, parent, child_key, parent_key)
+    return rows.where(F.col("_found") | F.col(child_key).isNull()).drop("_found")
 
 
 def fk_strict(child: DataFrame, parent: DataFrame, child_key: str,
@@ -28,17 +26,17 @@ def fk_conditional(child: DataFrame, parent: DataFrame, child_key: str, parent_k
                    status: str, exempt: str) -> DataFrame:
     """D3: keep rows with status == exempt, or whose key is in the parent."""
     exempted = F.coalesce(F.col(status) == F.lit(exempt), F.lit(False))
-    pk = parent_keys(parent, parent_key, "_pk")
-    checked = child.where(~exempted).join(pk, F.col(child_key) == F.col("_pk"), "left_semi")
-    return child.where(exempted).unionByName(checked)
+    rows = matched(child, parent, child_key, parent_key, ~exempted)
+    return rows.where(F.col("_found") | exempted).drop("_found")
 
 
 def latest_per_key(df: DataFrame, key: str, order: str, tiebreak: str) -> DataFrame:
     """One row per non-null key, the one sorted last by ``order``.
 
     A null ``order`` sorts last (counts as newest); ties go to the largest
-    ``tiebreak``. Expressed as a ``max_by`` aggregate, so a hot key is reduced
-    map-side instead of being sorted in one window task.
+    ``tiebreak``. A ``max_by`` aggregate: a hot key is reduced in the map tasks
+    (after a sort there, as whole rows do not fit a hash aggregate's buffer)
+    instead of being sorted in one window task.
     """
     cols = df.columns
     rank = F.struct(F.col(order).isNull().alias("_n"), F.col(order).alias("_o"),

@@ -17,17 +17,18 @@ from cartlens.session import cut_lineage
 
 def rfm_base(order_kpi: DataFrame, snapshot_offset_days: int = 1) -> DataFrame:
     """Per user last order, order count, revenue, recency in whole days.
+    The orders are read once; the per-user table is materialised here (a job runs).
 
     snapshot = max(order_date) over all orders + ``snapshot_offset_days``.
     """
-    per_user = (order_kpi.where(F.col("user_uid").isNotNull())
-                .groupBy("user_uid")
-                .agg(F.max("order_date").alias("last_order_date"),
-                     F.count("order_uid").alias("frequency"),
-                     money_sum("order_revenue").alias("monetary")))
-    snap = order_kpi.agg(
-        (F.max("order_date") + F.make_interval(days=F.lit(snapshot_offset_days))).alias("_snapshot"))
-    return (with_scalars(per_user, snap)
+    per_user = cut_lineage(order_kpi.groupBy("user_uid")
+                           .agg(F.max("order_date").alias("last_order_date"),
+                                F.count("order_uid").alias("frequency"),
+                                money_sum("order_revenue").alias("monetary")))
+    # The row of the orders without a user only counts for the snapshot.
+    snap = per_user.agg(
+        (F.max("last_order_date") + F.make_interval(days=F.lit(snapshot_offset_days))).alias("_snapshot"))
+    return (with_scalars(per_user.where(F.col("user_uid").isNotNull()), snap)
             .withColumn("recency", F.timestamp_diff("DAY", F.col("last_order_date"), F.col("_snapshot")))
             .drop("_snapshot"))
 
@@ -56,7 +57,7 @@ def quintile_score(x: Column, breaks: Column, reverse: bool = False) -> Column:
     scores = [5, 4, 3, 2] if reverse else [1, 2, 3, 4]
     out = None
     for i, s in enumerate(scores):
-        cond = F.coalesce(x <= breaks[i], F.lit(False))
+        cond = F.coalesce(x <= F.get(breaks, F.lit(i)), F.lit(False))
         out = F.when(cond, F.lit(s)) if out is None else out.when(cond, F.lit(s))
     return out.otherwise(F.lit(1 if reverse else 5))
 

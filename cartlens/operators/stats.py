@@ -11,15 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def money_sum(c, scale: int = 2) -> Column:
-    """Exact sum of money: values are summed as integer cents, then scaled back.
-
-    Integer addition is associative, so the result does not depend on how the
-    rows were partitioned (a double sum does), and the buffer stays a long.
-    """
-    col = F.col(c) if isinstance(c, str) else c
-    factor = 10 ** scale
-    return F.sum(F.round(col * factor).cast("long")) / F.lit(float(factor))
+def money_sum(c) -> Column:
+    """Sum of money as doubles; NaN counts as missing, a group without any value is 0.0."""
+    col = (F.col(c) if isinstance(c, str) else c).cast("double")
+    return F.coalesce(F.sum(F.nanvl(col, F.lit(None).cast("double"))), F.lit(0.0))
 
 
 def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
@@ -49,7 +44,8 @@ def _sketch_buckets(df: DataFrame, col: str, buckets: int, out: str) -> DataFram
     from pyspark.ml.feature import Bucketizer
     grid = [i / buckets for i in range(1, buckets)]
     bounds = df.agg(F.percentile_approx(F.col(col).cast("double"), grid, 10 * buckets)).first()[0] or []
-    splits = [float("-inf")] + sorted({float(b) for b in bounds}) + [float("inf")]
+    # An empty or all-null column has no bounds; Bucketizer wants at least one.
+    splits = [float("-inf")] + (sorted({float(b) for b in bounds}) or [0.0]) + [float("inf")]
     tmp = f"_{out}_x"
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
     return (b.transform(df.withColumn(tmp, F.col(col).cast("double")))
@@ -68,7 +64,7 @@ def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
        each needed rank;
     4. only those buckets are ranked, each in its own task holding about
        distinct/buckets values.
-    Returns one row with a ``q`` array aligned with ``probs``.
+    Returns one row with a ``q`` array aligned with ``probs`` (empty without values).
     """
     from pyspark.sql import Window
 

@@ -1,7 +1,7 @@
 """The shop entities as DuckDB SQL (common table expressions).
 
-Independent SQL twin of :mod:`cartlens.sources.shop_tables` and
-:mod:`cartlens.plans.etl`, used by ``oracle_sql()``. ``sql(body, *ctes)``
+SQL twin of :mod:`cartlens.sources.shop_tables` and :mod:`cartlens.plans.etl`, used by
+``oracle_sql()``. It shares the fixed values of :mod:`cartlens.schema` with the engine. ``sql(body, *ctes)``
 prepends the named CTEs and everything they depend on, in order.
 """
 
@@ -28,7 +28,7 @@ def clean(x: str, case: str | None = None) -> str:
 
 
 def money_sum(x: str) -> str:
-    return f"(CAST(SUM(CAST(round({x} * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+    return f"coalesce(sum(CASE WHEN isnan({x}) THEN NULL ELSE {x} END), CAST(0 AS DOUBLE))"
 
 
 def sex(x: str) -> str:
@@ -73,7 +73,7 @@ _cte("raw_profiles", f"""
 SELECT c.c_custkey AS profile_uid,
        CASE WHEN c.c_custkey % 11 = 3 THEN c.c_custkey + 100000000
             WHEN c.c_custkey % 11 = 5 THEN NULL
-            ELSE c.c_custkey % 1000 END AS user_uid,
+            ELSE c.c_custkey - c.c_custkey % 2 END AS user_uid,
        {days_after('1950-01-01', '(c.c_custkey * 37) % 20000')} AS birthday,
        CASE c.c_custkey % 6 WHEN 0 THEN ' maschio' WHEN 1 THEN 'F' WHEN 2 THEN 'Donna'
             WHEN 3 THEN 'x' WHEN 4 THEN NULL ELSE 'uomo ' END AS sex,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from cartlens.operators import breakdowns as bd
 from cartlens.operators import churn, kpi
 from cartlens.plans.etl import shop_clean
+from cartlens.session import cut_lineage
 
 AS_OF = "2024-01-01"  # fixed "now" for age queries, so results are reproducible
 
@@ -26,7 +27,8 @@ def aged_profiles(spark, sf):
 
 def churn_features_of(spark, sf):
     t = shop_clean(spark, sf)
-    ok = kpi.order_kpi(t["orders"], t["order_details"])
+    # Read by the cut-off, the labels and the features: run the order pipeline once.
+    ok = cut_lineage(kpi.order_kpi(t["orders"], t["order_details"]))
     cut = churn.cutoff(ok)
     users = t["users"].select("user_uid", "created_at", "source", "city", "language")
     return kpi.churn_features(churn.behavior_features(ok, cut), churn.churn_labels(ok, cut),

@@ -12,6 +12,7 @@ from cartlens.oracles.views import sql
 from cartlens.operators import breakdowns as bd
 from cartlens.operators import churn, kpi, rfm
 from cartlens.plans.etl import shop_clean, with_product_type
+from cartlens.session import cut_lineage
 from cartlens.sources import shop_tables as st
 
 from cartlens.queries.common import AS_OF
@@ -23,25 +24,25 @@ from cartlens.queries.common import order_kpi_of as _order_kpi
 
 # ----------------------------------------------------------------- E: joins
 
-@register("order_revenue", sql("SELECT * FROM order_rev", "order_rev"))
+@register("order_revenue", sql("SELECT * FROM order_rev", "order_rev"), money=("amount_paid_eur",))
 def q_order_revenue(spark, sf):
     return kpi.order_revenue(shop_clean(spark, sf)["order_details"])
 
 
 @register("orders_with_revenue", sql("""
 SELECT o.*, r.amount_paid_eur FROM shop_orders o LEFT JOIN order_rev r ON o.order_uid = r.order_uid""",
-                                     "shop_orders", "order_rev"))
+                                     "shop_orders", "order_rev"), money=("amount_paid_eur",))
 def q_orders_with_revenue(spark, sf):
     t = shop_clean(spark, sf)
     return kpi.orders_with_revenue(t["orders"], t["order_details"])
 
 
-@register("customer_orders", sql("SELECT * FROM customer_orders", "customer_orders"))
+@register("customer_orders", sql("SELECT * FROM customer_orders", "customer_orders"), money=("amount_paid_eur",))
 def q_customer_orders(spark, sf):
     return _customer_orders(spark, sf)
 
 
-@register("order_kpi", sql("SELECT * FROM order_kpi", "order_kpi"))
+@register("order_kpi", sql("SELECT * FROM order_kpi", "order_kpi"), money=("order_revenue",))
 def q_order_kpi(spark, sf):
     return _order_kpi(spark, sf)
 
@@ -51,7 +52,7 @@ def q_first_non_null(spark, sf):
     return kpi.user_profile(shop_clean(spark, sf)["profiles"])
 
 
-@register("churn_features", sql("SELECT * FROM churn_features", "churn_features"))
+@register("churn_features", sql("SELECT * FROM churn_features", "churn_features"), money=("monetary_total", "avg_order_value",))
 def q_churn_features(spark, sf):
     return _features(spark, sf)
 
@@ -72,7 +73,7 @@ def q_cents_to_units(spark, sf):
 @register("revenue_by_city_top10", sql(f"""
 SELECT city, {sql_money('amount_paid_eur')} AS revenue FROM customer_orders
 WHERE city IS NOT NULL AND amount_paid_eur IS NOT NULL
-GROUP BY city ORDER BY revenue DESC, city LIMIT 10""", "customer_orders"))
+GROUP BY city ORDER BY revenue DESC, city LIMIT 10""", "customer_orders"), money=("revenue",))
 def q_revenue_by_city(spark, sf):
     return bd.revenue_by_city(_customer_orders(spark, sf))
 
@@ -185,7 +186,7 @@ def q_share_sex(spark, sf):
 SELECT p.product_type, {sql_money('d.item_amount')} AS revenue
 FROM details d LEFT JOIN products p ON d.product_uid = p.product_uid
 WHERE d.item_status = 'fulfilled' AND p.product_type IS NOT NULL
-GROUP BY p.product_type""", "details", "products"))
+GROUP BY p.product_type""", "details", "products"), money=("revenue",))
 def q_revenue_by_product_type(spark, sf):
     d = with_product_type(shop_clean(spark, sf)["order_details"], st.products(spark, sf))
     return bd.revenue_by_product_type(d)
@@ -193,7 +194,7 @@ def q_revenue_by_product_type(spark, sf):
 
 @register("revenue_by_source", sql(f"""
 SELECT order_source, coalesce({sql_money('amount_paid_eur')}, 0.0) AS revenue
-FROM customer_orders WHERE order_source IS NOT NULL GROUP BY order_source""", "customer_orders"))
+FROM customer_orders WHERE order_source IS NOT NULL GROUP BY order_source""", "customer_orders"), money=("revenue",))
 def q_revenue_by_source(spark, sf):
     co = _customer_orders(spark, sf)
     return bd.revenue_by_source(co)
@@ -229,7 +230,7 @@ def q_top_languages(spark, sf):
 
 # ------------------------------------------------------------------- G: RFM
 
-@register("rfm_base", sql("SELECT * FROM rfm_base", "rfm_base"))
+@register("rfm_base", sql("SELECT * FROM rfm_base", "rfm_base"), money=("monetary",))
 def q_rfm_base(spark, sf):
     return rfm.rfm_base(_order_kpi(spark, sf))
 
@@ -254,14 +255,14 @@ def q_rfm_breaks(spark, sf):
 @register("rfm_scores", sql("""
 SELECT user_uid, recency, frequency, monetary, R_score, F_score, M_score,
        CAST(R_score AS VARCHAR) || CAST(F_score AS VARCHAR) || CAST(M_score AS VARCHAR) AS RFM_score
-FROM rfm_scores""", "rfm_scores"))
+FROM rfm_scores""", "rfm_scores"), money=("monetary",))
 def q_rfm_scores(spark, sf):
     s = rfm.rfm_scores(rfm.rfm_base(_order_kpi(spark, sf)))
     return s.select("user_uid", "recency", "frequency", "monetary", "R_score", "F_score", "M_score",
                     "RFM_score")
 
 
-@register("rfm_segments", sql("SELECT * FROM rfm", "rfm"))
+@register("rfm_segments", sql("SELECT * FROM rfm", "rfm"), money=("monetary",))
 def q_rfm_segments(spark, sf):
     return rfm.rfm_segments(_order_kpi(spark, sf))
 
@@ -275,15 +276,15 @@ def q_rfm_segment_counts(spark, sf):
 
 @register("orders_after_cutoff", sql("""
 SELECT k.* FROM order_kpi k, cut c
-WHERE k.order_date >= c.cutoff_date AND k.order_date <= c.snapshot_date""", "order_kpi", "cut"))
+WHERE k.order_date >= c.cutoff_date AND k.order_date <= c.snapshot_date""", "order_kpi", "cut"), money=("order_revenue",))
 def q_orders_after_cutoff(spark, sf):
-    ok = _order_kpi(spark, sf)
+    ok = cut_lineage(_order_kpi(spark, sf))
     return churn.orders_after_cutoff(ok, churn.cutoff(ok))
 
 
 @register("churn_labels", sql("SELECT * FROM churn_labels", "churn_labels"))
 def q_churn_labels(spark, sf):
-    ok = _order_kpi(spark, sf)
+    ok = cut_lineage(_order_kpi(spark, sf))
     return churn.churn_labels(ok, churn.cutoff(ok))
 
 
@@ -291,11 +292,11 @@ def q_churn_labels(spark, sf):
 SELECT churned, count(*) AS num_users, CASE WHEN churned = 1 THEN 'Churned' ELSE 'Active' END AS status
 FROM churn_labels GROUP BY churned""", "churn_labels"))
 def q_churn_distribution(spark, sf):
-    ok = _order_kpi(spark, sf)
+    ok = cut_lineage(_order_kpi(spark, sf))
     return churn.churn_distribution(churn.churn_labels(ok, churn.cutoff(ok)))
 
 
-@register("behavior_features", sql("SELECT * FROM behavior", "behavior"))
+@register("behavior_features", sql("SELECT * FROM behavior", "behavior"), money=("monetary_total", "avg_order_value",))
 def q_behavior_features(spark, sf):
-    ok = _order_kpi(spark, sf)
+    ok = cut_lineage(_order_kpi(spark, sf))
     return churn.behavior_features(ok, churn.cutoff(ok))

@@ -35,7 +35,7 @@ def _num_sql(fn) -> str:
 
 @register("impute_median", sql(f"""
 SELECT user_uid, {_num_sql(lambda c: f'coalesce(CAST({c} AS DOUBLE), median(CAST({c} AS DOUBLE)) OVER ()) AS {c}')}
-FROM churn_features""", "churn_features"))
+FROM churn_features""", "churn_features"), money=("monetary_total", "avg_order_value",))
 def q_impute_median(spark, sf):
     f = _features(spark, sf).select("user_uid", *NUM)
     return features.impute_median(f, NUM, unbounded=features.MONEY_FEATURES)
@@ -302,7 +302,7 @@ WITH s AS (SELECT *, {_RULE_PROBA_SQL} AS churn_proba FROM churn_features)
 SELECT user_uid, round(churn_proba, 9) AS churn_proba, monetary_total, freq_total, tenure_days, orders_last_30d,
        main_city, sex, level, source
 FROM s WHERE churn_proba >= 0.65 AND monetary_total >= (SELECT quantile_cont(monetary_total, 0.5) FROM s)""",
-                                  "churn_features"))
+                                  "churn_features"), money=("monetary_total",))
 def q_campaign_targets(spark, sf):
     """K2-K4 with a fixed, documented score in place of the model probability
     (mean gap between orders relative to a month, through a logistic)."""

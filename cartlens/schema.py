@@ -6,8 +6,6 @@ domains, thresholds and patterns whose exact content decides results.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # ---------------------------------------------------------------------------
 # FIXED VALUES
 # ---------------------------------------------------------------------------
@@ -17,8 +15,8 @@ from pyspark.sql import types as T
 NA_TOKENS = [
     "", " ", '""',
     "#N/A", "#N/A N/A", "#NA", "N/A", "<NA>", "n/a",
-    "-1.#IND", "1.#IND", "-1.#QNAN", "1.#QNAN",
-    "-NaN", "-nan", "-NAN", "NaN", "nan", "NAN",
+    "-1.#IND", "1.#IND",
+    "-1.#QNAN", "-NaN", "-nan", "-NAN", "1.#QNAN", "NaN", "nan", "NAN",
     "NULL", "Null", "null",
     "NONE", "None", "none",
 ]
@@ -129,17 +127,17 @@ ENTITY_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
         ("order.uid", "order_uid", "string"), ("user.uid", "user_uid", "string"),
         ("createdAt", "created_at", "ts_coerce"), ("createdAtTime", "created_at_time", "ts_coerce"),
         ("paymentGateway", "payment_gateway", "string"), ("paymentBrand", "payment_brand", "string"),
-        ("source", "source", "string"), ("pickup", "pickup", "boolean"),
-        ("pickupComplete", "pickup_complete", "boolean"), ("tenant", "tenant", "string"),
-        ("timeZone", "time_zone", "string"), ("clientInfo", "client_info", "string"),
+        ("pickup", "pickup", "boolean"), ("pickupComplete", "pickup_complete", "boolean"),
+        ("source", "source", "string"), ("tenant", "tenant", "string"),
         ("paymentAttempts", "payment_attempts", "integer"),
+        ("timeZone", "time_zone", "string"), ("clientInfo", "client_info", "string"),
     ],
     "order_details": [
         ("item.uid", "item_uid", "string"), ("order.uid", "order_uid", "string"),
         ("item.status", "item_status", "string"), ("item.date", "item_date", "ts_coerce"),
         ("product.uid", "product_uid", "string"),
         ("product.dynamicPricing", "product_dynamic_pricing", "boolean"),
-        ("item.discount", "item_discount", "boolean"), ("item.amount", "item_amount", "double"),
+        ("item.amount", "item_amount", "double"), ("item.discount", "item_discount", "boolean"),
         ("product.type", "product_type", "string"), ("item.zoneName", "item_zone_name", "string"),
         ("product.durationHours", "product_duration_hours", "double"),
         ("item.profiles", "item_profiles", "string"), ("item.variantName", "item_variant_name", "string"),
@@ -156,7 +154,9 @@ ENTITY_COLUMNS: dict[str, list[tuple[str, str, str]]] = {
 }
 
 
-def raw_schema(entity: str) -> T.StructType:
-    """All-string schema in header order for the raw CSV scan."""
-    return T.StructType([T.StructField(src, T.StringType(), True)
-                         for src, _, _ in ENTITY_COLUMNS[entity]])
+# Columns known by a pattern of their header: (entity, header pattern, Spark name, target type).
+PATTERN_COLUMNS = [("order_details", r"item\..*cardNumber", "item_card_number", "string")]
+
+# Entities with free text, whose quoted fields may hold line breaks.
+FREE_TEXT_ENTITIES = ["reviews", "reviews_labelled"]
+

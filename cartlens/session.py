@@ -45,14 +45,15 @@ def get_spark(master: str | None = None, app: str = "cartlens",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for reliable checkpoints and intermediate tables.
-
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    """Shared folder for reliable checkpoints and intermediate tables, from
+    ``spark.checkpoint.dir``. Only a local master may leave it unset: a
+    private folder is registered then; executors of a cluster could not see one.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="cartlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -60,7 +61,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def clear_checkpoints(spark: SparkSession) -> None:
+    """Remove what this application's checkpoints left in the shared folder; call it when
+    no checkpointed frame is needed any more (``spark.cleaner.referenceTracking.cleanCheckpoints``
+    lets Spark do so frame by frame)."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        path = sc._jvm.org.apache.hadoop.fs.Path(sc.getCheckpointDir())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (survives executor loss)."""
+    """Materialise ``df`` into the checkpoint folder now (a job runs here). In the shared folder of a
+    cluster the copy survives the loss of executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

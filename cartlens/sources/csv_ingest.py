@@ -4,7 +4,10 @@ The typed scan reads every column as a string by header name (never by
 position), maps the NA tokens to null, renames dotted/camelCase headers,
 then converts each declared column with the strict or coercing parser.
 Columns not declared in :data:`cartlens.schema.ENTITY_COLUMNS` stay strings
-under a rule-derived name. CSV files split by size, so the scan is parallel.
+under a rule-derived name. A file is split by size and scanned in parallel,
+except for the entities with free text: a quoted field may hold line breaks
+there, so each file is one task, and such data must come in many files of
+moderate size (about one task's share each).
 """
 
 from __future__ import annotations
@@ -16,22 +19,24 @@ from pyspark.sql import functions as F
 
 from cartlens.functions.parse import (na_to_null, parse_boolean, parse_double, parse_integer,
                                       parse_ts_coerce, parse_ts_strict)
-from cartlens.schema import ENTITY_COLUMNS
+from cartlens.schema import ENTITY_COLUMNS, FREE_TEXT_ENTITIES, PATTERN_COLUMNS
 
-_CSV_OPTIONS = {"header": "true", "inferSchema": "false", "multiLine": "true", "escape": '"',
-                "mode": "FAILFAST"}
+_CSV_OPTIONS = {"header": "true", "inferSchema": "false", "escape": '"', "mode": "FAILFAST"}
 
 
 def spark_name(header: str) -> str:
     """``user.uid`` -> ``user_uid``; ``createdAtTime`` -> ``created_at_time``."""
+    for _, pattern, name, _ in PATTERN_COLUMNS:
+        if re.fullmatch(pattern, header):
+            return name
     s = header.replace(".", "_")
     s = re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", s)
     return s.lower()
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A2: every column a string; an empty field stays ``''`` (nothing is null)."""
-    df = spark.read.options(**_CSV_OPTIONS).csv(path)
+    df = spark.read.options(**_CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
     # The CSV reader returns null for an unquoted empty field; in a raw string
     # scan an empty field is the empty string.
     return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
@@ -69,7 +74,7 @@ def typed_from_raw(raw: DataFrame, entity: str, ts_format: str | None = None,
 def read_typed_csv(spark: SparkSession, path: str, entity: str, ts_format: str | None = None,
                    key_types: dict[str, str] | None = None) -> DataFrame:
     """A1: typed scan of one entity's CSV."""
-    return typed_from_raw(read_raw_csv(spark, path), entity, ts_format, key_types)
+    return typed_from_raw(read_raw_csv(spark, path, entity in FREE_TEXT_ENTITIES), entity, ts_format, key_types)
 
 
 def write_csv(df: DataFrame, path: str, headers: dict[str, str] | None = None) -> None:

@@ -19,36 +19,8 @@ ORPHAN_OFFSET = 100_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one supplied table.
-
-    A file written as a single row group cannot be split, so its scan is one
-    task and every per-row step before the first shuffle would run on one
-    core. When the scan has fewer splits than the cluster's default
-    parallelism (judged from the file index, without planning a job) and its
-    files are large enough to be worth it, it is spread round-robin; on large
-    inputs (thousands of files) this is a no-op. Column pruning and filters still reach the scan.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    want = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) < want and _total_bytes(spark, files) >= SPREAD_MIN_BYTES * len(files):
-        df = df.repartition(want)
-    return df
-
-
-# Files smaller than this are cheaper to scan in one task than to spread.
-SPREAD_MIN_BYTES = 8 * 1024 * 1024
-
-
-def _total_bytes(spark: SparkSession, files: list[str]) -> int:
-    """Sum of file lengths from file-system metadata (no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    return total
+    """Scan one supplied table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _days_after(day: str, n: Column) -> Column:
@@ -91,7 +63,7 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     user = (F.when(k % 11 == 3, k + ORPHAN_OFFSET)
             .when(k % 11 == 5, F.lit(None).cast("long"))
-            .otherwise(k % 1000))
+            .otherwise(k - k % 2))
     sex = (F.when(k % 6 == 0, F.lit(" maschio")).when(k % 6 == 1, F.lit("F"))
            .when(k % 6 == 2, F.lit("Donna")).when(k % 6 == 3, F.lit("x"))
            .when(k % 6 == 4, F.lit(None).cast("string")).otherwise(F.lit("uomo ")))
