@@ -49,14 +49,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/cartlens-{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, parts: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage
-    ends there, and a lost executor costs no recomputation of what led to it."""
+    ends there, and a lost executor costs no recomputation of what led to it.
+    ``parts`` merges partitions to at most so many files (of a table whose size is known)."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df if parts is None else df.coalesce(parts)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
+    """Files for a table of so many rows: never fewer than the cluster runs tasks."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // per_part))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64): spreads every input bit over the result."""
     x = x.astype(np.uint64, copy=True)

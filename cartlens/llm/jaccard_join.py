@@ -41,12 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.llm import common
-from cartlens.llm.common import stored
+from cartlens.llm.common import parts_for, stored
 from cartlens.llm.components import connected, own_key
 
 WORDS, PERCENT = 5, 75
 #: Classes in a search block, shingles in a hash range, classes in a bucket.
 BLOCK, RANGE, BUCKET = 128, 2_000_000, 20_000
+#: Classes with their shingles in a file of intermediate tables.
+CLASSES_PER_PART = 5_000
 #: The list of very common shingles: its length, and the least share of a pass that names one.
 COMMON, COMMON_SHARE = 1 << 18, 64
 #: Weight of the long lists in DivideSkip.
@@ -299,19 +301,21 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, own_key("root") == F.col("owner")).drop("owner")
 
 
-def _link_blocks(rows: DataFrame, level: int) -> DataFrame:
+def _link_blocks(rows: DataFrame, level: int, parts: int) -> DataFrame:
     """One search per block of each candidate component: its edges, and whether the component has other blocks."""
     block = F.pmod(F.xxhash64("cls", F.lit(level)), F.col("n_blocks")).cast("int")
     blocks = rows.select("root", block.alias("i"), F.when(F.col("n_blocks") > 1, 1).otherwise(0).alias("j"), "cls", "n", "tokens",
                          F.lit(1).alias("part"), F.col("cls").alias("joined"))
-    return stored(link(blocks), "links")
+    return stored(link(blocks), "links", parts)
 
 
 def verified(kept: DataFrame, candidates: DataFrame) -> DataFrame:
     """(node, root) of the classes that are linked with a smaller or earlier one."""
     rows = kept.select("cls", "n", "tokens").join(candidates.select(F.col("u").alias("cls"), "root"), "cls")
-    rows = stored(_sized(stored(rows, "classes")), "sized-classes")
-    found = _link_blocks(rows, 0)
+    rows = stored(rows, "classes")
+    parts = parts_for(rows.sparkSession, rows.count(), CLASSES_PER_PART)
+    rows = stored(_sized(rows), "sized-classes", parts)
+    found = _link_blocks(rows, 0, parts)
     large = rows.where("n_blocks > 1")
     edges = found.select(F.col("u").alias("node"), F.col("v").alias("root")).where("node <> root")
     if large.isEmpty():
@@ -321,17 +325,17 @@ def verified(kept: DataFrame, candidates: DataFrame) -> DataFrame:
     links, now, level, before = mine, large, 0, None
     while True:
         heads = mine.select(F.col("v").alias("cls")).distinct()
-        now = stored(_sized(now.where("n_blocks > 1").drop("n_blocks").join(heads, "cls", "left_semi")), "heads")
+        now = stored(_sized(now.where("n_blocks > 1").drop("n_blocks").join(heads, "cls", "left_semi")), "heads", parts)
         left, level = now.count(), level + 1
-        if left == before or not left:
-            break
+        if not left or (before is not None and left > before / 2):
+            break  # few of the rest link: what is left is compared below
         before = left
-        mine = _link_blocks(now, level)
+        mine = _link_blocks(now, level, parts)
         links = links.unionAll(mine)
     # What is still apart: compare everything outside a component's largest part with all of it.
-    parts = connected(links)
-    apart = large.drop("n_blocks").join(parts.select(F.col("node").alias("cls"), F.col("root").alias("joined")), "cls", "left")
-    apart = stored(apart.withColumn("joined", F.coalesce("joined", "cls")), "parts")
+    joined = connected(links)
+    apart = large.drop("n_blocks").join(joined.select(F.col("node").alias("cls"), F.col("root").alias("joined")), "cls", "left")
+    apart = stored(apart.withColumn("joined", F.coalesce("joined", "cls")), "parts", parts)
     size = apart.groupBy("root", "joined").agg(F.count("*").alias("size"))
     main = size.groupBy("root").agg(F.max(F.struct("size", "joined")).alias("most"), F.sum("size").alias("all"))
     main = (main.where(F.col("most.size") < F.col("all"))
