@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from cartlens.schema import FALSE_TOKENS, NA_TOKENS, TRUE_TOKENS
 
 
+ISO_DATE, ISO_TIME = "iso-date", "iso-time"
+_DATE, _TIME = r"\d{4}-\d{2}-\d{2}", r"[ T]\d{2}:\d{2}:\d{2}(\.\d{1,9})?"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -69,14 +73,15 @@ def parse_ts_strict(c, fmt: str | None = None, name: str = "value") -> Column:
 
 
 def parse_ts_coerce(c, fmt: str | None = None) -> Column:
-    """Timestamp (no time zone); values that are not in the column's one format become null.
+    """Timestamp (no time zone); values that are not in an accepted format become null.
 
-    The default format is ISO date and time (``T`` or a space between, a fraction allowed);
-    bare dates, years and offsets are other formats. ``fmt`` is a Spark datetime pattern.
+    Without ``fmt`` these are ISO dates and ISO dates with a time (``T`` or a space between, a
+    fraction allowed), not bare years or offsets; :data:`ISO_DATE` or :data:`ISO_TIME` accepts
+    only one of the two (the one-format rule); anything else is a Spark datetime pattern.
     Nothing passes through the session's time zone."""
     c = _col(c)
-    if fmt is None:
-        iso = F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,9})?$"))
-        return F.when(iso, c.try_cast("timestamp_ntz"))
+    if fmt in (None, ISO_DATE, ISO_TIME):
+        pattern = {None: f"^{_DATE}({_TIME})?$", ISO_DATE: f"^{_DATE}$", ISO_TIME: f"^{_DATE}{_TIME}$"}[fmt]
+        return F.when(F.rlike(c, F.lit(pattern)), c.try_cast("timestamp_ntz"))
     # Parsed without a zone; the guard keeps the strict parser from raising on other formats.
     return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))

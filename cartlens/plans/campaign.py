@@ -48,8 +48,8 @@ def churn_data(tables: dict[str, DataFrame], churn_period_days: int = CHURN_PERI
                                users, kpi.user_profile(tables["profiles"]))
     num = features.present(feats, CHURN_NUMERIC)
     cat = features.present(feats, CHURN_CATEGORICAL)
-    base = features.split_flag(feats.select("user_uid", "churned", *num, *cat), "user_uid",
-                               test_fraction, seed)
+    base = features.exact_split_flag(feats.select("user_uid", "churned", *num, *cat), "user_uid",
+                                     "churned", test_fraction, seed)
     prepared = features.prepare_design(base, num, cat, ~F.col("is_test") if fit_stats_on_train else None)
     design, _ = models.design_matrix(prepared, num, cat)
     design = design.withColumn("label", F.col("churned").cast("double"))
@@ -75,10 +75,18 @@ def evaluate(data: ChurnData, which: str = "rf") -> tuple[DataFrame, DataFrame]:
     return scored, auc
 
 
+def lr_gradient(data: ChurnData) -> DataFrame:
+    """Gradient per design column of the logistic model fitted on the train part (zero at the optimum)."""
+    train = data.design.where(~F.col("is_test"))
+    n = train.count()
+    model = models.fit_reliably(models.logistic(n), train, checkpoint=False)
+    return models.logistic_gradient(model, train, 1.0 / n)
+
+
 def run_campaign(tables: dict[str, DataFrame], prob_threshold: float = CHURN_PROB_THRESHOLD,
                  value_percentile: float = VALUE_PERCENTILE, out_csv: str | None = None,
                  evaluate_holdout: bool = True) -> dict[str, DataFrame]:
-    """K5: returns ``targets`` (and ``holdout_auc``, ``report`` when evaluated)."""
+    """K5: returns ``targets`` and ``scored`` (and ``holdout_auc``, ``report`` when evaluated)."""
     data = churn_data(tables, user_columns=["user_uid", "source", "language"])
     out: dict[str, DataFrame] = {}
     if evaluate_holdout:
@@ -88,6 +96,7 @@ def run_campaign(tables: dict[str, DataFrame], prob_threshold: float = CHURN_PRO
     final = models.fit_reliably(models.random_forest(), data.design, checkpoint=False)
     proba = _scored(final, data.design).select("user_uid", "churn_proba")
     scored_all = data.features.join(proba, "user_uid")
+    out["scored"] = scored_all = cut_lineage(scored_all)
     out["targets"] = campaign.select_targets(scored_all, "churn_proba", prob_threshold, value_percentile)
     if out_csv:
         campaign.export_csv(out["targets"], out_csv)

@@ -161,9 +161,13 @@ def run_etl(spark: SparkSession, in_dir: str, out_dir: str, ts_format: str | Non
     """
     raw = read_shop_csv(spark, in_dir, ts_format, key_types)
     cards = raw["cards"]
-    if "event_id" not in cards.columns:
-        # Without a tie-break column, the latest-row rule needs one: file order.
-        raw["cards"] = cards.withColumn("event_id", F.monotonically_increasing_id())
+    own_order = "event_id" in cards.columns
+    if not own_order:
+        # The latest-row rule needs a tie-break that does not change with the split of the files:
+        # the whole row's text.
+        raw["cards"] = cards.withColumn("event_id", F.to_json(F.struct(*[F.col(c) for c in cards.columns])))
     clean = clean_tables(raw)
+    if not own_order:
+        clean["cards"] = clean["cards"].drop("event_id")
     write_clean_tables(clean, out_dir)
     return read_clean_tables(spark, out_dir, list(clean.keys()))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,17 +17,18 @@ from cartlens.functions.text import clean_review_text, text_length
 from cartlens.operators import features, models, repair
 from cartlens.operators import sentiment as sn
 from cartlens.plans.etl import clean_reviews, clean_reviews_labelled
-from cartlens.schema import MIN_REVIEW_LENGTH, SEED, SENTIMENT_CLASSES, SENTIMENT_TEST_FRACTION
+from cartlens.schema import MIN_REVIEW_LENGTH, SEED, SENTIMENT_TEST_FRACTION
 from cartlens.session import cut_lineage
 
 
 def labelled_docs(raw_labelled: DataFrame, test_fraction: float = SENTIMENT_TEST_FRACTION,
                   seed: int = SEED) -> DataFrame:
-    """B5/B6 -> B7 -> B8 -> J1 -> J2: (id, text, sentiment_label, is_test)."""
+    """B5/B6 -> B7 -> B8 -> J1 -> J2: (id, text, sentiment_label, is_test), split within each class.
+    The cleaned texts are materialised here: the split reads them twice."""
     lab = clean_reviews_labelled(raw_labelled).withColumn("text", clean_review_text("text"))
     lab = repair.keep_where(lab, "text", lambda t: text_length(t) > MIN_REVIEW_LENGTH)
-    lab = lab.select(F.col("labelled_review_uid").alias("id"), "text", "sentiment_label")
-    return features.split_flag(lab, "id", test_fraction, seed)
+    lab = cut_lineage(lab.select(F.col("labelled_review_uid").alias("id"), "text", "sentiment_label"))
+    return features.exact_split_flag(lab, "id", "sentiment_label", test_fraction, seed)
 
 
 @dataclass
@@ -44,9 +46,10 @@ def doc_counts(docs: DataFrame) -> DataFrame:
 
 
 def fit_text_features(docs: DataFrame, counts: DataFrame | None = None) -> TextFeatures:
-    counts = counts if counts is not None else doc_counts(docs)
+    counts = counts if counts is not None else cut_lineage(doc_counts(docs))
     n_train = docs.where(~F.col("is_test")).agg(F.count(F.lit(1)).alias("n"))
-    vocab = sn.vocabulary(counts.where(~F.col("is_test")), n_train)
+    # Vocabulary and index are read by weighting, vectors and scoring.
+    vocab = cut_lineage(sn.vocabulary(counts.where(~F.col("is_test")), n_train))
     index = sn.dense_index(vocab, "term")
     size = index.agg(F.count(F.lit(1)).cast("int").alias("vocab_size"))
     return TextFeatures(vocab, index, size, n_train)
@@ -65,46 +68,76 @@ def vectorize(docs: DataFrame, tf: TextFeatures, doc: str = "id",
         F.coalesce("values", F.array().cast("array<double>")))).drop("indices", "values", "vocab_size")
 
 
-def label_index(label: str = "sentiment_label"):
-    return (F.array_position(F.array(*[F.lit(c) for c in SENTIMENT_CLASSES]), F.col(label)) - 1).cast("double")
-
-
-def class_name(pred: str = "prediction"):
-    return F.element_at(F.array(*[F.lit(c) for c in SENTIMENT_CLASSES]), F.col(pred).cast("int") + 1)
-
-
 @dataclass
 class SentimentResult:
     model: object
     text: TextFeatures
+    classes: list[str]
+    train: DataFrame      # id, label, weight, features
+    weights: DataFrame    # id, term, weight of the labelled documents
     test_predictions: DataFrame
     report: DataFrame
     confusion: DataFrame
 
 
 def train_sentiment(raw_labelled: DataFrame) -> SentimentResult:
+    """The classes are those of the labelled reviews; their names (one per class) reach the driver."""
     docs = cut_lineage(labelled_docs(raw_labelled))
     counts = cut_lineage(doc_counts(docs))
     tf = fit_text_features(docs, counts)
-    data = vectorize(docs, tf, counts=counts).withColumn("label", label_index())
+    index = cut_lineage(sn.class_index(docs, "sentiment_label"))
+    classes = [r["sentiment_label"] for r in index.orderBy("label").collect()]
+    weights = sn.class_weights(docs.where(~F.col("is_test")), "sentiment_label")
+    data = vectorize(docs, tf, counts=counts).join(F.broadcast(index), "sentiment_label")
+    data = cut_lineage(data.join(F.broadcast(weights), "sentiment_label", "left"))   # one row per class
     train = data.where(~F.col("is_test"))
-    weights = sn.class_weights(train, "sentiment_label")
-    train = train.join(F.broadcast(weights), "sentiment_label")   # one row per class
     n = train.count()
     lr = models.logistic(float(n), weight="weight", family="multinomial", max_iter=1500)
-    model = models.fit_reliably(lr, train)
-    test = data.where(F.col("is_test"))
-    pred = (model.transform(test)
-            .select("id", "sentiment_label", class_name().alias("sentiment_pred")))
+    model = models.fit_reliably(lr, train, checkpoint=False)
+    names = F.array(*[F.lit(c) for c in classes])
+    pred = cut_lineage(model.transform(data.where(F.col("is_test")))
+                       .select("id", "sentiment_label", F.get(names, F.col("prediction").cast("int")).alias("sentiment_pred")))
     report = features.classification_report(pred, "sentiment_label", "sentiment_pred")
-    conf = features.confusion_matrix(pred, "sentiment_label", "sentiment_pred", SENTIMENT_CLASSES)
-    return SentimentResult(model, tf, pred, report, conf)
+    conf = features.confusion_matrix(pred, "sentiment_label", "sentiment_pred", classes)
+    weighted = sn.tfidf(counts.select("id", "term", "tf"), tf.vocab, "id")
+    return SentimentResult(model, tf, classes, train, weighted, pred, report, conf)
+
+
+def coefficient_table(result: SentimentResult) -> DataFrame:
+    """(term, coef): the model's coefficients by term, one value per class. The model itself
+    is on the driver, so is this table of the same size."""
+    matrix = result.model.coefficientMatrix.toArray()
+    rows = [(i, [float(x) for x in matrix[:, i]]) for i in range(matrix.shape[1])]
+    spark = result.text.index.sparkSession
+    return result.text.index.join(spark.createDataFrame(rows, "idx int, coef array<double>"), "idx").select("term", "coef")
 
 
 def score_reviews(raw_reviews: DataFrame, result: SentimentResult) -> DataFrame:
-    """``sentiment_pred`` for every review."""
+    """``sentiment_pred`` for every review: a join of its terms' weights with the
+    coefficients and a sum per class; equal scores go to the first class."""
     rev = clean_reviews(raw_reviews).withColumn("text", clean_review_text("text"))
-    docs = rev.select(F.col("review_uid").alias("id"), "user_uid", "text")
-    return (result.model.transform(vectorize(docs, result.text))
+    # Read for the terms and for the output: clean the texts once.
+    docs = cut_lineage(rev.select(F.col("review_uid").alias("id"), "user_uid", "text"))
+    weights = sn.tfidf(sn.term_counts(docs, "id", "text"), result.text.vocab, "id")
+    scores = sn.linear_scores(weights, coefficient_table(result), "id", len(result.classes))
+    bias = F.array(*[F.lit(float(b)) for b in result.model.interceptVector])
+    total = F.when(F.col("scores").isNull(), bias).otherwise(F.zip_with("scores", bias, lambda a, b: a + b))
+    best = F.array_position(total, F.array_max(total)).cast("int") - 1
+    return (docs.join(scores, "id", "left")
             .select(F.col("id").alias("review_uid"), "user_uid", "text",
-                    class_name().alias("sentiment_pred")))
+                    F.get(F.array(*[F.lit(c) for c in result.classes]), best).alias("sentiment_pred")))
+
+
+def multinomial_gradient(result: SentimentResult) -> DataFrame:
+    """Per class the largest absolute gradient of the penalised weighted log-loss over all
+    terms, at the fitted model and over its training rows: zero at the optimum."""
+    n, k = result.train.count(), len(result.classes)
+    prob = vector_to_array(F.col("probability"))
+    rest = result.model.transform(result.train).select("id", *[
+        (F.col("weight") * (F.get(prob, F.lit(c)) - (F.col("label") == c).cast("int"))).alias(f"_r{c}") for c in range(k)])
+    sums = (result.weights.withColumnRenamed("weight", "_x").join(rest, "id").groupBy("term")
+            .agg(*[F.sum(F.col("_x") * F.col(f"_r{c}")).alias(f"_g{c}") for c in range(k)]))
+    total = sums.join(coefficient_table(result), "term").agg(*[
+        F.max(F.abs(F.col(f"_g{c}") / n + F.get("coef", F.lit(c)) / n)).alias(f"_m{c}") for c in range(k)])
+    return total.select(F.inline(F.array(*[F.struct(F.lit(name).alias("sentiment_label"), F.col(f"_m{c}").alias("max_abs_gradient"))
+                                           for c, name in enumerate(result.classes)])))

@@ -221,6 +221,35 @@ def q_order_volume(spark, sf):
     return bd.order_volume(shop_clean(spark, sf)["orders"], "created_at", "month")
 
 
+@register("revenue_by_product_type_top10", sql(f"""
+SELECT p.product_type, {sql_money('d.item_amount')} AS revenue
+FROM details d LEFT JOIN products p ON d.product_uid = p.product_uid
+WHERE d.item_status = 'fulfilled' AND p.product_type IS NOT NULL
+GROUP BY p.product_type ORDER BY revenue DESC, p.product_type LIMIT 10""", "details", "products"), money=("revenue",))
+def q_revenue_by_product_type_top10(spark, sf):
+    d = with_product_type(shop_clean(spark, sf)["order_details"], st.products(spark, sf))
+    return bd.revenue_by_product_type(d, k=10)
+
+
+def _volume_sql(label: str, step: str) -> str:
+    return sql(f"""
+WITH c AS (SELECT {label} AS p, count(*) AS num_orders FROM shop_orders WHERE created_at IS NOT NULL GROUP BY 1),
+     g AS (SELECT CAST(unnest(generate_series(CAST((SELECT min(p) FROM c) AS TIMESTAMP),
+                                              CAST((SELECT max(p) FROM c) AS TIMESTAMP), INTERVAL {step})) AS DATE) AS p)
+SELECT CAST(g.p AS TIMESTAMP) AS period_end, coalesce(c.num_orders, 0) AS num_orders
+FROM g LEFT JOIN c ON g.p = c.p""", "shop_orders")
+
+
+@register("order_volume_weekly", _volume_sql("CAST(date_trunc('week', created_at) AS DATE) + 6", "7 DAY"))
+def q_order_volume_weekly(spark, sf):
+    return bd.order_volume(shop_clean(spark, sf)["orders"], "created_at", "week")
+
+
+@register("order_volume_daily", _volume_sql("CAST(created_at AS DATE)", "1 DAY"))
+def q_order_volume_daily(spark, sf):
+    return bd.order_volume(shop_clean(spark, sf)["orders"], "created_at", "day")
+
+
 @register("top_languages", sql("""
 SELECT language, count(*) AS num_users FROM users WHERE language IS NOT NULL
 GROUP BY language ORDER BY num_users DESC, language LIMIT 10""", "users"))

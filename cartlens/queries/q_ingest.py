@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
+from pyspark.sql import functions as F
 
 from cartlens.catalog import register
 from cartlens.functions import parse as ps
 from cartlens.oracles.views import in_list, sql
 from cartlens.operators import quality as dq
-from cartlens.plans.etl import shop_raw
+from cartlens.operators.campaign import export_csv
+from cartlens.plans.etl import read_clean_tables, shop_clean, shop_raw, write_clean_tables
 from cartlens.schema import FALSE_TOKENS, NA_TOKENS, TRUE_TOKENS
+from cartlens.session import checkpoint_dir
 from cartlens.sources import shop_tables as st
+from cartlens.sources.csv_ingest import read_raw_csv
 
 _TOKENS_CTE = "raw_tokens"
 
@@ -105,3 +110,46 @@ def q_table_profile(spark, sf):
     raw = shop_raw(spark, sf)
     return reduce(lambda a, b: a.unionByName(b), [dq.table_profile(raw[n], n) for n in _PROFILED])
 
+
+
+@register("parse_ts_strict", """
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS raw_ts, CAST(strftime(ts, '%Y-%m-%dT%H:%M:%S') AS TIMESTAMP) AS value
+FROM events""")
+def q_parse_ts_strict(spark, sf):
+    """The strict parser reads a column of one format."""
+    e = st.table(spark, sf, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("raw_ts"))
+    return e.select("event_id", "raw_ts", ps.parse_ts_strict("raw_ts", name="raw_ts").alias("value"))
+
+
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("parquet_round_trip", sql("""
+SELECT 'users' AS table_name, CAST(user_uid AS VARCHAR) AS key, CAST(created_at AS VARCHAR) AS detail FROM users
+UNION ALL SELECT 'orders', CAST(order_uid AS VARCHAR), source FROM shop_orders
+UNION ALL SELECT 'order_details', CAST(order_uid AS VARCHAR) || ':' || CAST(item_uid AS VARCHAR), item_status FROM details""",
+                                    "users", "shop_orders", "details"))
+def q_parquet_round_trip(spark, sf):
+    """Clean tables written as Parquet and read back."""
+    names = ["users", "orders", "order_details"]
+    clean, path = shop_clean(spark, sf), _scratch(spark, "clean")
+    write_clean_tables({n: clean[n] for n in names}, path)
+    t = read_clean_tables(spark, path, names)
+    row = [t["users"].select(F.lit("users").alias("table_name"), F.col("user_uid").cast("string").alias("key"),
+                             F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("detail")),
+           t["orders"].select(F.lit("orders"), F.col("order_uid").cast("string"), "source"),
+           t["order_details"].select(F.lit("order_details"), F.concat_ws(":", "order_uid", "item_uid"), "item_status")]
+    return reduce(lambda a, b: a.union(b), row)
+
+
+@register("csv_round_trip", """
+SELECT CAST(c_custkey AS VARCHAR) AS user_uid, c_mktsegment AS source, CAST(round(c_acctbal, 2) AS DOUBLE) AS balance FROM customer""")
+def q_csv_round_trip(spark, sf):
+    """A10: an export written as CSV with a header and read back by name."""
+    path = _scratch(spark, "export")
+    c = st.table(spark, sf, "customer")
+    export_csv(c.select(F.col("c_custkey").alias("user_uid"), F.col("c_mktsegment").alias("source"),
+                        F.round("c_acctbal", 2).alias("balance")), path)
+    raw = read_raw_csv(spark, path)
+    return raw.select("user_uid", "source", ps.parse_double("balance", "balance").alias("balance"))

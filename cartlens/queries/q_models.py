@@ -1,12 +1,15 @@
 """Registered queries for features, metrics, text features and models (I, J, K).
 
-Model fits (logistic regression, random forest) have no SQL twin: their keys
-are checked on rows only. Everything around them (imputation, scaling,
-one-hot, split, AUC, reports, TF-IDF) is SQL-checked.
+Everything around the model fits (imputation, scaling, one-hot, split, AUC,
+reports, TF-IDF) is compared row by row. The fits themselves are not compared
+with another library: their keys return what SQL can state about them (which
+rows are scored, that probabilities and classes are in range, that decisions
+follow the rule, that the penalised loss has gradient zero).
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartlens.catalog import register
@@ -14,12 +17,14 @@ from cartlens.oracles.views import sql, strip
 from cartlens.operators import campaign, features
 from cartlens.operators import sentiment as sn
 from cartlens.operators.features import threshold_hex
+from cartlens.operators.stats import with_scalars
 from cartlens.plans import campaign as camp_plan
 from cartlens.plans import sentiment as sent_plan
 from cartlens.plans.etl import shop_clean
 from cartlens.queries.common import churn_features_of as _features
 from cartlens.queries.q_text import sql_normalize_ws, sql_review_clean
-from cartlens.schema import CHURN_NUMERIC, CHURN_TEST_FRACTION, SEED, SENTIMENT_TEST_FRACTION
+from cartlens.schema import (CHURN_NUMERIC, CHURN_PROB_THRESHOLD, CHURN_TEST_FRACTION, SEED,
+                             SENTIMENT_TEST_FRACTION)
 from cartlens.session import cut_lineage
 from cartlens.sources import shop_tables as st
 
@@ -165,7 +170,8 @@ def q_confusion_matrix(spark, sf):
 _LAB = f"""
 WITH lab AS (
   SELECT id, text, sentiment_label,
-         substr(md5(CAST(id AS VARCHAR) || ':{SEED}'), 1, 8) < '{threshold_hex(SENTIMENT_TEST_FRACTION)}' AS is_test
+         row_number() OVER (PARTITION BY sentiment_label ORDER BY substr(md5(CAST(id AS VARCHAR) || ':{SEED}'), 1, 14)) - 1
+           < floor({SENTIMENT_TEST_FRACTION} * count(*) OVER (PARTITION BY sentiment_label) + 0.5) AS is_test
   FROM (SELECT labelled_review_uid AS id, {sql_review_clean(sql_normalize_ws('text'))} AS text,
                lower({strip('sentiment_label')}) AS sentiment_label FROM raw_labelled)
   WHERE length(text) > 3),
@@ -218,7 +224,7 @@ SELECT id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)), 9) AS
 FROM (SELECT c.id, c.term, (1 + ln(c.tf)) * v.idf AS raw FROM counts c JOIN vocab v ON c.term = v.term)"""))
 def q_tfidf(spark, sf):
     d = _docs(spark, sf)
-    counts = sent_plan.doc_counts(d)
+    counts = cut_lineage(sent_plan.doc_counts(d))
     tf = sent_plan.fit_text_features(d, counts)
     w = sn.tfidf(counts.select("id", "term", "tf"), tf.vocab, "id")
     return w.select("id", "term", F.round("weight", 9).alias("weight"))
@@ -239,29 +245,54 @@ def q_class_weights(spark, sf):
     return sn.class_weights(d, "sentiment_label").select("sentiment_label", F.round("weight", 9).alias("weight"))
 
 
-@register("sentiment_lr")
+def _trained(spark, sf):
+    return sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf))
+
+
+@register("sentiment_lr", _lab_sql("""
+SELECT id, sentiment_label, true AS pred_is_class FROM lab WHERE is_test"""))
 def q_sentiment_lr(spark, sf):
-    """Hold-out predictions of the class-weighted multinomial model."""
-    return sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf)).test_predictions
+    """The class-weighted multinomial model labels each hold-out row with a learned class."""
+    r = _trained(spark, sf)
+    return r.test_predictions.select("id", "sentiment_label",
+                                     F.coalesce(F.col("sentiment_pred").isin(r.classes), F.lit(False)).alias("pred_is_class"))
+
+
+@register("sentiment_lr_gradient", _lab_sql("""
+SELECT DISTINCT sentiment_label, CAST(0 AS DOUBLE) AS max_abs_gradient FROM lab"""))
+def q_sentiment_lr_gradient(spark, sf):
+    """The model is an optimum: the largest gradient over all terms is zero to 3 places."""
+    g = sent_plan.multinomial_gradient(_trained(spark, sf))
+    return g.select("sentiment_label", F.round("max_abs_gradient", 3).alias("max_abs_gradient"))
 
 
-@register("sentiment_confusion_matrix")
+@register("sentiment_confusion_matrix", _lab_sql("""
+SELECT sentiment_label AS label, count(*) AS num_docs FROM lab WHERE is_test GROUP BY sentiment_label"""))
 def q_sentiment_confusion(spark, sf):
-    """Confusion matrix of the sentiment model on the hold-out part."""
-    return sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf)).confusion
+    """The confusion matrix's rows add up to the hold-out rows of each class."""
+    m = _trained(spark, sf).confusion
+    return m.select("label", sum((F.col(c) for c in m.columns[1:]), F.lit(0)).cast("long").alias("num_docs"))
 
 
-@register("sentiment_report")
+@register("sentiment_report", _lab_sql("""
+SELECT sentiment_label AS class_name, count(*) AS support, true AS in_unit FROM lab WHERE is_test GROUP BY sentiment_label
+UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), (SELECT count(*) FROM lab WHERE is_test), true"""))
 def q_sentiment_report(spark, sf):
-    """Classification report of the sentiment model."""
-    return sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf)).report
+    """Supports of the sentiment report; its scores lie between 0 and 1."""
+    r = _trained(spark, sf).report.where("support > 0")
+    ok = [F.coalesce(F.col(c).between(0, 1), F.lit(True)) for c in ("precision", "recall", "f1")]
+    return r.select("class_name", "support", (ok[0] & ok[1] & ok[2]).alias("in_unit"))
 
 
-@register("sentiment_scored")
+@register("sentiment_scored", sql(f"""
+SELECT review_uid, user_uid, {sql_review_clean(sql_normalize_ws('text'))} AS text, true AS pred_is_class
+FROM raw_reviews""", "raw_reviews"))
 def q_sentiment_scored(spark, sf):
-    """Every review with its predicted sentiment."""
-    res = sent_plan.train_sentiment(st.raw_reviews_labelled(spark, sf))
-    return sent_plan.score_reviews(st.raw_reviews(spark, sf), res)
+    """Every review gets a learned class; its other columns are compared."""
+    r = _trained(spark, sf)
+    scored = sent_plan.score_reviews(st.raw_reviews(spark, sf), r)
+    return scored.select("review_uid", "user_uid", "text",
+                         F.coalesce(F.col("sentiment_pred").isin(r.classes), F.lit(False)).alias("pred_is_class"))
 
 
 # ---------------------------------------------------------- I/K: models
@@ -270,23 +301,72 @@ def _churn_data(spark, sf):
     return camp_plan.churn_data(shop_clean(spark, sf), user_columns=["user_uid", "source", "language"])
 
 
-@register("churn_lr")
+_HOLD_OUT = f"""
+h AS (SELECT user_uid, churned,
+             row_number() OVER (PARTITION BY churned ORDER BY substr(md5(CAST(user_uid AS VARCHAR) || ':{SEED}'), 1, 14)) - 1
+               < floor({CHURN_TEST_FRACTION} * count(*) OVER (PARTITION BY churned) + 0.5) AS is_test
+      FROM churn_features)"""
+_LEVELS = f"""
+lv AS (SELECT f, level, CAST(row_number() OVER (ORDER BY f, level) + {len(NUM)} - 1 AS INTEGER) AS pos
+       FROM ({" UNION ".join(f"SELECT {i} AS f, coalesce(CAST({c} AS VARCHAR), 'Missing') AS level FROM churn_features" for i, c in enumerate(CAT))}))"""
+
+
+@register("design_matrix", sql(f"""
+WITH imp AS (SELECT user_uid, {_num_sql(lambda c: f'{_std_sql(c)} AS {c}')} FROM churn_features),
+{_LEVELS}
+{" UNION ALL ".join(f"""SELECT user_uid, {i} AS pos, round(({c} - avg({c}) OVER ()) /
+  CASE WHEN stddev_pop({c}) OVER () IS NULL OR stddev_pop({c}) OVER () = 0 THEN 1.0 ELSE stddev_pop({c}) OVER () END, 6) AS value FROM imp"""
+  for i, c in enumerate(NUM))}
+UNION ALL
+SELECT user_uid, pos, CASE WHEN lv.level = CASE f {" ".join(f"WHEN {i} THEN coalesce(CAST(u.{c} AS VARCHAR), 'Missing')" for i, c in enumerate(CAT))} END
+                           THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+FROM churn_features u CROSS JOIN lv""", "churn_features"))
+def q_design_matrix(spark, sf):
+    """The design vector, entry by entry: scaled numerics, then one column per level."""
+    d = _churn_data(spark, sf).design
+    return (d.select("user_uid", F.posexplode(vector_to_array(F.col("features"))).alias("pos", "value"))
+            .withColumn("value", F.round("value", 6)))
+
+
+def _holdout_facts(scored):
+    p = F.col("churn_proba")
+    return scored.select("user_uid", "churned", F.coalesce(p.between(0, 1), F.lit(False)).alias("proba_in_unit"),
+                         ((F.col("prediction") == 1) == (p >= 0.5)).alias("prediction_is_threshold"))
+
+
+_FACTS_SQL = sql(f"""
+WITH {_HOLD_OUT}
+SELECT user_uid, churned, true AS proba_in_unit, true AS prediction_is_threshold FROM h WHERE is_test""", "churn_features")
+
+
+@register("churn_lr", _FACTS_SQL)
 def q_churn_lr(spark, sf):
-    """Logistic regression hold-out scores."""
-    return camp_plan.evaluate(_churn_data(spark, sf), "lr")[0]
+    """Logistic regression scores exactly the hold-out rows."""
+    return _holdout_facts(camp_plan.evaluate(_churn_data(spark, sf), "lr")[0])
 
 
-@register("churn_rf")
+@register("churn_lr_gradient", sql(f"""
+WITH {_LEVELS}
+SELECT CAST(unnest(range(0, {len(NUM)} + (SELECT count(*) FROM lv))) AS INTEGER) AS pos, CAST(0 AS DOUBLE) AS gradient""",
+                                   "churn_features"))
+def q_churn_lr_gradient(spark, sf):
+    """The logistic model is an optimum: each coefficient's gradient is zero to 3 places."""
+    g = camp_plan.lr_gradient(_churn_data(spark, sf))
+    return g.select("pos", F.abs(F.round("gradient", 3)).alias("gradient"))
+
+
+@register("churn_rf", _FACTS_SQL)
 def q_churn_rf(spark, sf):
-    """Random forest hold-out scores."""
-    return camp_plan.evaluate(_churn_data(spark, sf), "rf")[0]
+    """The random forest scores exactly the hold-out rows."""
+    return _holdout_facts(camp_plan.evaluate(_churn_data(spark, sf), "rf")[0])
 
 
-@register("model_comparison")
+@register("model_comparison", "SELECT unnest(['lr', 'rf']) AS model, true AS auc_in_unit")
 def q_model_comparison(spark, sf):
-    """Hold-out AUC of both models."""
+    """One hold-out AUC per model, between 0 and 1."""
     data = _churn_data(spark, sf)
-    return camp_plan.evaluate(data, "lr")[1].unionByName(camp_plan.evaluate(data, "rf")[1])
+    both = camp_plan.evaluate(data, "lr")[1].unionByName(camp_plan.evaluate(data, "rf")[1])
+    return both.select("model", F.coalesce(F.col("auc").between(0, 1), F.lit(False)).alias("auc_in_unit"))
 
 
 _RULE_PROBA_SQL = "1.0 / (1.0 + exp(-(tenure_days / (30.0 * freq_total) - 1.0)))"
@@ -311,8 +391,19 @@ def q_campaign_targets(spark, sf):
     return t.withColumn("churn_proba", F.round("churn_proba", 9))
 
 
-@register("campaign_end_to_end")
+@register("campaign_end_to_end", sql("""
+SELECT user_uid, monetary_total, freq_total, tenure_days, orders_last_30d, main_city, sex, level, source,
+       monetary_total >= (SELECT quantile_cont(monetary_total, 0.5) FROM churn_features) AS value_ok,
+       true AS proba_in_unit, true AS target_is_rule
+FROM churn_features""", "churn_features"), money=("monetary_total",))
 def q_campaign_end_to_end(spark, sf):
-    """K5: model-scored campaign target list."""
-    return camp_plan.run_campaign(shop_clean(spark, sf), evaluate_holdout=False)["targets"]
-
+    """K5: every user's export columns; the target list is exactly the users that the rule selects."""
+    out = camp_plan.run_campaign(shop_clean(spark, sf), evaluate_holdout=False)
+    scored = with_scalars(out["scored"], campaign.value_cutoff(out["scored"], materialize=False))
+    listed = out["targets"].select("user_uid", F.lit(True).alias("listed"))
+    value_ok = F.col("monetary_total") >= F.col("_value_cut")
+    rule = value_ok & (F.col("churn_proba") >= CHURN_PROB_THRESHOLD)
+    return scored.join(listed, "user_uid", "left").select(
+        "user_uid", "monetary_total", "freq_total", "tenure_days", "orders_last_30d", "main_city", "sex", "level", "source",
+        value_ok.alias("value_ok"), F.coalesce(F.col("churn_proba").between(0, 1), F.lit(False)).alias("proba_in_unit"),
+        (F.coalesce("listed", F.lit(False)) == rule).alias("target_is_rule"))

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.functions.parse import (na_to_null, parse_boolean, parse_double, parse_integer,
+from cartlens.functions.parse import (ISO_DATE, ISO_TIME, na_to_null, parse_boolean, parse_double, parse_integer,
                                       parse_ts_coerce, parse_ts_strict)
 from cartlens.schema import ENTITY_COLUMNS, FREE_TEXT_ENTITIES, PATTERN_COLUMNS
 
@@ -56,15 +56,25 @@ def _convert(col, kind: str, name: str, ts_format: str | None):
     return col
 
 
+def _first_form(raw: DataFrame, header: str) -> str:
+    """Whether the first value of a column that is not missing (one value comes to the driver) has a time."""
+    value = na_to_null(F.col(f"`{header}`"))
+    first = raw.select(value.alias("v")).where("v is not null").first()
+    return ISO_TIME if first is None or len(first["v"]) > 10 else ISO_DATE
+
+
 def typed_from_raw(raw: DataFrame, entity: str, ts_format: str | None = None,
                    key_types: dict[str, str] | None = None) -> DataFrame:
-    """A1 + A3-A7 on an all-string frame whose columns are the CSV headers."""
+    """A1 + A3-A7 on an all-string frame whose columns are the CSV headers. With ``ts_format``
+    ``infer``, each timestamp column has the ISO form of its first value, and values in
+    another form become null (or raise, in a strict column)."""
     declared = {src: (dst, kind) for src, dst, kind in ENTITY_COLUMNS[entity]}
     out = []
     for src in raw.columns:
         dst, kind = declared.get(src, (spark_name(src), "string"))
         c = na_to_null(F.col(f"`{src}`"))
-        c = _convert(c, kind, src, ts_format)
+        fmt = _first_form(raw, src) if ts_format == "infer" and kind.startswith("ts_") else ts_format
+        c = _convert(c, kind, src, fmt)
         if key_types and dst in key_types:
             c = c.cast(key_types[dst])
         out.append(c.alias(dst))

@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from cartlens.plans.etl import run_etl, shop_clean, shop_raw
-from cartlens.sources.csv_ingest import read_raw_csv, source_headers, spark_name, write_csv
+from cartlens.sources.csv_ingest import read_raw_csv, read_typed_csv, source_headers, spark_name, typed_from_raw, write_csv
 
 from conftest import SMALL
 
@@ -42,3 +42,26 @@ def test_csv_etl_matches_parquet_path(spark):
         g = got[name].select(*[F.col(c).cast(w.schema[c].dataType) for c in w.columns])
         assert g.count() == w.count(), name
         assert g.exceptAll(w).count() == 0 and w.exceptAll(g).count() == 0, name
+
+
+def test_plain_csv_splits_and_free_text_keeps_line_breaks(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n" + "".join(f"{i},x\n" for i in range(40000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        assert read_raw_csv(spark, str(tmp_path / "t.csv")).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    (tmp_path / "r.csv").write_text('review.uid,user.uid,text\n1,2,"two\nlines"\n')
+    assert read_typed_csv(spark, str(tmp_path / "r.csv"), "reviews").first()["text"] == "two\nlines"
+
+
+def test_card_number_column_is_known_by_its_pattern():
+    assert spark_name("item.shopcardNumber") == "item_card_number"
+
+
+def test_one_timestamp_form_per_column(spark):
+    raw = spark.createDataFrame([("1", "2024-01-01", "valid"), ("2", "2024-01-02 10:00:00", "valid"), ("3", "2024-01-03", "x")],
+                                "`card.uid` string, assignedAt string, status string")
+    got = [r.assigned_at is None for r in typed_from_raw(raw, "cards", "infer").orderBy("card_uid").collect()]
+    assert got == [False, True, False]

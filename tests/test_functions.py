@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cartlens.functions import parse as ps
 from cartlens.functions import (canonical_sex, clean_review_text, clean_str, is_invalid_json,
                                 na_to_null, normalize_label, normalize_whitespace, parse_boolean,
                                 parse_integer, parse_list_string, parse_ts_coerce, parse_ts_strict)
@@ -72,3 +73,30 @@ def test_whitespace_set_matches_python_isspace(spark):
     assert WS_CHARS == "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
     s = "\u3000\xa0 a b \x1c"
     assert col_values(spark, [s], lambda c: clean_str(c)) == [s.strip()]
+
+
+def test_numbers_keep_their_digits_and_reject_suffixes(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("12.0",), ("1e3",), ("-7",)], "x string")
+    assert [r[0] for r in df.select(ps.parse_integer("x")).collect()] == [9007199254740993, 12, 1000, -7]
+    for bad in ("1.5d", "1f", "0x10", "1.5"):
+        with pytest.raises(Exception, match="invalid integer"):
+            spark.createDataFrame([(bad,)], "x string").select(ps.parse_integer("x")).collect()
+    with pytest.raises(Exception, match="invalid number"):
+        spark.createDataFrame([("1.5d",)], "x string").select(ps.parse_double("x")).collect()
+    assert spark.createDataFrame([("1.5",)], "x string").select(ps.parse_double("x")).first()[0] == 1.5
+
+
+def test_timestamps_have_one_format_and_no_zone(spark):
+    rows = ["2024-03-31 02:30:00", "2024-03-31T02:30:00.5", "2024", "2024-03-31", "2024-03-31 02:30:00+01:00", "x", None]
+    df = spark.createDataFrame([(r,) for r in rows], "x string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Rome")
+    try:
+        got = [r[0] for r in df.select(ps.parse_ts_coerce("x", ps.ISO_TIME)).collect()]
+        either = [r[0] for r in df.select(ps.parse_ts_coerce("x")).collect()]
+        dates = [r[0] for r in df.select(ps.parse_ts_coerce("x", "yyyy-MM-dd")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2024, 3, 31, 2, 30), dt.datetime(2024, 3, 31, 2, 30, 0, 500000)] + [None] * 5
+    assert either == got[:3] + [dt.datetime(2024, 3, 31)] + [None] * 3
+    assert dates == [None, None, None, dt.datetime(2024, 3, 31), None, None, None]

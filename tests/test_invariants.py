@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from cartlens.operators import quality as dq
 from cartlens.operators import repair
+from cartlens.plans import campaign, sentiment
 from cartlens.plans.etl import shop_clean, shop_raw
 
 from conftest import SMALL
@@ -62,11 +63,23 @@ def test_split_proportion(spark):
 
 
 def test_models_give_probabilities(spark):
-    lr = Q["churn_lr"](spark, SMALL)
-    assert lr.where((F.col("churn_proba") < 0) | (F.col("churn_proba") > 1)).count() == 0
-    scored = Q["sentiment_scored"](spark, SMALL)
-    assert scored.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
-    assert {r[0] for r in scored.select("sentiment_pred").distinct().collect()} <= {"negative", "neutral", "positive"}
+    data = campaign.churn_data(shop_clean(spark, SMALL), user_columns=["user_uid", "source", "language"])
+    scored, auc = campaign.evaluate(data, "lr")
+    assert scored.where((F.col("churn_proba") < 0) | (F.col("churn_proba") > 1)).count() == 0
+    assert 0 <= auc.first()["auc"] <= 1
+
+
+def test_sentiment_learns_its_classes(spark):
+    rows = [(i, f"word{i % 4} common text number {i % 4} again", ["bad", "fine", "good", "mixed"][i % 4]) for i in range(80)]
+    raw = spark.createDataFrame(rows, "labelled_review_uid long, text string, sentiment_label string")
+    r = sentiment.train_sentiment(raw)
+    assert r.classes == ["bad", "fine", "good", "mixed"]
+    assert r.test_predictions.where("sentiment_label <> sentiment_pred").count() == 0
+    more = spark.createDataFrame([(1, 7, "word2 common"), (2, None, None), (3, 8, "zzz")], "review_uid long, user_uid long, text string")
+    scored = {x.review_uid: x.sentiment_pred for x in sentiment.score_reviews(more, r).collect()}
+    assert scored[1] == "good" and set(scored.values()) <= set(r.classes) and len(scored) == 3
+    plan = sentiment.score_reviews(more, r)._jdf.queryExecution().toString()
+    assert "Python" not in plan
 
 
 def test_exact_split_quota_per_class(spark):

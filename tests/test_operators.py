@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from cartlens.operators import breakdowns as bd
-from cartlens.operators import features, kpi, repair, rfm, stats
+from cartlens.operators import campaign, features, kpi, models, quality, repair, rfm, stats
 from cartlens.operators import sentiment as sn
 
 
@@ -154,3 +154,59 @@ def test_exact_split_three_classes(spark):
                                                            F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
     assert all(t == int(0.25 * n + 0.5) for n, t in per.values())
     assert out.count() == 600
+
+
+def test_exact_split_many_classes_and_null(spark):
+    rows = [(i, None if i % 301 == 0 else f"c{i % 300}") for i in range(3000)]
+    out = features.exact_split_flag(spark.createDataFrame(rows, "k int, y string"), "k", "y", 0.3, 42)
+    per = {r.y: (r.n, r.t) for r in out.groupBy("y").agg(F.count(F.lit(1)).alias("n"),
+                                                           F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
+    assert len(per) == 301 and None in per
+    assert all(t == int(0.3 * n + 0.5) for n, t in per.values())
+
+
+def test_money_sum_small_nan_and_null_amounts(spark):
+    rows = [("small", 0.004)] * 100 + [("nan", float("nan")), ("nan", 1.5), ("null", None), ("mixed", None), ("mixed", 2.25)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: r.s for r in df.groupBy("g").agg(stats.money_sum("x").alias("s")).collect()}
+    assert abs(got.pop("small") - 0.4) < 1e-12
+    assert got == {"nan": 1.5, "null": 0.0, "mixed": 2.25}
+
+
+def test_dense_index_without_exchange_reuse(spark):
+    df = spark.range(60_000).select(F.concat(F.lit("t"), F.md5(F.col("id").cast("string"))).alias("term"))
+    old = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        out = sn.dense_index(df, "term")
+        r = out.agg(F.countDistinct("idx").alias("n"), F.min("idx").alias("a"), F.max("idx").alias("b")).first()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
+    assert (r.n, r.a, r.b) == (60_000, 0, 59_999)
+
+
+def test_quantiles_of_nothing_are_null(spark):
+    for df in (spark.createDataFrame([], "k int, x double, monetary_total double, churn_proba double"),
+               spark.createDataFrame([(1, None, None, 0.9)], "k int, x double, monetary_total double, churn_proba double")):
+        assert stats.distributed_quantiles(df, "x", [0.5]).first().q == []
+        assert all(r.x is None for r in features.impute_median(df, ["x"], unbounded=["x"]).collect())
+        assert campaign.select_targets(df, "churn_proba").collect() == []
+    empty = spark.createDataFrame([], "order_uid int, user_uid int, order_date timestamp_ntz, order_revenue double")
+    assert rfm.rfm_segments(empty).collect() == []
+
+
+def test_foreign_keys_in_one_pass(spark):
+    parent = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "user_uid string")
+    child = spark.createDataFrame([(1, "a", "x"), (2, "z", "x"), (3, None, "x"), (4, None, "free"), (5, "z", "free"), (6, "b", None), (6, "b", None)],
+                                  "id int, user_uid string, status string")
+    assert quality.fk_violation_count(child, parent, "user_uid", "user_uid").first()[0] == 4
+    assert quality.conditional_fk_count(child, parent, "user_uid", "user_uid", "status", "free").first()[0] == 2
+    kept = repair.fk_conditional(child, parent, "user_uid", "user_uid", "status", "free")
+    assert kept.columns == child.columns and sorted(r.id for r in kept.collect()) == [1, 4, 5, 6, 6]
+    assert sorted(r.id for r in repair.fk_keep_null(child, parent, "user_uid", "user_uid").collect()) == [1, 3, 4, 6, 6]
+
+
+def test_design_vector_has_one_entry_per_level(spark):
+    df = spark.createDataFrame([(1, 0.5, "x"), (2, 1.5, "y"), (3, 2.5, "x")], "k int, n double, c string")
+    out, _ = models.design_matrix(df, ["n"], ["c"])
+    assert [list(r.features.toArray()) for r in out.orderBy("k").collect()] == [[0.5, 1, 0], [1.5, 0, 1], [2.5, 1, 0]]
