@@ -99,7 +99,7 @@ def _scan(sa: np.ndarray, x: np.ndarray, small: np.ndarray, bound: np.ndarray, f
 
 def _induce(x: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """All suffixes sorted by induction from the left-most-smaller ones, given in bucket order."""
-    sa = array(len(x), np.int64, -1)
+    sa = array(len(x), np.int32 if len(x) < 1 << 31 else np.int64, -1)
     starts = np.concatenate([[0], ends[:-1]])
     symbol = x[lms]
     _, first, count = np.unique(symbol, return_index=True, return_counts=True)

@@ -240,15 +240,24 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
                   .withColumnRenamed("key", "of"), "pieces")
 
 
-def _cuts(pieces: list | None, size: int, length: int) -> np.ndarray:
-    """Which bytes of a text go."""
-    edge = np.zeros(size + 1, dtype=np.int64)
-    for p in pieces or []:
-        s = np.array([[0, p["starts"]]]) if p["spans"] is None else np.frombuffer(p["spans"], dtype=np.int64).reshape(-1, 2)
-        s = s + p["first"]
-        np.add.at(edge, s[:, 0], 1)
-        np.add.at(edge, s[:, 1] + length - 1, -1)
-    return np.cumsum(edge)[:-1] > 0
+def _cuts(pieces: pa.Array, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, begin and end (in bytes of the batch) of the covered stretches, by row."""
+    counts = np.asarray(pieces.value_lengths().fill_null(0))
+    flat = pieces.flatten()
+    row = np.repeat(np.arange(len(pieces)), counts)
+    begin = offsets[row] + flat.field("first").to_numpy(zero_copy_only=False)
+    spans = flat.field("spans")
+    whole = np.asarray(spans.is_null())
+    rows, begins = [row[whole]], [begin[whole]]
+    ends = [begin[whole] + flat.field("starts").to_numpy(zero_copy_only=False)[whole] + length - 1]
+    for i in np.flatnonzero(~whole).tolist():
+        s = np.frombuffer(spans[i].as_buffer(), dtype=np.int64).reshape(-1, 2) + begin[i]
+        rows.append(np.full(len(s), row[i]))
+        begins.append(s[:, 0])
+        ends.append(s[:, 1] + length - 1)
+    rows, begins, ends = map(np.concatenate, (rows, begins, ends))
+    order = np.argsort(rows, kind="stable")
+    return rows[order], begins[order], ends[order]
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] | None = None,
@@ -267,18 +276,24 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = common.text_column(b, "text")
-            sizes, removed, n_spans, digest, kept = [], [], [], [], []
-            for i, p in enumerate(b.column("pieces").to_pylist()):
-                raw = data[offsets[i]:offsets[i + 1]]
-                gone = _cuts(p, len(raw), length) if p else None
-                left = raw[~gone].tobytes() if p else raw.tobytes()
-                sizes.append(len(raw))
-                removed.append(len(raw) - len(left))
-                n_spans.append(len(_runs(gone)[0]) if p else 0)
-                digest.append(hashlib.sha256(left).hexdigest())
-                if with_text:
-                    kept.append(left.decode("utf-8", "ignore"))
-            cols = b.columns[:len(carry)] + [pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
+            row, begin, end = _cuts(b.column("pieces"), offsets, length)
+            removed, n_spans, digest, kept = [], [], [], []
+            for lo, hi in common.passes(offsets):
+                base, size = offsets[lo], int(offsets[hi] - offsets[lo])
+                i, j = np.searchsorted(row, [lo, hi])
+                gone = np.cumsum(np.bincount(begin[i:j] - base, minlength=size + 1)[:size]
+                                 - np.bincount(end[i:j] - base, minlength=size + 1)[:size]) > 0
+                touched = set(row[i:j].tolist())
+                for r in range(lo, hi):
+                    a, z = int(offsets[r] - base), int(offsets[r + 1] - base)
+                    raw = data[offsets[r]:offsets[r + 1]]
+                    left = (raw[~gone[a:z]] if r in touched else raw).tobytes()
+                    removed.append(len(raw) - len(left))
+                    n_spans.append(len(_runs(gone[a:z])[0]) if r in touched else 0)
+                    digest.append(hashlib.sha256(left).hexdigest())
+                    if with_text:
+                        kept.append(left.decode("utf-8", "ignore"))
+            cols = b.columns[:len(carry)] + [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
                                              pa.array(digest, pa.string())] + [pa.array(kept, pa.string())] * with_text
             yield pa.record_batch(cols, names=[f"c{i}" for i in range(len(carry))] +
                                   ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text)
