@@ -9,6 +9,7 @@ operators take themselves; ``write_report`` persists any of them as Parquet.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cartlens.operators import breakdowns as bd
 from cartlens.operators import kpi, rfm
@@ -44,7 +45,9 @@ def analysis_report(tables: dict[str, DataFrame], as_of: str | None = None,
         details = with_product_type(details, products)
     if "product_type" in details.columns:
         out["revenue_by_product_type"] = bd.revenue_by_product_type(details)
-    return out
+    # A report shows money in cents.
+    return {name: df.withColumn("revenue", F.round("revenue", 2)) if "revenue" in df.columns else df
+            for name, df in out.items()}
 
 
 def rfm_report(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
