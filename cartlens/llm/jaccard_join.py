@@ -12,9 +12,9 @@ links are the result, one row per document.
    index their prefix: the n - T + 1 rarest shingles, one of which every partner
    must hold. Classes that share a prefix shingle form candidate components.
 4. Within these, blocks of at most ``BLOCK`` classes are searched: per query the
-   short inverted lists are merged and counted, candidates that reach T - L are
-   probed in the L longest lists by binary search, and the exact test follows
-   (numpy merges the sorted lists; it takes the place of the heap).
+   short inverted lists are merged in a heap and counted, candidates that reach
+   T - L are probed in the L longest lists by binary search, and the exact test
+   follows.
 5. Each block's linked classes go on through one representative, level by level,
    so a huge group of near copies costs in proportion to its size. What is then
    still apart within a candidate component is compared in full, block against
@@ -33,6 +33,8 @@ the id and text columns are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,6 +144,7 @@ def shared_shingles(rows: DataFrame, common_tokens: np.ndarray, n_ranges: int, n
     shipped = rows.sparkSession.sparkContext.broadcast(np.sort(common_tokens))  # at most COMMON hashes
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.enter("jaccard_join")
         names = ["grp", "cls", "n", "token"]
         for b in batches:
             for lo, _, s in _passes(b):
@@ -238,10 +241,14 @@ class Index:
         size = self.length[short]
         at = np.repeat(self.start[short] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         found = self.postings[at] % self.size
-        found = found[wanted[found]]
+        keep = wanted[found]
+        found, of = found[keep], np.repeat(np.arange(len(short)), size)[keep]
         if not len(found):
             return found
-        candidate, count = np.unique(found, return_counts=True)
+        # The short lists, each ascending, meet in a heap; equal classes come out together.
+        runs = [r.tolist() for r in np.split(found, np.flatnonzero(np.diff(of)) + 1)]
+        met = [(c, sum(1 for _ in same)) for c, same in itertools.groupby(heapq.merge(*runs))]
+        candidate, count = np.array(met, dtype=np.int64).T
         # A class of m shingles must share ceil(75 (n + m) / 175) of them.
         least = -(-PERCENT * (self.n[q] + self.n[candidate]) // (100 + PERCENT))
         keep = count + n_long >= least
