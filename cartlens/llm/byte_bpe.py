@@ -27,7 +27,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.llm.common import ship
+from cartlens.llm.common import enter, keep_cache, ship
 
 #: Longest piece laid out in a matrix.
 MATRIX_BYTES = 256
@@ -209,6 +209,7 @@ class Codec:
 
 
 _codecs: dict[str, Codec] = {}
+keep_cache("byte_bpe", _codecs.clear)
 
 
 def codec(rank_file: bytes, pattern: str) -> Codec:
@@ -232,6 +233,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("byte_bpe")
         c = codec(shipped.value, pattern)
         for b in batches:
             for lo, hi in _groups(b.column(1)):

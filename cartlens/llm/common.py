@@ -12,7 +12,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -44,6 +44,21 @@ def ship(spark: SparkSession) -> None:
     sc.addPyFile(str(path))
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def keep_cache(operator: str, clear: Callable[[], None]) -> None:
+    """Register how to clear what an operator remembers in this Python worker."""
+    _caches[operator] = clear
+
+
+def enter(operator: str) -> None:
+    """Called where a task of an operator begins: workers are reused, so free what other operators remember."""
+    for name, clear in _caches.items():
+        if name != operator:
+            clear()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``."""
     return f"{checkpoint_dir(spark).rstrip('/')}/cartlens-{name}-{uuid.uuid4().hex}"

@@ -38,6 +38,8 @@ SWITCH, WORST = 8.0, 12.0
 #: A language's script holds at least this share of its learned words.
 SCRIPT_SHARE = 0.005
 VITERBI_CELLS = 400_000
+#: Bytes of text labelled together.
+PASS = 1_000_000
 
 # FIXED VALUES: first and last code point of the scripts that are told apart.
 SCRIPTS = [
@@ -240,7 +242,7 @@ def label(model: Model, texts: pa.RecordBatch, name: str) -> tuple[list[str], li
     data, offsets = common.text_column(texts, name)
     langs, scores, spans = [], [], []
     names = pa.array(model.langs, pa.string())
-    for lo, hi in common.passes(offsets):
+    for lo, hi in common.passes(offsets, PASS):
         part, own = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         w = read_words(part, own)
         n = np.bincount(w.row, minlength=hi - lo)
@@ -279,14 +281,18 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", carry: Seque
     """The carried columns (as ``c0``, ``c1``, ...), lang_pred, score and n_spans of every
     row; with ``with_spans`` also the spans themselves."""
     common.ship(docs.sparkSession)
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], F.col(text_col).alias("text"))
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
+    inside = text_col in carry  # then the text travels once
+    rows = docs.select(*carried) if inside else docs.select(*carried, F.col(text_col).alias("text"))
+    name = f"c{list(carry).index(text_col)}" if inside else "text"
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the number of languages
     fields = [f"c{i} {t}" for i, (_, t) in enumerate(rows.dtypes[:len(carry)])]
     more = ["lang_pred string", "score double", "n_spans int"] + ["spans array<struct<lang:string,start:long,end:long>>"] * with_spans
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.enter("language_id")
         for b in batches:
-            langs, scores, spans = label(shipped.value, b, "text")
+            langs, scores, spans = label(shipped.value, b, name)
             cols = b.columns[:len(carry)] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                                              spans.value_lengths().cast(pa.int32())] + [spans] * with_spans
             yield pa.record_batch(cols, names=[f"c{i}" for i in range(len(carry))] + [m.split()[0] for m in more])

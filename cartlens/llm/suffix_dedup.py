@@ -269,13 +269,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(_key(id_col, text).alias("key"), text.alias("text"))
     pieces = repeats(rows, length, gram)
-    full = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)], _key(id_col, text).alias("key"), text.alias("text"))
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)] + [_key(id_col, text).alias("key")]
+    inside = text_col in carry  # then the text travels once
+    full = docs.select(*carried) if inside else docs.select(*carried, text.alias("text"))
+    name = f"c{carry.index(text_col)}" if inside else "text"
     schema = ", ".join([f"c{i} {t}" for i, (_, t) in enumerate(full.dtypes[:len(carry)])] +
                        ["n_bytes long, n_removed long, n_spans long, kept_sha256 string"] + ["kept string"] * with_text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.enter("suffix_dedup")
         for b in batches:
-            data, offsets = common.text_column(b, "text")
+            data, offsets = common.text_column(b, name)
             row, begin, end = _cuts(b.column("pieces"), offsets, length)
             removed, n_spans, digest, kept = [], [], [], []
             for lo, hi in common.passes(offsets):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from cartlens.llm.common import scratch, ship
+from cartlens.llm.common import enter, keep_cache, scratch, ship
 
 CACHE_SCHEMA = "tokenizer string, digest string, n_tokens long"
 #: Texts handed to the library at once: at most this many characters, or one text.
@@ -48,6 +48,7 @@ def tokenizer_version(data: bytes, kind: str) -> str:
 
 
 _loaded: dict[str, Callable[[list[str]], list[int]]] = {}
+keep_cache("token_counts", _loaded.clear)
 
 
 def counter(data: bytes, kind: str, version: str) -> Callable[[list[str]], list[int]]:
@@ -109,6 +110,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, id_c
     misses = rows.select("digest", "content").dropDuplicates(["digest"]).join(known, "digest", "left_anti")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter("token_counts")
         count = counter(shipped.value, kind, version)
         for b in batches:
             counts: list[int] = []
