@@ -168,9 +168,62 @@ def page_records(pages: DataFrame) -> DataFrame:
     return pages.select(F.inline(every))
 
 
-@register("op10_warc_revisits")
+def _revisit_sql() -> str:
+    def canonical(url: str) -> str:
+        text, parts = f"regexp_replace(trim({url}), '#.*$', '')", r"'^([A-Za-z][A-Za-z0-9+.-]*)://([^/?]*)([^?]*)(\?.*)?$'"
+        scheme, host = f"lower(regexp_extract({text}, {parts}, 1))", f"lower(regexp_extract({text}, {parts}, 2))"
+        args = f"array_to_string(list_sort(list_filter(string_split(substr(regexp_extract({text}, {parts}, 4), 2), '&'), lambda a: a <> '')), '&')"
+        return f"""CASE WHEN regexp_matches({text}, {parts}) THEN {scheme} || '://' ||
+  CASE {scheme} WHEN 'http' THEN regexp_replace({host}, ':80$', '') WHEN 'https' THEN regexp_replace({host}, ':443$', '') ELSE {host} END ||
+  CASE regexp_extract({text}, {parts}, 3) WHEN '' THEN '/' ELSE regexp_extract({text}, {parts}, 3) END ||
+  CASE coalesce({args}, '') WHEN '' THEN '' ELSE '?' || {args} END ELSE {text} END"""
+
+    def header(headers: str, name: str) -> str:
+        return f"nullif(trim(list_filter({headers}, lambda h: lower(h.name) = '{name}')[1].value), '')"
+
+    def h(name: str, value: str) -> str:
+        return f"{{'name': '{name}', 'value': CAST({value} AS VARCHAR)}}"
+
+    no = ", ".join(f"'{x}'" for x in warc.NOT_MERGED)
+    return f"""
+WITH p AS (
+  SELECT page_id, url, md5(html) AS d, '"' || md5(html) || '"' AS etag, 'day ' || (page_id % 97) AS modified, strlen(html) AS size,
+    TIMESTAMP '1970-01-01' + to_seconds(1700000000 + (page_id % 5000) * 600) AS ts FROM pages),
+records AS (
+  SELECT page_id * 4 AS record_id, 'response' AS kind, url, ts, 200 AS status, d AS digest,
+    [{h('ETag', 'CASE WHEN page_id % 5 <> 0 THEN etag END')}, {h('Last-Modified', 'modified')}, {h('Server', "'a'")}, {h('Content-Length', 'size')}] AS headers FROM p
+  UNION ALL SELECT page_id * 4 + 1, 'revisit', regexp_replace(url, '^https://([^/]*)/', 'HTTPS://\\1:443/') || '#again', ts + INTERVAL 30 HOUR, 304, NULL,
+    [{h('etag', "'W/' || etag")}, {h('Date', "'later'")}, {h('Content-Length', '0')}] FROM p
+  UNION ALL SELECT page_id * 4 + 2, 'revisit', url, ts + INTERVAL 5 HOUR, 304, NULL,
+    [{h('ETag', "CASE WHEN page_id % 3 = 0 THEN chr(34) || 'other' || chr(34) END")}, {h('last-modified', 'CASE WHEN page_id % 3 <> 1 THEN modified END')}, {h('server', "'b'")}] FROM p
+  UNION ALL SELECT page_id * 4 + 3, 'revisit', url, ts - INTERVAL 700 HOUR, 304, NULL, [{h('ETag', 'etag')}] FROM p WHERE page_id % 4 < 3),
+c AS (SELECT * REPLACE ({canonical('url')} AS url) FROM records),
+based AS (
+  SELECT r.record_id, arg_max(b.record_id, (b.ts, b.record_id)) AS base_id
+  FROM c r JOIN c b ON b.kind = 'response' AND b.url = r.url AND b.ts < r.ts WHERE r.kind = 'revisit' GROUP BY r.record_id),
+j AS (
+  SELECT r.*, s.base_id, b.digest AS base_digest, b.headers AS base_headers,
+    list_filter(r.headers, lambda h: lower(h.name) NOT IN ({no})) AS new,
+    {header('r.headers', 'etag')} AS e1, {header('b.headers', 'etag')} AS e2,
+    {header('r.headers', 'last-modified')} AS m1, {header('b.headers', 'last-modified')} AS m2
+  FROM c r LEFT JOIN based s USING (record_id) LEFT JOIN c b ON b.record_id = s.base_id WHERE r.kind = 'revisit'),
+o AS (
+  SELECT *, CASE WHEN base_id IS NULL THEN 'no_earlier_response'
+    WHEN e1 IS NOT NULL AND e2 IS NOT NULL THEN CASE WHEN regexp_replace(e1, '^W/', '') = regexp_replace(e2, '^W/', '') THEN 'resolved' ELSE 'validator_mismatch' END
+    WHEN m1 IS NOT NULL AND m2 IS NOT NULL THEN CASE WHEN m1 = m2 THEN 'resolved' ELSE 'validator_mismatch' END
+    ELSE 'no_validator' END AS outcome FROM j),
+m AS (
+  SELECT *, CASE WHEN outcome = 'resolved' THEN list_concat(
+      list_filter(base_headers, lambda x: NOT list_contains(list_transform(new, lambda n: lower(n.name)), lower(x.name))), new) ELSE headers END AS merged FROM o)
+SELECT record_id, url, ts AS "at", base_id, outcome, CASE WHEN outcome = 'resolved' THEN 200 ELSE status END AS status,
+  CASE WHEN outcome = 'resolved' THEN base_digest ELSE digest END AS digest, CAST(len(merged) AS INTEGER) AS n_headers,
+  sha256(array_to_string(list_transform(merged, lambda h: h.name || ': ' || coalesce(h.value, '')), chr(10))) AS headers_sha256
+FROM m"""
+
+
+@register("op10_warc_revisits", _revisit_sql())
 def op10_warc_revisits(spark, sf):
     out = warc.resolve_revisits(page_records(table(spark, sf, "pages")))
     text = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), F.coalesce(h["value"], F.lit("")))), "\n")
-    return out.select("record_id", "url", "at", "base_id", "outcome", "status", "digest",
+    return out.select("record_id", "url", F.col("at").cast("timestamp_ntz").alias("at"), "base_id", "outcome", "status", "digest",
                       F.size("headers").alias("n_headers"), F.sha2(text, 256).alias("headers_sha256"))
