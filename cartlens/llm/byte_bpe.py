@@ -32,7 +32,7 @@ from cartlens.llm.common import enter, keep_cache, ship
 #: Longest piece laid out in a matrix.
 MATRIX_BYTES = 256
 #: Pieces whose ids are remembered by a worker, and the cells of one matrix.
-CACHE_PIECES, MATRIX_CELLS = 500_000, 1 << 18
+CACHE_PIECES, MATRIX_CELLS = 300_000, 1 << 18
 #: Characters of text encoded together (or one longer text).
 GROUP_CHARS = 400_000
 _NONE = np.int32(2**31 - 1)

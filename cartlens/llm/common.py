@@ -8,6 +8,9 @@ documents is tokenised by a few numpy passes and no Python string is made.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cartlens.session import checkpoint_dir
 
 #: Bytes of text handled by one numpy pass (a single longer text is one pass).
-PASS_BYTES = 2_000_000
+PASS_BYTES = 1_000_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,10 +56,15 @@ def keep_cache(operator: str, clear: Callable[[], None]) -> None:
 
 
 def enter(operator: str) -> None:
-    """Called where a task of an operator begins: workers are reused, so free what other operators remember."""
+    """Called where a task of an operator begins: workers are reused, so free what other
+    operators remember and hand the freed pages back to the system."""
     for name, clear in _caches.items():
         if name != operator:
             clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -100,6 +108,7 @@ _LOWERED, _AS_IS = _byte_values(True), _byte_values(False)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+keep_cache("powers", _powers.clear)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -196,6 +196,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         shipped = spark.sparkContext.broadcast(block)  # at most BLOCK_WORDS words
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            common.enter("decontamination")
             for b in batches:
                 found = [(lo + r, *rest) for lo, data, offsets in _passes(b)
                          for r, *rest in shipped.value.hits(data, offsets, threshold)]
@@ -221,6 +222,7 @@ def drop(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshol
         shipped = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            common.enter("decontamination")
             for b in batches:
                 keep = np.ones(b.num_rows, dtype=bool)
                 for lo, data, offsets in _passes(pa.record_batch([b.column(at)], names=["text"])):

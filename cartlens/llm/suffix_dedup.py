@@ -96,6 +96,7 @@ def find_windows(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """All windows of (key, text) rows: key, first, starts, anchor, content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.enter("suffix_dedup")
         for b in batches:
             data, offsets = common.text_column(b, "text")
             found = []
@@ -153,10 +154,11 @@ def _marks(anchor: list, content: list, flags: list[np.ndarray]) -> pa.RecordBat
 
 def _cold(chosen: DataFrame, n_shards: int, length: int) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
-        names = [t.column(c).to_pylist() for c in ("anchor", "content", "bytes")]
-        _, first = np.unique(np.array([names[0], names[1]]).T, axis=0, return_index=True)
-        anchor, content, texts = ([c[i] for i in first] for c in names)
-        starts, several = t.column("starts").to_numpy()[first], t.column("n").to_numpy()[first] > 1
+        common.enter("suffix_dedup")
+        _, first = np.unique(np.stack([t.column(c).to_numpy() for c in ("anchor", "content")]), axis=1, return_index=True)
+        t = t.take(pa.array(first))
+        anchor, content, texts = (t.column(c).to_pylist() for c in ("anchor", "content", "bytes"))
+        starts, several = t.column("starts").to_numpy(), t.column("n").to_numpy() > 1
         return pa.Table.from_batches([_marks(anchor, content, sort_shard(texts, starts, several, length))])
 
     shard = F.pmod(F.xxhash64("anchor"), F.lit(n_shards))
@@ -211,6 +213,7 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     wanted = distinct.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "n", "first", "starts")).alias("w"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.enter("suffix_dedup")
         for b in batches:
             data, offsets = common.text_column(b, "text")
             w = b.column("w")
