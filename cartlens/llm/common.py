@@ -26,13 +26,19 @@ from cartlens.session import checkpoint_dir
 
 #: Bytes of text handled by one numpy pass (a single longer text is one pass).
 PASS_BYTES = 1_000_000
+#: Rows in an Arrow batch: it is held by the executor and by its Python worker, twice over.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package: send it with the application, once,
-    as ``--py-files`` would (the driver serves the archive to the executors)."""
+    as ``--py-files`` would (the driver serves the archive to the executors). Texts
+    are long, so Arrow batches are kept to ``BATCH_ROWS`` rows unless the session says otherwise."""
+    if spark.conf.get(_BATCH) == "10000":  # Spark's default
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     sc = spark.sparkContext
     if any(name.startswith("cartlens-") for name in sc._python_includes):
         return
