@@ -17,8 +17,10 @@ are judged on the input.
    of ``LENGTH`` bytes are repeats (the common prefix is tested by prefix hashes,
    as only "at least LENGTH" counts).
 4. An anchor with more than ``HOT`` different windows does not go to one task:
-   its strings are counted one by one, by two 64-bit hashes, in an aggregate that
-   reduces before the shuffle and a join that adaptive execution may split.
+   its windows are cut again by a second anchor, equal parts are settled by their
+   number, and the strings of the others are counted one by one, by two 64-bit
+   hashes, in an aggregate that reduces before the shuffle and a join that
+   adaptive execution may split.
 5. Marked starts go back to all occurrences, and every document is cut.
 
 Defined cases: a null text is empty; texts shorter than ``LENGTH`` bytes are
@@ -165,34 +167,58 @@ def _cold(chosen: DataFrame, n_shards: int, length: int) -> DataFrame:
     return chosen.withColumn("shard", shard).groupBy("shard").applyInArrow(run, MARKS)
 
 
-def _hot(chosen: DataFrame, length: int) -> DataFrame:
-    """The same marks for anchors with very many windows, start by start."""
+SUB = ("anchor long, content long, n long, first long, starts long, inner long, bytes_hash long, "
+       "one array<long>, two array<long>")
+
+
+def _hot(chosen: DataFrame, length: int, gram: int) -> DataFrame:
+    """The same marks for anchors with very many windows. Their windows are cut again by a second,
+    shorter anchor; equal parts are settled by their number, and only the strings of the
+    others are counted one by one."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.enter("suffix_dedup")
         for b in batches:
             for i, text in enumerate(b.column("bytes").to_pylist()):
-                n = b.column("starts")[i].as_py()
-                data, at = np.frombuffer(text, dtype=np.uint8), np.arange(n)
-                one = common.span_hash(common.prefix_hash(data), at, at + length)
-                two = common.span_hash(common.prefix_hash(data[::-1].copy()), len(data) - at - length, len(data) - at)
-                yield pa.record_batch([pa.array([b.column(c)[i].as_py()] * n, pa.int64()) for c in ("anchor", "content", "n")] +
-                                      [pa.array(at), _signed(one), _signed(two)],
-                                      names=["anchor", "content", "n", "at", "one", "two"])
+                data = np.frombuffer(text, dtype=np.uint8)
+                forward, backward = common.prefix_hash(data), common.prefix_hash(data[::-1].copy())
+                _, first, starts, inner, content = windows(data, np.array([0, len(data)]), length, max(8, gram // 4))
+                at = np.arange(starts.sum())
+                ends = np.concatenate([[0], np.cumsum(starts)]).astype(np.int32)
+                hashes = [common.span_hash(forward, at, at + length),
+                          common.span_hash(backward, len(data) - at - length, len(data) - at)]
+                yield pa.record_batch(
+                    [pa.array([b.column(c)[i].as_py()] * len(first), pa.int64()) for c in ("anchor", "content", "n")] +
+                    [pa.array(first), pa.array(starts), _signed(inner), _signed(content)] +
+                    [pa.ListArray.from_arrays(pa.array(ends), _signed(h)) for h in hashes],
+                    names=[f.split()[0] for f in SUB.split(", ")])
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             flags = []
-            for at in b.column("at").to_pylist():
-                f = np.zeros(max(at) + 1, dtype=bool)
+            for whole, at in zip(b.column("whole").to_pylist(), b.column("at").to_pylist(), strict=True):
+                f = np.zeros(max([x["first"] + x["starts"] for x in whole] + [x + 1 for x in at]), dtype=bool)
                 f[at] = True
+                for x in whole:
+                    f[x["first"]:x["first"] + x["starts"]] = True
                 flags.append(f)
             yield _marks(b.column("anchor").to_pylist(), b.column("content").to_pylist(), flags)
 
-    one_each = chosen.dropDuplicates(["anchor", "content"])
-    each = stored(one_each.mapInArrow(split, "anchor long, content long, n long, at long, one long, two long"), "hot-starts")
-    counts = stored(each.groupBy("one", "two").agg(F.sum("n").alias("times")).where("times > 1"), "hot-counts")
-    again = each.join(counts, ["one", "two"]).groupBy("anchor", "content").agg(F.collect_list("at").alias("at"))
-    return again.mapInArrow(spans, MARKS)
+    parts = stored(chosen.dropDuplicates(["anchor", "content"]).mapInArrow(split, SUB), "hot-parts")
+    # Parts of equal bytes: how many there are, and (first) one of them to stand for all.
+    same = parts.groupBy("inner", "bytes_hash").agg(F.sum("n").alias("times"), F.min(F.struct("anchor", "content", "first")).alias("head"))
+    same = stored(same, "hot-same").select(F.col("inner").alias("i"), F.col("bytes_hash").alias("h"), "times", "head")
+    parts = stored(parts.join(same, (F.col("inner") == F.col("i")) & (F.col("bytes_hash") == F.col("h"))).drop("i", "h"), "hot-counted")
+    whole = parts.where("times > 1").select("anchor", "content", F.struct("first", "starts").alias("piece"))
+    heads = parts.where(F.struct("anchor", "content", "first") == F.col("head"))
+    pair = F.inline(F.arrays_zip(F.transform("one", lambda x, i: i).alias("k"), "one", "two"))
+    each = heads.select("anchor", "content", "first", "times", pair)
+    counts = stored(each.groupBy("one", "two").agg(F.sum("times").alias("sum")).where("sum > 1").select("one", "two"), "hot-counts")
+    again = each.where("times = 1").join(counts, ["one", "two"]).select("anchor", "content", (F.col("first") + F.col("k")).alias("start"))
+    both = (whole.select("anchor", "content", "piece", F.lit(None).cast("long").alias("start"))
+            .unionAll(again.select("anchor", "content", F.lit(None).cast("struct<first:bigint,starts:bigint>"), "start")))
+    return (both.groupBy("anchor", "content").agg(F.collect_list("piece").alias("whole"), F.collect_list("start").alias("at"))
+            .mapInArrow(spans, MARKS))
 
 
 def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -234,7 +260,7 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         chosen = stored(chosen, "window-bytes")
         is_hot = F.col("anchor") == F.col("held")
         marks = (_cold(chosen.join(hot, is_hot, "left_anti"), max(4 * least, -(-size // SHARD)), length)
-                 .unionAll(_hot(chosen.join(hot, is_hot, "left_semi"), length)))
+                 .unionAll(_hot(chosen.join(hot, is_hot, "left_semi"), length, gram)))
     marks = stored(marks, "marks").select(F.col("anchor").alias("a"), F.col("content").alias("c"), "spans")
     pieces = found.join(marks, (F.col("anchor") == F.col("a")) & (F.col("content") == F.col("c")))
     pieces = pieces.select("key", "first", "starts", "spans").unionAll(
