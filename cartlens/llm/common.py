@@ -13,9 +13,11 @@ import ctypes
 import gc
 import shutil
 import tempfile
+import unicodedata
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -191,6 +193,48 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     return h, np.searchsorted(offsets, s, side="right") - 1, s
 
 
+#: First and last code points of scripts written without spaces between words.
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x3005, 0x3007),
+            (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA4CF),
+            (0xA980, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFF)]
+_GAP, _PART, _ALONE = 0, 1, 2
+_BYTE_KIND = np.zeros(256, dtype=np.uint8)
+_BYTE_KIND[48:58] = _BYTE_KIND[65:91] = _BYTE_KIND[97:123] = _BYTE_KIND[128:] = _PART
+
+
+@cache
+def _char_kinds() -> np.ndarray:
+    """Whether a code point from 128 on separates words, is part of one or is one."""
+    out = np.full(0x200000, _PART, dtype=np.uint8)
+    for a, b in UNSPACED:
+        out[a:b + 1] = _ALONE
+    out[[c for c in range(128, 0x20000) if unicodedata.category(chr(c))[0] in "PZ" or unicodedata.category(chr(c)) == "Cc"]] = _GAP
+    out[[0x200B, 0x2060, 0xFEFF]] = _GAP  # zero width
+    return out
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of each word of a pass, and the row it stands in (ascending). Words are runs of
+    letters, digits and other characters from 128 on but punctuation and spaces; in scripts
+    without spaces every character is a word."""
+    kind, starts = _BYTE_KIND[data], offsets[:-1]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        width = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        padded = np.append(data, np.zeros(3, np.uint8))
+        code = data[lead].astype(np.int32) & (0x7F >> width)
+        for i in (1, 2, 3):
+            code = np.where(width > i, code << 6 | padded[lead + i] & 63, code)
+        found = _char_kinds()[code]
+        for i in range(4):
+            odd = (found == _GAP) & (width > i) & (lead + i < len(data))
+            kind[lead[odd] + i] = _GAP
+        alone = found == _ALONE
+        starts = np.concatenate([starts, lead[alone], lead[alone] + width[alone]])
+    s, e = spans(kind != _GAP, starts)
+    return s, e, np.searchsorted(offsets, s, side="right") - 1
+
+
 def shingles(h: np.ndarray, row: np.ndarray, k: int, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each row's k consecutive words, with the row of each; a row of
     fewer words gives its whole sequence as one, a row without words none."""

@@ -2,7 +2,11 @@
 
 Each byte covered by a ``LENGTH``-byte string that also starts anywhere else, in
 another document or the same one, is removed. Strings never cross documents and
-are judged on the input.
+are judged on the input. With ``words`` the strings are those from the first byte
+of a word to the last byte of the ``words``-th (:func:`cartlens.llm.common.tokens`;
+occurrences begin and end at words and agree in all bytes between); a text is then a
+sequence of 64-bit hashes, of its words and of the bytes between them in turn, and
+for "byte" read "hash" below.
 
 1. Every string of ``LENGTH`` bytes is represented by its anchor, the smallest
    hash of its ``GRAM``-byte substrings. Equal strings have equal anchors, and
@@ -60,12 +64,32 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n - width + 1], before[width - 1:n])
 
 
+def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each row's words and of the bytes after each, in turn; n+1 offsets of the rows in
+    them; first byte and end of each word."""
+    s, e, row = common.tokens(data, offsets)
+    sums = common.prefix_hash(data)
+    out = np.empty(2 * len(s), dtype=np.uint64)
+    out[::2] = common.span_hash(sums, s, e)
+    out[1::2] = common.span_hash(sums, e, np.minimum(np.append(s[1:], len(data)), offsets[row + 1])[:len(s)])
+    return out, 2 * np.searchsorted(row, np.arange(len(offsets))), s, e
+
+
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Karp-Rabin prefix sums of bytes or of 64-bit hashes."""
+    if data.dtype == np.uint8:
+        return common.prefix_hash(data)
+    out = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(data * common.powers(len(data))[0][:len(data)], out=out[1:])
+    return out
+
+
 def windows(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Row, first start, number of starts, anchor and content hash of every window of a pass."""
     empty = np.zeros(0, np.int64)
     if len(data) < length:
         return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
-    sums = common.prefix_hash(data)
+    sums = _sums(data)
     h = (sums[gram:] - sums[:-gram]) * common.powers(len(data))[1][:len(data) - gram + 1]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0x9E3779B97F4A7C15)
@@ -94,7 +118,7 @@ def _key(id_col: str, text: Column) -> Column:
     return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("\0null")), text)))
 
 
-def find_windows(rows: DataFrame, length: int, gram: int) -> DataFrame:
+def find_windows(rows: DataFrame, length: int, gram: int, words: bool = False) -> DataFrame:
     """All windows of (key, text) rows: key, first, starts, anchor, content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +127,10 @@ def find_windows(rows: DataFrame, length: int, gram: int) -> DataFrame:
             data, offsets = common.text_column(b, "text")
             found = []
             for lo, hi in common.passes(offsets, PASS):
-                row, *rest = windows(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], length, gram)
+                part, own = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+                if words:
+                    part, own, *_ = symbols(part, own)
+                row, *rest = windows(part, own, length, gram)
                 found.append((row + lo, *rest))
             if found:
                 row, first, count, anchor, content = map(np.concatenate, zip(*found, strict=True))
@@ -119,20 +146,26 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
-def sort_shard(texts: list[bytes], starts: np.ndarray, several: np.ndarray, length: int) -> list[np.ndarray]:
+def sort_shard(texts: list[bytes], starts: np.ndarray, several: np.ndarray, length: int, dtype=np.uint8) -> list[np.ndarray]:
     """For each window of a shard, flags of the starts whose string occurs again."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    data = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8)
+    gap = bytes(np.dtype(dtype).itemsize)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) // len(gap)
+    data = np.frombuffer(gap.join(texts) + gap, dtype=dtype)
     ends = np.cumsum(sizes + 1) - 1
-    x = data.astype(np.int32) + len(texts)
+    n_symbols = 256
+    if dtype == np.uint8:
+        x = data.astype(np.int32) + len(texts)
+    else:
+        known, x = np.unique(data, return_inverse=True)
+        n_symbols, x = len(known), x.astype(np.int32) + len(texts)
     x[ends] = np.arange(len(texts))[::-1]  # separators differ, the last one is the smallest
     begin = ends - sizes
     is_start = np.zeros(len(x) + 1, dtype=np.int32)
     np.add.at(is_start, begin, 1)
     np.add.at(is_start, begin + starts, -1)
-    order = suffix_array(x, len(texts) + 256)
+    order = suffix_array(x, len(texts) + n_symbols)
     order = order[(np.cumsum(is_start)[:-1] > 0)[order]]
-    sums = common.prefix_hash(data)
+    sums = _sums(data)
     code = common.span_hash(sums, order, order + length)
     same = code[1:] == code[:-1]
     marked = np.zeros(len(x), dtype=bool)
@@ -154,14 +187,14 @@ def _marks(anchor: list, content: list, flags: list[np.ndarray]) -> pa.RecordBat
                             pa.array([spans[i] for i in keep], pa.binary())], names=["anchor", "content", "spans"])
 
 
-def _cold(chosen: DataFrame, n_shards: int, length: int) -> DataFrame:
+def _cold(chosen: DataFrame, n_shards: int, length: int, dtype=np.uint8) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         common.enter("suffix_dedup")
         _, first = np.unique(np.stack([t.column(c).to_numpy() for c in ("anchor", "content")]), axis=1, return_index=True)
         t = t.take(pa.array(first))
         anchor, content, texts = (t.column(c).to_pylist() for c in ("anchor", "content", "bytes"))
         starts, several = t.column("starts").to_numpy(), t.column("n").to_numpy() > 1
-        return pa.Table.from_batches([_marks(anchor, content, sort_shard(texts, starts, several, length))])
+        return pa.Table.from_batches([_marks(anchor, content, sort_shard(texts, starts, several, length, dtype))])
 
     shard = F.pmod(F.xxhash64("anchor"), F.lit(n_shards))
     return chosen.withColumn("shard", shard).groupBy("shard").applyInArrow(run, MARKS)
@@ -171,7 +204,7 @@ SUB = ("anchor long, content long, n long, first long, starts long, inner long,
        "one array<long>, two array<long>")
 
 
-def _hot(chosen: DataFrame, length: int, gram: int) -> DataFrame:
+def _hot(chosen: DataFrame, length: int, gram: int, dtype=np.uint8) -> DataFrame:
     """The same marks for anchors with very many windows. Their windows are cut again by a second,
     shorter anchor; equal parts are settled by their number, and only the strings of the
     others are counted one by one."""
@@ -180,9 +213,9 @@ def _hot(chosen: DataFrame, length: int, gram: int) -> DataFrame:
         common.enter("suffix_dedup")
         for b in batches:
             for i, text in enumerate(b.column("bytes").to_pylist()):
-                data = np.frombuffer(text, dtype=np.uint8)
-                forward, backward = common.prefix_hash(data), common.prefix_hash(data[::-1].copy())
-                _, first, starts, inner, content = windows(data, np.array([0, len(data)]), length, max(8, gram // 4))
+                data = np.frombuffer(text, dtype=dtype)
+                forward, backward = _sums(data), _sums(data[::-1].copy())
+                _, first, starts, inner, content = windows(data, np.array([0, len(data)]), length, min(length, max(8, gram // 4)))
                 at = np.arange(starts.sum())
                 ends = np.concatenate([[0], np.cumsum(starts)]).astype(np.int32)
                 hashes = [common.span_hash(forward, at, at + length),
@@ -221,11 +254,13 @@ def _hot(chosen: DataFrame, length: int, gram: int) -> DataFrame:
             .mapInArrow(spans, MARKS))
 
 
-def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool = False) -> DataFrame:
     """Covered stretches of (key, text) rows: key and pieces, an array of (first, spans) where
-    spans holds pairs of 64-bit offsets from ``first``: the marked starts."""
+    spans holds pairs of 64-bit offsets from ``first``: the marked starts. With ``words`` all
+    of them, the length and the gram count entries of :func:`symbols`."""
+    dtype = np.uint64 if words else np.uint8
     least = rows.sparkSession.sparkContext.defaultParallelism
-    found = stored(find_windows(rows, length, gram), "windows")
+    found = stored(find_windows(rows, length, gram, words), "windows")
     often = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("content").alias("a"), F.max("content").alias("b"))
     often = stored(often.where("n > 1").select(F.col("anchor").alias("held"), (F.col("a") == F.col("b")).alias("equal")), "anchors")
     found = stored(found.join(often, F.col("anchor") == F.col("held")).drop("held"), "repeated-anchors")
@@ -235,13 +270,18 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         F.count("*").alias("n"), F.min(F.struct("key", "first", "starts")).alias("at"))
     distinct = stored(distinct.select("anchor", "content", "n", "at.key", "at.first", "at.starts"), "distinct-windows")
     hot = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("anchor").alias("held")), "hot")
-    size = distinct.agg(F.sum(F.col("starts") + length)).first()[0] or 0
+    size = (distinct.agg(F.sum(F.col("starts") + length)).first()[0] or 0) * np.dtype(dtype).itemsize
     wanted = distinct.groupBy("key").agg(F.collect_list(F.struct("anchor", "content", "n", "first", "starts")).alias("w"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.enter("suffix_dedup")
         for b in batches:
             data, offsets = common.text_column(b, "text")
+            if words:
+                parts = [symbols(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])[:2] for lo, hi in common.passes(offsets)]
+                sizes = [np.diff(own) for _, own in parts]
+                data = np.concatenate([np.zeros(0, dtype)] + [part for part, _ in parts])
+                offsets = np.cumsum(np.concatenate([np.zeros(1, np.int64)] + sizes))
             w = b.column("w")
             row = np.repeat(np.arange(b.num_rows), w.value_lengths().to_numpy(zero_copy_only=False))
             flat = w.flatten()
@@ -255,12 +295,12 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     holders = rows.dropDuplicates(["key"]).join(wanted.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).select("text", "w")
     chosen = holders.mapInArrow(cut, "anchor long, content long, n long, starts long, bytes binary")
     if hot.isEmpty():
-        marks = _cold(chosen, max(4 * least, -(-size // SHARD)), length)
+        marks = _cold(chosen, max(4 * least, -(-size // SHARD)), length, dtype)
     else:
         chosen = stored(chosen, "window-bytes")
         is_hot = F.col("anchor") == F.col("held")
-        marks = (_cold(chosen.join(hot, is_hot, "left_anti"), max(4 * least, -(-size // SHARD)), length)
-                 .unionAll(_hot(chosen.join(hot, is_hot, "left_semi"), length, gram)))
+        marks = (_cold(chosen.join(hot, is_hot, "left_anti"), max(4 * least, -(-size // SHARD)), length, dtype)
+                 .unionAll(_hot(chosen.join(hot, is_hot, "left_semi"), length, gram, dtype)))
     marks = stored(marks, "marks").select(F.col("anchor").alias("a"), F.col("content").alias("c"), "spans")
     pieces = found.join(marks, (F.col("anchor") == F.col("a")) & (F.col("content") == F.col("c")))
     pieces = pieces.select("key", "first", "starts", "spans").unionAll(
@@ -290,14 +330,18 @@ def _cuts(pieces: pa.Array, offsets: np.ndarray, length: int) -> tuple[np.ndarra
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] | None = None,
-          length: int = LENGTH, with_text: bool = False, gram: int = GRAM) -> DataFrame:
+          length: int = LENGTH, with_text: bool = False, gram: int = GRAM, words: int | None = None) -> DataFrame:
     """The carried columns (as ``c0``, ``c1``, ...; by default the id), n_bytes, n_removed, n_spans and
-    kept_sha256 of every row; with ``with_text`` also the kept bytes as text (broken characters dropped)."""
+    kept_sha256 of every row; with ``with_text`` also the kept bytes as text (broken characters dropped).
+    With ``words`` strings of so many words are removed, in place of ``length`` bytes."""
+    if words:
+        length = 2 * words - 1
+        gram = max(1, length // 3)
     common.ship(docs.sparkSession)
     carry = (id_col,) if carry is None else carry
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(_key(id_col, text).alias("key"), text.alias("text"))
-    pieces = repeats(rows, length, gram)
+    pieces = repeats(rows, length, gram, bool(words))
     carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)] + [_key(id_col, text).alias("key")]
     inside = text_col in carry  # then the text travels once
     full = docs.select(*carried) if inside else docs.select(*carried, text.alias("text"))
@@ -309,11 +353,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
         common.enter("suffix_dedup")
         for b in batches:
             data, offsets = common.text_column(b, name)
-            row, begin, end = _cuts(b.column("pieces"), offsets, length)
+            row, begin, end = _cuts(b.column("pieces"), np.zeros_like(offsets) if words else offsets, length)
             removed, n_spans, digest, kept = [], [], [], []
             for lo, hi in common.passes(offsets):
                 base, size = offsets[lo], int(offsets[hi] - offsets[lo])
                 i, j = np.searchsorted(row, [lo, hi])
+                if words and i < j:  # of the marked starts, those at words count
+                    _, own, s, e = symbols(data[base:base + size], offsets[lo:hi + 1] - base)
+                    a, z = own[row[i:j] - lo] // 2 + (begin[i:j] + 1) // 2, own[row[i:j] - lo] // 2 + (end[i:j] - length) // 2
+                    at_word = a <= z
+                    begin[i:j] = end[i:j] = base
+                    begin[i:j][at_word], end[i:j][at_word] = base + s[a[at_word]], base + e[z[at_word] + words - 1]
                 gone = np.cumsum(np.bincount(begin[i:j] - base, minlength=size + 1)[:size]
                                  - np.bincount(end[i:j] - base, minlength=size + 1)[:size]) > 0
                 touched = set(row[i:j].tolist())

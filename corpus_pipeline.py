@@ -18,8 +18,8 @@ from cartlens.llm.common import stored
 
 #: Least share of a text's letters that its main language must have.
 MIN_SHARE = 0.35
-#: Shortest repeated passage that is cut, in bytes (about 40 words).
-PASSAGE = 250
+#: Shortest repeated passage that is cut, in words: over 50.
+PASSAGE = 51
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +38,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that stand elsewhere too; a document of nothing else goes."""
-    out = suffix_dedup.dedup(docs, carry=tuple(docs.columns), length=PASSAGE, with_text=True)
+    """Texts without the passages that stand elsewhere too; a document without any other word goes."""
+    out = suffix_dedup.dedup(docs, carry=tuple(docs.columns), words=PASSAGE, with_text=True)
     new = {"text": F.when((F.col("n_removed") > 0) & F.col(f"c{docs.columns.index('text')}").isNotNull(), F.col("kept"))
            .otherwise(F.col(f"c{docs.columns.index('text')}"))}
     if "n_chars" in docs.columns:
         at = F.col(f"c{docs.columns.index('n_chars')}")
         new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(at).cast(dict(docs.dtypes)["n_chars"])
-    kept = out.where((F.col("n_removed") == 0) | (F.trim("kept") != ""))
+    kept = out.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"[\p{L}\p{N}]"))
     return kept.select(*[new.get(c, F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)])
 
 

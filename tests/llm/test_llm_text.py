@@ -3,13 +3,15 @@
 import base64
 import hashlib
 import random
+import unicodedata
 from collections import Counter
 
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from cartlens.llm import byte_bpe, decontamination, jaccard_join, language_id, sharding, suffix_dedup, token_counts
+import corpus_pipeline
+from cartlens.llm import byte_bpe, common, decontamination, jaccard_join, language_id, sharding, suffix_dedup, token_counts
 
 DOCS = "doc_id long, text string, lang string, n_tokens int, `key` string, c0 string"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -129,6 +131,74 @@ def test_suffix_dedup_carries_columns(spark):
     assert (out[0]["n_removed"], out[0]["kept"], out[1]["kept"], out[1]["c1"], out[1]["c2"]) == (900, "", "short", "k", "c")
 
 
+def plain_tokens(text):
+    """Start and end character of every word, one character at a time."""
+    out, open_ = [], False
+    for i, ch in enumerate(text):
+        c, cat = ord(ch), unicodedata.category(ch)
+        gap = not ch.isalnum() if c < 128 else cat[0] in "PZ" or cat == "Cc" or c in (0x200B, 0x2060, 0xFEFF)
+        alone = not gap and any(x <= c <= y for x, y in common.UNSPACED)
+        if not gap and open_ and not alone:
+            out[-1][1] = i + 1
+        elif not gap:
+            out.append([i, i + 1])
+        open_ = not gap and not alone
+    return out
+
+
+def test_tokens_against_single_characters():
+    import numpy as np
+    import pyarrow as pa
+    r = random.Random(8)
+    some = "ab Z9'é’«»ñ— …\u3000、。漢字かなカーดกำ한국語ﾊﾟ😀𠀀\u200b\n_"
+    texts = ["".join(r.choices(some, k=r.randrange(30))) for _ in range(300)] + ["", "漢", "é"]
+    data, offsets = common.text_column(pa.record_batch([pa.array(texts)], names=["text"]), "text")
+    s, e, row = common.tokens(data, offsets)
+    got = [(int(k), data[a:b].tobytes().decode()) for a, b, k in zip(s, e, row, strict=True)]
+    assert got == [(k, t[a:b]) for k, t in enumerate(texts) for a, b in plain_tokens(t)]
+    assert len(common.tokens(np.frombuffer(b"a \xe6\xbc", np.uint8), np.array([0, 4]))[0]) == 2  # broken end
+
+
+def brute_passages(texts, n):
+    """What is left of each text without the strings of n words that stand elsewhere too."""
+    found = [plain_tokens(t or "") for t in texts]
+    strings = [[t[w[i][0]:w[i + n - 1][1]] for i in range(len(w) - n + 1)] for t, w in zip(texts, found, strict=True)]
+    seen = Counter(x for s in strings for x in s)
+    out = []
+    for t, w, s in zip(texts, found, strings, strict=True):
+        gone = bytearray(len(t or ""))
+        for i, x in enumerate(s):
+            if seen[x] > 1:
+                gone[w[i][0]:w[i + n - 1][1]] = b"\1" * len(x)
+        out.append("".join(ch for ch, g in zip(t or "", gone, strict=True) if not g))
+    return out
+
+
+@pytest.mark.parametrize("hot, n", [(1000, 51), (1, 51), (1, 3)])
+def test_repeated_passages_in_words(spark, monkeypatch, hot, n):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    r = random.Random(4)
+    texts = corpus(2)
+    short = " ".join(r.choices("abcdefgh", k=51))  # 101 bytes
+    one, two = (" ".join(words(r, 30, 10**6)) for _ in range(2))
+    han = "".join(chr(0x4E00 + r.randrange(5000)) for _ in range(60))
+    texts += [f"first ({short}). x", f"second {short}, y", "z " + short[2:] + " fifty only", one + " " + two, one + " p", "q " + two,
+              "前" + han + "。後", "他、" + han, "x, y; " * 80, "x, y; " * 30]
+    got = {x["c0"]: x["kept"] for x in suffix_dedup.dedup(frame(spark, texts), words=n, with_text=True).collect()}
+    assert got == dict(enumerate(brute_passages(texts, n)))
+    if n == 51:
+        assert got[len(texts) - 10] == "first (). x" and got[len(texts) - 7] == one + " " + two  # each half repeats, of 30 words
+        assert got[len(texts) - 4] == "前。後"
+
+
+def test_pipeline_cuts_51_short_words_and_keeps_50(spark):
+    r = random.Random(6)
+    short, shorter, whole = (" ".join(r.choices("abcdefghijkl", k=k)) for k in (51, 50, 60))
+    texts = [f"one {short} two", f"three {short} four", f"five {shorter} six", f"seven {shorter} eight", whole + ".", whole + "!"]
+    out = corpus_pipeline.repeated_passages(spark, frame(spark, texts), "")
+    assert sorted(x["text"] for x in out.collect()) == sorted(["one  two", "three  four", texts[2], texts[3]])
+
+
 def test_byte_bpe(spark):
     import tiktoken
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
