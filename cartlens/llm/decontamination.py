@@ -1,7 +1,8 @@
 """Operator 3: benchmark decontamination by greedy string tiling.
 
 Documents and benchmark items are read as words (letters and digits, A-Z
-lower-cased, punctuation ignored). A document meets an item where they share a
+lower-cased, punctuation ignored; in scripts without spaces every character is a
+word). A document meets an item where they share a
 seed of ``MIN_TILE`` words. Their shared stretches are then tiled: running
 Karp-Rabin hashes find the longest stretch that neither side has used yet, it
 is marked on both, and so on down to ``MIN_TILE`` words. The item's share of
@@ -12,8 +13,12 @@ The items are the stated query set: they go against every document in blocks of
 at most ``BLOCK_WORDS`` words, each shipped to the tasks whole (that is the size
 bound), and a document never leaves its task: no shuffle, no pairs.
 
+Items of fewer than ``MIN_TILE`` words have no seed. With ``short`` they match as a
+whole: a document that holds all their words in a row is contaminated, by one tile.
+
 Defined cases: null or empty texts and texts without words are clean; an item
-with fewer than ``MIN_TILE`` words (or a null text) matches nothing; repeated
+without words (or a null text) matches nothing, nor does one of fewer than
+``MIN_TILE`` words without ``short``; repeated
 rows and repeated items are judged each for itself; empty tables give empty
 results (no item: everything is clean); documents of any length are read whole;
 equal lengths are tiled by document position, then item position; carried
@@ -37,14 +42,11 @@ BLOCK_WORDS = 1_000_000
 #: First search length of the tiling; longer stretches raise it.
 START = 20
 
-_WORD = np.zeros(256, dtype=bool)
-_WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
-
 
 def read_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of a pass, and the row of each."""
-    s, e = common.spans(_WORD[data], offsets[:-1])
-    return common.span_hash(common.prefix_hash(data, True), s, e), np.searchsorted(offsets, s, side="right") - 1
+    s, e, row = common.tokens(data, offsets)
+    return common.span_hash(common.prefix_hash(data, True), s, e), row
 
 
 def _window_hash(words: np.ndarray, n: int) -> np.ndarray:
@@ -113,7 +115,7 @@ def tile(doc: np.ndarray, item: np.ndarray, shared: np.ndarray, least: int = MIN
 class Block:
     """A block of benchmark items with its seeds."""
 
-    def __init__(self, ids: list, texts: list[str]):
+    def __init__(self, ids: list, texts: list[str], short: bool = False):
         batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
         data, offsets = common.text_column(batch, "text")
         words, row = read_words(data, offsets)
@@ -127,13 +129,35 @@ class Block:
         keep = long[owner]
         order = np.argsort(seeds[keep], kind="stable")
         self.seeds, self.owner, self.place = seeds[keep][order], owner[keep][order], place[keep][order]
+        self.short = []  # by number of words: whole items, sorted by hash, and whose they are
+        for k in range(1, MIN_TILE) if short else ():
+            whole, owner = common.shingles(words, row, k, len(ids))
+            keep = n[owner] == k
+            order = np.argsort(whole[keep], kind="stable")
+            if len(order):
+                self.short.append((k, whole[keep][order], owner[keep][order]))
+
+    def short_hits(self, words: np.ndarray, row: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
+        """The rows that hold a short item whole."""
+        for k, whole, items in self.short:
+            found, owner = common.shingles(words, row, k, len(n))
+            lo, hi = np.searchsorted(whole, found, "left"), np.searchsorted(whole, found, "right")
+            met = np.flatnonzero((hi > lo) & (n[owner] >= k))
+            if len(met):
+                for r, a, b in np.unique(np.stack([owner[met], lo[met], hi[met]]), axis=1).T.tolist():
+                    for i in items[a:b].tolist():
+                        yield r, i, 1.0, 1, k
 
     def hits(self, data: np.ndarray, offsets: np.ndarray, threshold: float) -> Iterator[tuple[int, int, float, int, int]]:
         """(row, item, coverage, tiles, longest tile) of the contaminated rows of a pass."""
-        if not len(self.seeds):
+        if not len(self.seeds) and not self.short:
             return
         words, row = read_words(data, offsets)
         n = np.bincount(row, minlength=len(offsets) - 1)
+        if threshold <= 1:
+            yield from self.short_hits(words, row, n)
+        if not len(self.seeds):
+            return
         first = np.cumsum(n) - n
         seeds, owner = common.shingles(words, row, MIN_TILE, len(n))
         at = np.minimum(np.searchsorted(self.seeds, seeds), len(self.seeds) - 1)
@@ -166,14 +190,14 @@ class Block:
                     yield r, i, coverage, len(tiles), max(t[0] for t in tiles)
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[Block]:
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", short: bool = False) -> Iterator[Block]:
     """The benchmark in blocks of at most ``BLOCK_WORDS`` words on average, one at a time on the driver."""
     items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // (2 * BLOCK_WORDS)) or 1
     for k in range(n):
         rows = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()
-        yield Block([r["id"] for r in rows], [r["text"] for r in rows])
+        yield Block([r["id"] for r in rows], [r["text"] for r in rows], short)
 
 
 def _passes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -183,7 +207,7 @@ def _passes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, short: bool = False) -> DataFrame:
     """A row for each contaminated document and item: ``id_col``, item_id, coverage, n_tiles, longest_tile."""
     spark = docs.sparkSession
     common.ship(spark)
@@ -192,7 +216,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     item_arrow = to_arrow_type(benchmark.schema["item_id"].dataType)
     schema = f"id {doc_type}, item_id {item_type}, coverage double, n_tiles int, longest_tile int"
     out = None
-    for block in blocks(benchmark):
+    for block in blocks(benchmark, short=short):
         shipped = spark.sparkContext.broadcast(block)  # at most BLOCK_WORDS words
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
@@ -212,13 +236,14 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     return out.withColumnRenamed("id", id_col)
 
 
-def drop(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def drop(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
+         short: bool = False) -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept."""
     common.ship(docs.sparkSession)
     names: Sequence[str] = docs.columns
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
     schema, at = rows.schema, names.index(text_col)
-    for block in blocks(benchmark):
+    for block in blocks(benchmark, short=short):
         shipped = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartlens.llm import byte_bpe, common, decontamination, jaccard_join, language_id, sharding, suffix_dedup, token_counts
+from cartlens.llm import byte_bpe, common, decontamination, jaccard_join, language_id, queries, sharding, suffix_dedup, token_counts
 
 DOCS = "doc_id long, text string, lang string, n_tokens int, `key` string, c0 string"
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -333,6 +333,25 @@ def test_decontamination(spark):
     assert decontamination.drop(df, bench.limit(0)).count() == len(texts)
 
 
+def test_decontamination_of_unspaced_scripts_and_short_items(spark, tmp_path):
+    r = random.Random(12)
+    far = [" ".join(words(r, 100)) for _ in range(2)]
+    han, thai = "今天我们去公园看花，然后回家吃饭。", "วันนี้ฝนตกหนักมาก"
+    bench = spark.createDataFrame([(0, han), (1, thai), (2, "three short words"), (3, "水"), (4, "three short words"), (5, "。"), (6, "")], "item_id int, text string")
+    texts = ["昨天下雨。" + han + "晚上看书", far[0] + han[:9] + far[1], "ก่อน" + thai + "หลัง", "so Three, short words here", "three short word s",
+             "three short", "喝水吧", "three short words", far[0], han.replace("，", " ")]
+    docs = frame(spark, texts)
+    want = {(0, 0), (1, 0), (9, 0), (2, 1), (3, 2), (3, 4), (7, 2), (7, 4), (6, 3)}
+    got = decontamination.find(docs, bench, short=True).collect()
+    assert Counter((x["doc_id"], x["item_id"]) for x in got) == Counter(want)
+    assert {(x["coverage"], x["n_tiles"], x["longest_tile"]) for x in got if x["item_id"] in (2, 4)} == {(1.0, 1, 3)}
+    assert {x["doc_id"] for x in decontamination.find(docs, bench).collect()} == {0, 1, 2, 9}  # whole items only on request
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert Counter((x["doc_id"], x["item_id"]) for x in queries.QUERIES["op3_decontamination"](spark, str(tmp_path)).collect()) == Counter(want)
+    assert sorted(x["doc_id"] for x in corpus_pipeline.benchmark_leaks(spark, docs, str(tmp_path)).collect()) == [4, 5, 8]
+
+
 def test_sharding(spark):
     names = [f"s{i}" for i in range(7)]
     table = sharding.lookup_table(names, 997)
