@@ -16,8 +16,8 @@ for "byte" read "hash" below.
    bytes. Windows are dealt to shards by anchor, so all occurrences of a string
    meet in one shard. An anchor whose windows are all equal is settled by that.
 3. A shard's windows are joined with separators and suffix-sorted by external
-   induced sorting (:mod:`cartlens.llm.induced_sort`): disk-backed queues,
-   recursion on the reduced text. Neighbours in suffix order with a common prefix
+   induced sorting (:mod:`cartlens.llm.induced_sort`): bucket queues (in memory, as
+   shards are small), recursion on the reduced text. Neighbours in suffix order with a common prefix
    of ``LENGTH`` bytes are repeats (the common prefix is tested by prefix hashes,
    as only "at least LENGTH" counts).
 4. An anchor with more than ``HOT`` different windows does not go to one task:
