@@ -379,3 +379,73 @@ def test_write_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     placed = {x["doc_id"]: x["shard"] for x in sharding.place(df, names, 101).collect()}
     assert {x["doc_id"]: x["shard"] for x in back.select("doc_id", "shard").collect()} == placed
+
+
+def test_pipeline_run_against_chained_brute_force(spark, tmp_path):
+    import tiktoken
+    r = random.Random(21)
+
+    def vocabulary(letters, k):
+        return ["".join(r.choices(letters, k=r.randrange(1, 8))) for _ in range(k)]
+
+    tongue = {"aa": vocabulary("abcdefg", 300), "bb": vocabulary("nopqrst", 300)}
+    items = [r.choices(vocabulary("abcdefg", 4000), k=30) for _ in range(4)] + [["fed", "cab", "bagdad"]]
+    passages = {n: " ".join(r.choices("abcdefg", k=n)) for n in (50, 51, 70)}
+    rows = []
+
+    def add(lang, text):
+        rows.append((len(rows), text, lang, "s", len(text or "")))
+
+    def some(lang, n):
+        return " ".join(r.choices(tongue[lang], k=n))
+
+    for lang in ("aa", "bb"):
+        for _ in range(25):
+            add(lang, some(lang, r.choice([60, 120, 200])))
+        for i in range(4):  # copies and near copies of a long text
+            long = some(lang, 150).split(" ")
+            add(lang, " ".join(long))
+            add(lang, " ".join(long))
+            long[70 + i] = "edit"
+            add(None, " ".join(long))
+    for text in passages.values():
+        for k in range(3):
+            add("aa", f"{some('aa', 40)}. {text}, {some('aa', 40 + k)}")
+    add("aa", passages[70] + "!")  # nothing else: it goes
+    for item in items:
+        add("aa", f"{some('aa', 50)}; {' '.join(item)} {some('aa', 50)}")
+    add("aa", " ".join(items[1][15:] + [some("aa", 60)] + items[1][:15]))
+    add("aa", " ".join([some("aa", 80)] + items[2][:12]))  # too little of it
+    for text in (None, "", "12 34 !!"):
+        add("aa", text)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id int, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    now = [(i, t) for i, t, *_ in rows if any(ch.isalpha() for ch in t or "")]
+    first = {i: c for i, _, c in brute_components(now)}
+    unique = [(i, t) for i, t in now if first[i] == i]
+    left = brute_passages([t for _, t in unique], corpus_pipeline.PASSAGE)
+    cut = [(i, new) for (i, old), new in zip(unique, left, strict=True) if new == old or any(ch.isalnum() for ch in new)]
+
+    def leaked(text):
+        doc = [text[a:b].lower() for a, b in plain_tokens(text)]
+        for item in items:
+            n = len(item)
+            if n < 5 and any(doc[k:k + n] == item for k in range(len(doc) - n + 1)) or n >= 5 and 2 * brute_tiles(doc, item, 5) >= n:
+                return True
+        return False
+
+    clean = [(i, t) for i, t in cut if not leaked(t)]
+    assert len(rows) > len(now) > len(unique) > len(cut) > len(clean) > 50  # every stage has work
+    assert sum(a != b for (_, a), b in zip(unique, left, strict=True)) == 7  # texts with a passage of 51 or 70 words
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = {i: enc.encode_ordinary(t) for i, t in clean}
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(out) == len(want) and {x["doc_id"]: list(x["ids"]) for x in out} == want
+    for x in out:
+        text = dict(clean)[x["doc_id"]]
+        assert (x["n_tokens"], x["decoded_sha256"]) == (len(want[x["doc_id"]]), hashlib.sha256(text.encode()).hexdigest())
+        assert x["ids_sha256"] == hashlib.sha256(" ".join(map(str, want[x["doc_id"]])).encode()).hexdigest()
