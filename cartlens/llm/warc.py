@@ -7,8 +7,10 @@ update are merged into the response's headers.
 
 The as-of join is made of aggregates and windows over bounded groups: captures
 are first reduced to one row per URL and instant (a hot URL's copies meet
-already in the map tasks), the latest response is found within each URL and
-day, and across days over one row per URL and day. Only then do the revisits
+already in the map tasks), the latest response is found within each URL and 10 ms,
+then over one row per URL and 10 ms within 100 s, over one per 100 s within 10^6 s
+(``LEVELS``), and over one row per URL and 10^6 s. At microseconds a group has at
+most 10,000 rows, on the last level 2,000 in 60 years. Only then do the revisits
 and the responses' headers join, on keys that adaptive execution may split.
 
 Records have: record_id (long), kind (``response`` or ``revisit``), url, at
@@ -36,6 +38,8 @@ from pyspark.sql import functions as F
 
 from cartlens.llm.common import stored
 
+#: Microseconds of the groups of instants, each 10,000 of the ones before.
+LEVELS = (10**4, 10**8, 10**12)
 HEADERS = "array<struct<name:string,value:string>>"
 
 # FIXED VALUES: fields of a 304 that do not update the stored response: those that
@@ -77,6 +81,23 @@ def _etag(value: Column) -> Column:
     return F.regexp_replace(value, "^W/", "")
 
 
+def latest_before(instants: DataFrame, levels: tuple[int, ...] = LEVELS) -> DataFrame:
+    """Rows of url, t (microseconds, one row each) and own: url, t and base, the last non-null own of an earlier t."""
+    by, rows = ["url"], instants
+    if levels:
+        by, rows = ["url", "group"], instants.withColumn("group", F.col("t") - F.pmod("t", F.lit(levels[0])))
+    within = Window.partitionBy(*by).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("base", F.last("own", ignorenulls=True).over(within))
+    if not levels:
+        return rows.select("url", "t", "base")
+    rows = stored(rows, "instants")
+    heads = rows.groupBy(*by).agg(F.max(F.when(F.col("own").isNotNull(), F.struct("t", "own"))).alias("latest"))
+    above = latest_before(heads.select("url", F.col("group").alias("t"), F.col("latest.own").alias("own")), levels[1:])
+    above = above.select(F.col("url").alias("u"), F.col("t").alias("g"), F.col("base").alias("carried"))
+    return (rows.join(above, (F.col("url") == F.col("u")) & (F.col("group") == F.col("g")))
+            .select("url", "t", F.coalesce("base", "carried").alias("base")))
+
+
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row per revisit: record_id, url (canonical), at, base_id, outcome, and for resolved
     ones the response's digest, status and merged headers (else the revisit's own)."""
@@ -85,20 +106,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
         F.coalesce(F.col("headers").cast(HEADERS), F.array().cast(HEADERS)).alias("headers"), "digest"), "records")
     full = (F.col("kind") == "response") & (F.col("status") == 200)
     timed = rows.where(F.col("url").isNotNull() & F.col("at").isNotNull())
-    instants = (timed.groupBy("url", "at").agg(F.max(F.when(full, F.col("record_id"))).alias("own"))
-                .withColumn("day", F.to_date("at")))
-    within = Window.partitionBy("url", "day").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    instants = stored(instants.withColumn("base", F.last("own", ignorenulls=True).over(within)), "instants")
-    days = instants.groupBy("url", "day").agg(F.max(F.when(F.col("own").isNotNull(), F.struct("at", "own"))).alias("latest"))
-    before = Window.partitionBy("url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    carried = days.select(F.col("url").alias("u"), F.col("day").alias("d"), F.last(F.col("latest.own"), ignorenulls=True).over(before).alias("carried"))
-    asof = instants.join(carried, (F.col("url") == F.col("u")) & (F.col("day") == F.col("d")))
-    asof = stored(asof.select(F.col("url").alias("u"), F.col("at").alias("t"), F.coalesce("base", "carried").alias("base_id")), "as-of")
+    instant = F.unix_micros(F.col("at").cast("timestamp"))
+    instants = timed.groupBy("url", instant.alias("t")).agg(F.max(F.when(full, F.col("record_id"))).alias("own"))
+    asof = stored(latest_before(instants).select(F.col("url").alias("u"), "t", F.col("base").alias("base_id")), "as-of")
 
     # A null URL or time never equals a key; such rows get one of their own, so they do not meet in one task.
     revisits = rows.where(F.col("kind") == "revisit").withColumn(
         "k", F.when(F.col("url").isNotNull(), F.col("url")).otherwise(F.concat(F.lit("\0"), F.coalesce(F.col("record_id").cast("string"), F.lit("")))))
-    found = revisits.join(asof, (F.col("k") == F.col("u")) & (F.col("at") == F.col("t")), "left").drop("k", "u", "t")
+    found = revisits.join(asof, (F.col("k") == F.col("u")) & (instant == F.col("t")), "left").drop("k", "u", "t")
     base = (rows.where(full).groupBy("record_id").agg(F.min(F.struct("digest", "headers")).alias("r"))
             .select(F.col("record_id").alias("b"), "r"))
     base = stored(base, "responses")

@@ -191,6 +191,33 @@ def test_oracle(spark, name):
     assert rows_of(got) == sorted(repr(tuple(x[i] for i in at)) for x in want.fetchall())
 
 
+def test_warc_groups_are_bounded_for_a_hot_url(spark, monkeypatch):
+    r = random.Random(2)
+    stored, groups = warc.stored, []
+
+    def watched(df, name):
+        out = stored(df, name)
+        if name == "instants":
+            groups.append(out.groupBy([c for c in ("url", "day", "group") if c in out.columns]).count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(warc, "stored", watched)
+    day, times = 1_700_006_400 * 10**6, sorted(r.sample(range(86_400 * 10**6), 25_000))
+    rows = [(i, "response" if i % 7 == 0 else "revisit", "http://a.net/", day + t) for i, t in enumerate(times)]
+    rows += [(30_000 + i, "revisit", "http://a.net/", x) for i, x in enumerate((day - 1, -1, day + 10**13, day + times[0] + 1))]
+    records = spark.createDataFrame(rows, "record_id long, kind string, url string, micros long").select(
+        "record_id", "kind", "url", F.timestamp_micros("micros").alias("at"), F.when(F.col("kind") == "response", 200).otherwise(304).alias("status"),
+        F.array(F.struct(F.lit("ETag").alias("name"), F.lit("x").alias("value"))).alias("headers"), F.lit("d").alias("digest"))
+    want, latest = {}, None
+    for i, kind, _, _ in sorted(rows, key=lambda x: x[3]):
+        if kind == "response":
+            latest = i
+        else:
+            want[i] = latest
+    assert {x["record_id"]: x["base_id"] for x in warc.resolve_revisits(records).collect()} == want
+    assert max(groups) <= 10_000
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     first = docs.orderBy("doc_id").first()
