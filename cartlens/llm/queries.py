@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartlens.llm import byte_bpe, decontamination, jaccard_join, language_id, sharding, suffix_dedup, token_counts, url_filter, vector_search, warc
+from cartlens.llm import (byte_bpe, decontamination, hard_negatives, jaccard_join, language_id, packing, sharding, suffix_dedup, token_counts,
+                          url_filter, vector_search, warc, whitening)
 from cartlens.llm.common import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +228,35 @@ def op10_warc_revisits(spark, sf):
     text = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), F.coalesce(h["value"], F.lit("")))), "\n")
     return out.select("record_id", "url", F.col("at").cast("timestamp_ntz").alias("at"), "base_id", "outcome", "status", "digest",
                       F.size("headers").alias("n_headers"), F.sha2(text, 256).alias("headers_sha256"))
+
+
+@register("op11_best_fit_packing")
+def op11_best_fit_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op12_whitening")
+def op12_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
+@register("op13_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND NOT list_bool_or([x IS NULL OR NOT isfinite(x::DOUBLE) for x in embedding])),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id AND len(c.v) = len(a.v) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""")
+def op13_hard_negatives(spark, sf):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), F.col("id") % 50 == 0, label_col=moved)
