@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.operators import campaign, churn, features, kpi, models
+from cartlens.operators import campaign, churn, features, forest, kpi, models
 from cartlens.schema import (CHURN_CATEGORICAL, CHURN_NUMERIC, CHURN_PERIOD_DAYS,
                              CHURN_PROB_THRESHOLD, CHURN_TEST_FRACTION, SEED, VALUE_PERCENTILE)
 from cartlens.session import cut_lineage
@@ -58,19 +59,30 @@ def churn_data(tables: dict[str, DataFrame], churn_period_days: int = CHURN_PERI
     return ChurnData(feats, design, num, cat)
 
 
-def _scored(model, df: DataFrame) -> DataFrame:
-    return (model.transform(df)
-            .select("user_uid", "churned", models.positive_probability().alias("churn_proba"))
+def _scored(proba: DataFrame, df: DataFrame) -> DataFrame:
+    """``proba`` (user_uid, churn_proba) with the label and the decision at one half."""
+    return (df.select("user_uid", "churned").join(proba, "user_uid")
             .withColumn("prediction", (F.col("churn_proba") >= 0.5).cast("int")))
 
 
+def _features() -> Column:
+    return vector_to_array(F.col("features"))
+
+
+def fit_and_score(train: DataFrame, rows: DataFrame, which: str = "rf") -> DataFrame:
+    """(user_uid, churn_proba) of ``rows`` by a model fitted on ``train``: ``rf`` or ``lr``."""
+    if which == "rf":
+        model = forest.fit(train, "user_uid", "label", _features())
+        return forest.predict(model, rows, "user_uid", _features()).withColumnRenamed("probability", "churn_proba")
+    model = models.fit_reliably(models.logistic(train.count()), train, checkpoint=False)
+    return model.transform(rows).select("user_uid", models.positive_probability().alias("churn_proba"))
+
+
 def evaluate(data: ChurnData, which: str = "rf") -> tuple[DataFrame, DataFrame]:
     """Fit on the train part, score the test part: (test scores, metrics)."""
-    train = data.design.where(~F.col("is_test"))
     test = data.design.where(F.col("is_test"))
-    est = models.random_forest() if which == "rf" else models.logistic(train.count())
-    model = models.fit_reliably(est, train, checkpoint=False)
-    scored = _scored(model, test)
+    # The scores feed the metric and the caller.
+    scored = cut_lineage(_scored(fit_and_score(data.design.where(~F.col("is_test")), test, which), test))
     auc = features.roc_auc(scored, "churned", "churn_proba").select(F.lit(which).alias("model"), "auc")
     return scored, auc
 
@@ -93,9 +105,7 @@ def run_campaign(tables: dict[str, DataFrame], prob_threshold: float = CHURN_PRO
         scored, auc = evaluate(data, "rf")
         out["holdout_auc"] = auc
         out["report"] = features.classification_report(scored, "churned", "prediction")
-    final = models.fit_reliably(models.random_forest(), data.design, checkpoint=False)
-    proba = _scored(final, data.design).select("user_uid", "churn_proba")
-    scored_all = data.features.join(proba, "user_uid")
+    scored_all = data.features.join(fit_and_score(data.design, data.design), "user_uid")
     out["scored"] = scored_all = cut_lineage(scored_all)
     out["targets"] = campaign.select_targets(scored_all, "churn_proba", prob_threshold, value_percentile)
     if out_csv:

@@ -9,12 +9,13 @@ follow the rule, that the penalised loss has gradient zero).
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cartlens.catalog import register
 from cartlens.oracles.views import sql, strip
-from cartlens.operators import campaign, features
+from cartlens.operators import campaign, features, forest
 from cartlens.operators import sentiment as sn
 from cartlens.operators.features import threshold_hex
 from cartlens.operators.stats import with_scalars
@@ -311,16 +312,20 @@ lv AS (SELECT f, level, CAST(row_number() OVER (ORDER BY f, level) + {len(NUM)}
        FROM ({" UNION ".join(f"SELECT {i} AS f, coalesce(CAST({c} AS VARCHAR), 'Missing') AS level FROM churn_features" for i, c in enumerate(CAT))}))"""
 
 
-@register("design_matrix", sql(f"""
-WITH imp AS (SELECT user_uid, {_num_sql(lambda c: f'{_std_sql(c)} AS {c}')} FROM churn_features),
-{_LEVELS}
-{" UNION ALL ".join(f"""SELECT user_uid, {i} AS pos, round(({c} - avg({c}) OVER ()) /
-  CASE WHEN stddev_pop({c}) OVER () IS NULL OR stddev_pop({c}) OVER () = 0 THEN 1.0 ELSE stddev_pop({c}) OVER () END, 6) AS value FROM imp"""
+_DESIGN = f"""
+imp AS (SELECT user_uid, {_num_sql(lambda c: f'{_std_sql(c)} AS {c}')} FROM churn_features),
+{_LEVELS},
+dm AS (
+{" UNION ALL ".join(f"""SELECT user_uid, {i} AS pos, ({c} - avg({c}) OVER ()) /
+  CASE WHEN stddev_pop({c}) OVER () IS NULL OR stddev_pop({c}) OVER () = 0 THEN 1.0 ELSE stddev_pop({c}) OVER () END AS value FROM imp"""
   for i, c in enumerate(NUM))}
 UNION ALL
 SELECT user_uid, pos, CASE WHEN lv.level = CASE f {" ".join(f"WHEN {i} THEN coalesce(CAST(u.{c} AS VARCHAR), 'Missing')" for i, c in enumerate(CAT))} END
                            THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
-FROM churn_features u CROSS JOIN lv""", "churn_features"))
+FROM churn_features u CROSS JOIN lv)"""
+
+
+@register("design_matrix", sql(f"WITH {_DESIGN} SELECT user_uid, pos, round(value, 6) AS value FROM dm", "churn_features"))
 def q_design_matrix(spark, sf):
     """The design vector, entry by entry: scaled numerics, then one column per level."""
     d = _churn_data(spark, sf).design
@@ -369,6 +374,77 @@ def q_model_comparison(spark, sf):
     return both.select("model", F.coalesce(F.col("auc").between(0, 1), F.lit(False)).alias("auc_in_unit"))
 
 
+@register("churn_rf_scores")
+def q_churn_rf_scores(spark, sf):
+    """Hold-out probabilities of the exact forest (tests grow it by brute force)."""
+    return camp_plan.evaluate(_churn_data(spark, sf), "rf")[0]
+
+
+@register("churn_lr_scores")
+def q_churn_lr_scores(spark, sf):
+    """Hold-out probabilities of the logistic model (``churn_lr_gradient`` proves the optimum)."""
+    return camp_plan.evaluate(_churn_data(spark, sf), "lr")[0]
+
+
+@register("model_auc")
+def q_model_auc(spark, sf):
+    """The hold-out AUC of each model (tests recompute it in SQL from the scores)."""
+    data = _churn_data(spark, sf)
+    return camp_plan.evaluate(data, "lr")[1].unionByName(camp_plan.evaluate(data, "rf")[1])
+
+
+@register("campaign_scores")
+def q_campaign_scores(spark, sf):
+    """I16, K1: every user's probability by the forest refitted on all rows."""
+    return camp_plan.run_campaign(shop_clean(spark, sf), evaluate_holdout=False)["scored"].select(
+        "user_uid", "churned", "monetary_total", "churn_proba")
+
+
+#: Trees whose first cut is compared, and design columns whose drawn order the SQL lists.
+ROOT_TREES, ROOT_COLUMNS = 12, 256
+
+
+def _roots_sql() -> str:
+    every = np.ones((1, ROOT_COLUMNS), bool)
+    cuts, orders = [], []
+    for t in range(ROOT_TREES):
+        a, b = forest.multipliers(t, SEED)
+        cuts.append(f"({t}, {a}, {b})")
+        for k in range(ROOT_COLUMNS):  # the k-th drawn column is what the first k + 1 have more than the first k
+            got = set(forest.candidates(np.array([forest.root(t, SEED)]), every, k + 1)[0].tolist())
+            orders += [f"({t}, {k}, {c})" for c in got - (set() if not k else before)]
+            before = got
+    weight = f"list_sum([CAST((hh * a + b) % {2**31 - 1} >= c AS INTEGER) for c in {forest.WEIGHT_CUTS}])"
+    return sql(f"""
+WITH {_HOLD_OUT}, {_DESIGN},
+t(tree, a, b) AS (VALUES {", ".join(cuts)}),
+o(tree, k, pos) AS (VALUES {", ".join(orders)}),
+w AS (SELECT tree, user_uid, y, w FROM (
+    SELECT tree, user_uid, y, {weight} AS w FROM t CROSS JOIN (
+      SELECT user_uid, churned AS y, ('0x' || substr(md5(CAST(user_uid AS VARCHAR)), 1, 15))::BIGINT % {2**31 - 1} AS hh FROM h WHERE NOT is_test))
+  WHERE w > 0),
+varies AS (SELECT tree, pos FROM w JOIN dm USING (user_uid) GROUP BY tree, pos HAVING min(value) < max(value)),
+tried AS (SELECT tree, pos FROM o JOIN varies USING (tree, pos)
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY k) <= floor(sqrt((SELECT count(DISTINCT pos) FROM dm)))),
+v AS (SELECT tree, pos, value, CAST(sum(w * (1 - y)) AS DOUBLE) AS c0, CAST(sum(w * y) AS DOUBLE) AS c1
+  FROM tried JOIN w USING (tree) JOIN dm USING (user_uid, pos) GROUP BY tree, pos, value),
+s AS (SELECT tree, pos, value, lead(value) OVER p AS next, sum(c0) OVER p AS l0, sum(c1) OVER p AS l1,
+    sum(c0) OVER (PARTITION BY tree, pos) AS n0, sum(c1) OVER (PARTITION BY tree, pos) AS n1
+  FROM v WINDOW p AS (PARTITION BY tree, pos ORDER BY value)),
+g AS (SELECT *, (l0 * l0 + l1 * l1) / (l0 + l1) + ((n0 - l0) * (n0 - l0) + (n1 - l1) * (n1 - l1)) / (n0 - l0 + n1 - l1) AS gain
+  FROM s WHERE next IS NOT NULL)
+SELECT CAST(tree AS INTEGER) AS tree, CAST(pos AS INTEGER) AS feature, round(value + (next - value) / 2, 6) AS threshold FROM g
+QUALIFY row_number() OVER (PARTITION BY tree ORDER BY gain DESC, pos, value) = 1""", "churn_features")
+
+
+@register("churn_rf_roots", _roots_sql())
+def q_churn_rf_roots(spark, sf):
+    """The first cuts of the forest's first trees, found in SQL over all cuts of the drawn columns."""
+    train = _churn_data(spark, sf).design.where(~F.col("is_test"))
+    cuts = forest.root_cuts(forest.fit(train, "user_uid", "label", vector_to_array(F.col("features"))))
+    return cuts.where(F.col("tree") < ROOT_TREES).withColumn("threshold", F.round("threshold", 6))
+
+
 _RULE_PROBA_SQL = "1.0 / (1.0 + exp(-(tenure_days / (30.0 * freq_total) - 1.0)))"
 
 

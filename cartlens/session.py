@@ -6,8 +6,13 @@ in settings that are not already set, so cluster configuration always wins.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +49,21 @@ def get_spark(master: str | None = None, app: str = "cartlens",
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: send it with the application, once, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if any(name.startswith("cartlens-") for name in sc._python_includes):
+        return
+    root = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="cartlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = Path(folder) / f"cartlens-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(path))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and intermediate tables, from
     ``spark.checkpoint.dir``. Only a local master may leave it unset: a
