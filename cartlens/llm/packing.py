@@ -16,7 +16,8 @@ than sqrt(2 * capacity) different lengths, so it has at most
 3 * capacity * sqrt(2 * capacity) entries (in practice a few thousand).
 
 Tokenising: the vocabulary drops white space, so a text's ids are those of its
-words (cut at ASCII white space) one after the other; a worker remembers words.
+words (cut at ASCII white space) one after the other; a worker remembers words
+and lets the library encode the others, many to a line.
 
 Defined cases: a null or empty text is the end id alone, one piece of length 1;
 a text of any length is encoded whole; equal lengths take slots in the order of
@@ -41,8 +42,10 @@ from pyspark.sql import functions as F
 from cartlens.llm.common import enter, keep_cache, ship, stored
 
 CAPACITY, END_ID = 4096, 1
-#: Words whose ids a worker remembers, and words encoded by one call.
-CACHE_WORDS, CALL_WORDS = 400_000, 4_096
+#: Words after which a worker lets go of those not met since the last time, words on a line, lines in a call.
+CACHE_WORDS, LINE_WORDS, CALL_LINES = 700_000, 128, 64
+#: The word between the words of a line, and stops that are split from a word's end.
+MARK, STOPS = b"\x01", b".,;:!?"
 #: Tasks whose counts are summed in one window group; longer lists go through sums of such groups.
 TASKS_PER_GROUP = 1_024
 
@@ -54,19 +57,46 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_buffer(file)
+        mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None  # the id of no other word, as its one byte is in none
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _alone(self, words: list[bytes]) -> Iterator[bytes]:
+        for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False):
+            yield np.array(e.ids, dtype="<u4").tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode words, many to a call; in a line a mark stands between them."""
+        odd = [w for w in words if self.mark is None or MARK in w]
+        self.known.update(zip(odd, self._alone(odd), strict=True))
+        words = [w for w in words if w not in self.known] if odd else words
+        lines = [words[i:i + LINE_WORDS] for i in range(0, len(words), LINE_WORDS)]
+        between = (b" " + MARK + b" ").join
+        for lo in range(0, len(lines), CALL_LINES):
+            part = lines[lo:lo + CALL_LINES]
+            encoded = self.tokenizer.encode_batch_fast([between(x).decode() for x in part], add_special_tokens=False)
+            for own, e in zip(part, encoded, strict=True):
+                ids = np.array(e.ids, dtype="<u4")
+                marks, raw = np.flatnonzero(ids == self.mark), ids.tobytes()
+                begin, end = [0, *(4 * marks + 4).tolist()], [*(4 * marks).tolist(), len(raw)]
+                self.known.update(zip(own, [raw[i:j] for i, j in zip(begin, end, strict=True)], strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         words = set().union(*split)
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for lo in range(0, len(new), CALL_WORDS):
-            part = new[lo:lo + CALL_WORDS]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, x)) for x in split]
+        if len(self.known) + len(words) > CACHE_WORDS:  # what has not been met since the last time is forgotten
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = [w for w in words if w not in known]
+        known.update({w: older[w] for w in new if w in older})
+        # Stops after a letter or digit are words of their own to the tokenizer.
+        ended = [(w, s, w[len(s):]) for w in new if w not in known and (s := w.rstrip(STOPS)) != w and s[-1:].isalnum()]
+        ends = {w for w, _, _ in ended}
+        parts = {x for _, s, stop in ended for x in (s, stop)}
+        self._learn([w for w in parts.union(new).difference(ends) if w not in known])
+        known.update({w: known[s] + known[stop] for w, s, stop in ended})
+        return [b"".join(map(known.__getitem__, x)) for x in split]
 
 
 _encoders: dict[int, WordEncoder] = {}
