@@ -29,6 +29,7 @@ columns cannot clash.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
@@ -49,6 +50,19 @@ MARK, STOPS = b"\x01", b".,;:!?"
 #: Tasks whose counts are summed in one window group; longer lists go through sums of such groups.
 TASKS_PER_GROUP = 1_024
 
+#: Words of Latin letters with one spelling: A to Z and U+00C0 to U+00FF without the two signs.
+PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+
+
+def _letters_of_bytes() -> dict[int, int]:
+    """The letter by which a byte-level vocabulary writes each byte: printable ones stand for themselves, the others
+    follow from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in own)}
+
+
+LETTER_OF_BYTE = _letters_of_bytes()
+
 
 class WordEncoder:
     """Texts (UTF-8 bytes) to their ids as little-endian 32-bit numbers."""
@@ -59,6 +73,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_buffer(file)
         mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None  # the id of no other word, as its one byte is in none
+        self.raw = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -67,7 +82,15 @@ class WordEncoder:
             yield np.array(e.ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode words, many to a call; in a line a mark stands between them."""
+        """Encode words: those of plain letters by the model alone, as lower case is all that the library changes
+        in them; others many to a call, in lines with a mark between them."""
+        plain = [w for w in words if PLAIN(w)]
+        if plain:
+            model, raw, known = self.tokenizer.model.tokenize, self.raw, self.known
+            for w in plain:
+                letters = w.lower().decode() if w.isascii() else w.decode().lower().encode().decode("latin-1").translate(LETTER_OF_BYTE)
+                known[w] = b"".join([raw[t.id] for t in model(letters)])
+            words = [w for w in words if w not in self.known]
         odd = [w for w in words if self.mark is None or MARK in w]
         self.known.update(zip(odd, self._alone(odd), strict=True))
         words = [w for w in words if w not in self.known] if odd else words

@@ -51,7 +51,8 @@ def check_packed(got, capacity):
 
 
 ODD = [None, "", " \n\t", "Hello WORLD", "a\xa0b c\x1cd\x85e", "é ́x ̈́", "<|endoftext|>", "x<|startoftext|>y <|endoftext|> z",
-       "it's they'll I'VE 'S", "ΣΑΣ ΟΔΟΣ. İstanbul", "日本語 テキスト", "🙂👩‍👩‍👧 ok", "1234567 3.14", "a" * 5000, "word " * 3000, "\0 \0a", "ﬁ Å Å"]
+       "it's they'll I'VE 'S", "ΣΑΣ ΟΔΟΣ. İstanbul", "日本語 テキスト", "🙂👩‍👩‍👧 ok", "1234567 3.14", "a" * 5000, "word " * 3000, "\0 \0a", "ﬁ Å Å",
+       "ÀÉÎÕÜ ß×ß ÿÿ ÞþÐð Straße. ÇA! É÷é naïve?! a.b.c (x) \u00ad y"]
 
 
 def test_packing(spark):
