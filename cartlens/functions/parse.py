@@ -6,16 +6,45 @@ typed read; coercing parsers turn bad values into null.
 
 from __future__ import annotations
 
+import re
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cartlens.schema import FALSE_TOKENS, NA_TOKENS, TRUE_TOKENS
 
 
-ISO_DATE, ISO_TIME = "iso-date", "iso-time"
 _DATE, _TIME = r"\d{4}-\d{2}-\d{2}", r"[ T]\d{2}:\d{2}:\d{2}(\.\d{1,9})?"
 
 
+@dataclass(frozen=True)
+class TimestampForm:
+    """One way to write a timestamp: what a value must match, and the pattern to read it with (None: ISO)."""
+    regex: str
+    pattern: str | None = None
+
+
+ISO_DATE, ISO_TIME = TimestampForm(f"^{_DATE}$"), TimestampForm(f"^{_DATE}{_TIME}$")
+
+
+def timestamp_form(value: str) -> TimestampForm | None:
+    """The form of a sample value: ISO with ``-``, or day, month and year with ``/`` (month first unless the
+    first number is over 12); a date alone, or with a time after a space or ``T``, with or without
+    seconds and a fraction. None for anything else."""
+    m = re.fullmatch(r"(?:(\d{4}-\d{2}-\d{2})|(\d{2})/\d{2}/\d{4})(?:([ T])\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?", value)
+    if m is None:
+        return None
+    iso, first, gap, seconds, fraction = m.groups()
+    regex = _DATE if iso else r"\d{2}/\d{2}/\d{4}"
+    if gap:
+        regex += gap + r"\d{2}:\d{2}" + r":\d{2}" * bool(seconds) + r"\.\d{1,9}" * bool(fraction)
+    if iso:
+        return TimestampForm(f"^{regex}$")
+    clock = (gap if gap == " " else "'T'") + "HH:mm" + ":ss" * bool(seconds) + ".[SSSSSSSSS][SSSSSS][SSS]" * bool(fraction) if gap else ""
+    return TimestampForm(f"^{regex}$", ("dd/MM/yyyy" if int(first) > 12 else "MM/dd/yyyy") + clock)
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -63,7 +92,7 @@ def parse_double(c, name: str = "value") -> Column:
                        .cast("double")))
 
 
-def parse_ts_strict(c, fmt: str | None = None, name: str = "value") -> Column:
+def parse_ts_strict(c, fmt: str | TimestampForm | None = None, name: str = "value") -> Column:
     """Timestamp (no time zone); an unparsable non-null value raises."""
     c = _col(c)
     t = parse_ts_coerce(c, fmt)
@@ -72,16 +101,19 @@ def parse_ts_strict(c, fmt: str | None = None, name: str = "value") -> Column:
                        .cast("timestamp_ntz")))
 
 
-def parse_ts_coerce(c, fmt: str | None = None) -> Column:
+def parse_ts_coerce(c, fmt: str | TimestampForm | None = None) -> Column:
     """Timestamp (no time zone); values that are not in an accepted format become null.
 
     Without ``fmt`` these are ISO dates and ISO dates with a time (``T`` or a space between, a
-    fraction allowed), not bare years or offsets; :data:`ISO_DATE` or :data:`ISO_TIME` accepts
-    only one of the two (the one-format rule); anything else is a Spark datetime pattern.
+    fraction allowed), not bare years or offsets; a :class:`TimestampForm` accepts that form
+    alone (the one-format rule); anything else is a Spark datetime pattern.
     Nothing passes through the session's time zone."""
     c = _col(c)
-    if fmt in (None, ISO_DATE, ISO_TIME):
-        pattern = {None: f"^{_DATE}({_TIME})?$", ISO_DATE: f"^{_DATE}$", ISO_TIME: f"^{_DATE}{_TIME}$"}[fmt]
-        return F.when(F.rlike(c, F.lit(pattern)), c.try_cast("timestamp_ntz"))
+    if fmt is None:
+        fmt = TimestampForm(f"^{_DATE}({_TIME})?$")
+    if isinstance(fmt, TimestampForm):
+        if fmt.pattern is None:
+            return F.when(F.rlike(c, F.lit(fmt.regex)), c.try_cast("timestamp_ntz"))
+        return F.when(F.rlike(c, F.lit(fmt.regex)), parse_ts_coerce(c, fmt.pattern))
     # Parsed without a zone; the guard keeps the strict parser from raising on other formats.
     return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))

@@ -7,7 +7,7 @@ key cannot fan out or pile up in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartlens.functions.nulls import is_member, ne
@@ -87,8 +87,11 @@ def fk_violation_count(child: DataFrame, parent: DataFrame, child_key: str,
 
 def _violations(keys: DataFrame, parent: DataFrame, child_key: str, parent_key: str,
                 name: str) -> DataFrame:
-    # Null keys are violations by definition.
-    return matched(keys, parent, child_key, parent_key).agg(F.count_if(~F.col("_found")).alias(name))
+    """Keys are counted in the map tasks, so a hot key or the null key is one row of the join; a null key
+    finds no parent and is a violation by definition."""
+    per = keys.groupBy(F.col(child_key).alias("_ck")).agg(F.count(F.lit(1)).alias("_n"))
+    found = per.join(parent_keys(parent, parent_key, "_pk"), F.col("_ck") == F.col("_pk"), "left")
+    return found.agg(F.coalesce(F.sum(F.when(F.col("_pk").isNull(), F.col("_n"))), F.lit(0)).alias(name))
 
 
 def conditional_fk_count(child: DataFrame, parent: DataFrame, child_key: str,
@@ -141,6 +144,16 @@ def table_profile(df: DataFrame, name: str) -> DataFrame:
         F.lit(len(df.columns)).cast("int").alias("num_columns"))
 
 
+def preview(df: DataFrame, name: str, order_by: list[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``order_by`` (missing values last) as text, in order, with the table's column list. ``n`` is
+    the feature: Spark keeps the best ``n`` rows of each task and merges them."""
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    text = F.concat_ws(" | ", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("<missing>")) for c in df.columns])
+    first = df.orderBy(*order).limit(n)
+    return first.select(F.lit(name).alias("table_name"), F.row_number().over(Window.orderBy(*order)).alias("row_no"),
+                        F.lit(", ".join(df.columns)).alias("columns"), text.alias("row_text"))
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """A2: distinct values of a column with their row counts."""
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("num_rows"))

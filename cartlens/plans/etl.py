@@ -14,6 +14,7 @@ from cartlens.functions.text import (canonical_sex, clean_str, normalize_label,
 from cartlens.operators import repair
 from cartlens.schema import CARD_NOT_ASSIGNED, ITEM_STATUSES
 from cartlens.sources import shop_tables as st
+from cartlens.sources import versions
 
 
 def clean_users(raw: DataFrame) -> DataFrame:
@@ -127,15 +128,14 @@ def shop_clean(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return clean_tables(shop_raw(spark, sf_dir))
 
 
-def write_clean_tables(tables: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> None:
-    """One Parquet table per entity."""
-    for name, df in tables.items():
-        df.write.mode(mode).parquet(f"{out_dir}/{name}")
+def write_clean_tables(tables: dict[str, DataFrame], out_dir: str) -> None:
+    """One Parquet table per entity, all replaced at once when the last is complete."""
+    versions.write_set(dict(tables.items()), out_dir)
 
 
 def read_clean_tables(spark: SparkSession, in_dir: str, names: list[str]) -> dict[str, DataFrame]:
     """Load persisted clean tables."""
-    return {n: spark.read.parquet(f"{in_dir}/{n}") for n in names}
+    return versions.read_set(spark, in_dir, names)
 
 
 def with_product_type(details: DataFrame, products: DataFrame) -> DataFrame:

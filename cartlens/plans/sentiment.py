@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartlens.functions.text import clean_review_text, text_length
-from cartlens.operators import features, models, repair
+from cartlens.operators import features, models, repair, softmax
 from cartlens.operators import sentiment as sn
 from cartlens.plans.etl import clean_reviews, clean_reviews_labelled
 from cartlens.schema import MIN_REVIEW_LENGTH, SEED, SENTIMENT_TEST_FRACTION
@@ -34,8 +33,6 @@ def labelled_docs(raw_labelled: DataFrame, test_fraction: float = SENTIMENT_TEST
 @dataclass
 class TextFeatures:
     vocab: DataFrame      # term, df, idf
-    index: DataFrame      # term, idx
-    size: DataFrame       # one row: vocab_size
     n_train: DataFrame    # one row: n
 
 
@@ -48,32 +45,16 @@ def doc_counts(docs: DataFrame) -> DataFrame:
 def fit_text_features(docs: DataFrame, counts: DataFrame | None = None) -> TextFeatures:
     counts = counts if counts is not None else cut_lineage(doc_counts(docs))
     n_train = docs.where(~F.col("is_test")).agg(F.count(F.lit(1)).alias("n"))
-    # Vocabulary and index are read by weighting, vectors and scoring.
-    vocab = cut_lineage(sn.vocabulary(counts.where(~F.col("is_test")), n_train))
-    index = sn.dense_index(vocab, "term")
-    size = index.agg(F.count(F.lit(1)).cast("int").alias("vocab_size"))
-    return TextFeatures(vocab, index, size, n_train)
-
-
-def vectorize(docs: DataFrame, tf: TextFeatures, doc: str = "id",
-              counts: DataFrame | None = None) -> DataFrame:
-    """Documents -> ``features`` sparse vectors (empty vector when no term is known)."""
-    counts = counts if counts is not None else sn.term_counts(docs, doc, "text")
-    weights = sn.tfidf(counts.select(doc, "term", "tf"), tf.vocab, doc)
-    vecs = sn.doc_vectors(weights, tf.index, doc, tf.size)
-    j = docs.join(vecs.drop("vocab_size"), doc, "left").crossJoin(F.broadcast(tf.size))
-    empty = F.array().cast("array<int>")
-    return j.withColumn("features", models.sparse_vector(
-        F.col("vocab_size"), F.coalesce("indices", empty),
-        F.coalesce("values", F.array().cast("array<double>")))).drop("indices", "values", "vocab_size")
+    # The vocabulary is read by weighting and scoring.
+    return TextFeatures(cut_lineage(sn.vocabulary(counts.where(~F.col("is_test")), n_train)), n_train)
 
 
 @dataclass
 class SentimentResult:
-    model: object
+    model: softmax.Softmax
     text: TextFeatures
     classes: list[str]
-    train: DataFrame      # id, label, weight, features
+    docs: DataFrame       # doc, label, w of the training documents
     weights: DataFrame    # id, term, weight of the labelled documents
     test_predictions: DataFrame
     report: DataFrame
@@ -87,57 +68,49 @@ def train_sentiment(raw_labelled: DataFrame) -> SentimentResult:
     tf = fit_text_features(docs, counts)
     index = cut_lineage(sn.class_index(docs, "sentiment_label"))
     classes = [r["sentiment_label"] for r in index.orderBy("label").collect()]
-    weights = sn.class_weights(docs.where(~F.col("is_test")), "sentiment_label")
-    data = vectorize(docs, tf, counts=counts).join(F.broadcast(index), "sentiment_label")
-    data = cut_lineage(data.join(F.broadcast(weights), "sentiment_label", "left"))   # one row per class
-    train = data.where(~F.col("is_test"))
-    n = train.count()
-    lr = models.logistic(float(n), weight="weight", family="multinomial", max_iter=1500)
-    model = models.fit_reliably(lr, train, checkpoint=False)
-    names = F.array(*[F.lit(c) for c in classes])
-    pred = cut_lineage(model.transform(data.where(F.col("is_test")))
-                       .select("id", "sentiment_label", F.get(names, F.col("prediction").cast("int")).alias("sentiment_pred")))
+    balance = sn.class_weights(docs.where(~F.col("is_test")), "sentiment_label")
+    # One row per class each.
+    train = (docs.where(~F.col("is_test")).join(F.broadcast(index), "sentiment_label").join(F.broadcast(balance), "sentiment_label")
+             .select(F.col("id").alias("doc"), F.col("label").cast("int").alias("label"), F.col("weight").alias("w")))
+    weights = cut_lineage(sn.tfidf(counts.select("id", "term", "tf"), tf.vocab, "id"))
+    train = cut_lineage(train)
+    model = softmax.fit(weights.select(F.col("id").alias("doc"), "term", F.col("weight").alias("x")), train, len(classes))
+    test = docs.where(F.col("is_test")).select("id", "sentiment_label")
+    pred = cut_lineage(_labelled(test, weights, model, classes))
     report = features.classification_report(pred, "sentiment_label", "sentiment_pred")
     conf = features.confusion_matrix(pred, "sentiment_label", "sentiment_pred", classes)
-    weighted = sn.tfidf(counts.select("id", "term", "tf"), tf.vocab, "id")
-    return SentimentResult(model, tf, classes, train, weighted, pred, report, conf)
+    return SentimentResult(model, tf, classes, train, weights, pred, report, conf)
 
 
-def coefficient_table(result: SentimentResult) -> DataFrame:
-    """(term, coef): the model's coefficients by term, one value per class. The model itself
-    is on the driver, so is this table of the same size."""
-    matrix = result.model.coefficientMatrix.toArray()
-    rows = [(i, [float(x) for x in matrix[:, i]]) for i in range(matrix.shape[1])]
-    spark = result.text.index.sparkSession
-    return result.text.index.join(spark.createDataFrame(rows, "idx int, coef array<double>"), "idx").select("term", "coef")
+def _labelled(docs: DataFrame, weights: DataFrame, model: softmax.Softmax, classes: list[str]) -> DataFrame:
+    """``docs`` with ``sentiment_pred``: a join of their terms' weights with the coefficients and a sum per
+    class; equal scores go to the first class."""
+    scores = sn.linear_scores(weights, model.coefficients, "id", len(classes))
+    bias = F.array(*[F.lit(b) for b in model.bias])
+    total = F.when(F.col("scores").isNull(), bias).otherwise(F.zip_with("scores", bias, lambda a, b: a + b))
+    best = F.array_position(total, F.array_max(total)).cast("int") - 1
+    return (docs.join(scores, "id", "left").withColumn("sentiment_pred", F.get(F.array(*[F.lit(c) for c in classes]), best))
+            .drop("scores"))
 
 
 def score_reviews(raw_reviews: DataFrame, result: SentimentResult) -> DataFrame:
-    """``sentiment_pred`` for every review: a join of its terms' weights with the
-    coefficients and a sum per class; equal scores go to the first class."""
+    """``sentiment_pred`` for every review."""
     rev = clean_reviews(raw_reviews).withColumn("text", clean_review_text("text"))
     # Read for the terms and for the output: clean the texts once.
     docs = cut_lineage(rev.select(F.col("review_uid").alias("id"), "user_uid", "text"))
     weights = sn.tfidf(sn.term_counts(docs, "id", "text"), result.text.vocab, "id")
-    scores = sn.linear_scores(weights, coefficient_table(result), "id", len(result.classes))
-    bias = F.array(*[F.lit(float(b)) for b in result.model.interceptVector])
-    total = F.when(F.col("scores").isNull(), bias).otherwise(F.zip_with("scores", bias, lambda a, b: a + b))
-    best = F.array_position(total, F.array_max(total)).cast("int") - 1
-    return (docs.join(scores, "id", "left")
-            .select(F.col("id").alias("review_uid"), "user_uid", "text",
-                    F.get(F.array(*[F.lit(c) for c in result.classes]), best).alias("sentiment_pred")))
+    return _labelled(docs, weights, result.model, result.classes).withColumnRenamed("id", "review_uid")
 
 
 def multinomial_gradient(result: SentimentResult) -> DataFrame:
     """Per class the largest absolute gradient of the penalised weighted log-loss over all
     terms, at the fitted model and over its training rows: zero at the optimum."""
-    n, k = result.train.count(), len(result.classes)
-    prob = vector_to_array(F.col("probability"))
-    rest = result.model.transform(result.train).select("id", *[
-        (F.col("weight") * (F.get(prob, F.lit(c)) - (F.col("label") == c).cast("int"))).alias(f"_r{c}") for c in range(k)])
-    sums = (result.weights.withColumnRenamed("weight", "_x").join(rest, "id").groupBy("term")
-            .agg(*[F.sum(F.col("_x") * F.col(f"_r{c}")).alias(f"_g{c}") for c in range(k)]))
-    total = sums.join(coefficient_table(result), "term").agg(*[
+    n, k = result.docs.count(), len(result.classes)
+    weights = result.weights.select(F.col("id").alias("doc"), "term", F.col("weight").alias("x"))
+    rest = softmax.residuals(weights, result.docs, result.model.coefficients, result.model.bias)
+    sums = (weights.join(rest, "doc").groupBy("term")
+            .agg(*[F.sum(F.col("x") * F.get("r", F.lit(c))).alias(f"_g{c}") for c in range(k)]))
+    total = sums.join(result.model.coefficients, "term").agg(*[
         F.max(F.abs(F.col(f"_g{c}") / n + F.get("coef", F.lit(c)) / n)).alias(f"_m{c}") for c in range(k)])
     return total.select(F.inline(F.array(*[F.struct(F.lit(name).alias("sentiment_label"), F.col(f"_m{c}").alias("max_abs_gradient"))
                                            for c, name in enumerate(result.classes)])))

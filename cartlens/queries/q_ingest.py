@@ -16,7 +16,7 @@ from cartlens.plans.etl import read_clean_tables, shop_clean, shop_raw, write_cl
 from cartlens.schema import FALSE_TOKENS, NA_TOKENS, TRUE_TOKENS
 from cartlens.session import checkpoint_dir
 from cartlens.sources import shop_tables as st
-from cartlens.sources.csv_ingest import read_raw_csv
+from cartlens.sources.csv_ingest import first_forms, read_raw_csv, read_typed_csv, source_headers, write_csv
 
 _TOKENS_CTE = "raw_tokens"
 
@@ -112,6 +112,58 @@ def q_table_profile(spark, sf):
 
 
 
+_PREVIEWED = {"users": ("raw_users", ["user_uid", "source", "language"], ["user_uid"]),
+              "orders": ("raw_orders", ["order_uid", "user_uid", "source", "tenant"], ["order_uid"]),
+              "cards": ("raw_cards", ["card_uid", "status", "event_id"], ["card_uid", "event_id"])}
+
+
+def _preview_sql() -> str:
+    parts = []
+    for n, (cte, columns, order) in _PREVIEWED.items():
+        by = ", ".join(f"{c} ASC NULLS LAST" for c in order)
+        text = " || ' | ' || ".join(f"coalesce(CAST({c} AS VARCHAR), '<missing>')" for c in columns)
+        parts.append(f"""SELECT '{n}' AS table_name, CAST(row_number() OVER (ORDER BY {by}) AS INTEGER) AS row_no,
+  '{", ".join(columns)}' AS columns, {text} AS row_text FROM {cte} QUALIFY row_number() OVER (ORDER BY {by}) <= 5""")
+    return sql("\nUNION ALL\n".join(parts), "raw_users", "raw_orders", "raw_cards")
+
+
+@register("table_preview", _preview_sql())
+def q_table_preview(spark, sf):
+    """The first rows of three raw tables by their key, and their columns (of the chosen ones)."""
+    raw = shop_raw(spark, sf)
+    return reduce(lambda a, b: a.unionByName(b), [dq.preview(raw[n].select(*columns), n, order)
+                                                  for n, (_, columns, order) in _PREVIEWED.items()])
+
+
+_MIXED = """
+WITH mixed AS (
+SELECT event_id,
+       CASE WHEN event_id % 11 = 0 THEN 'NULL' WHEN event_id % 5 = 1 THEN strftime(ts, '%Y-%m-%d')
+            ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS a,
+       CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 4 = 3 THEN strftime(ts, '%d/%m/%Y %H:%M')
+            ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS b
+FROM events),
+firsts AS (SELECT arg_min(a, event_id) FILTER (WHERE a <> 'NULL') AS fa, arg_min(b, event_id) FILTER (WHERE b <> '') AS fb FROM mixed)"""
+
+
+def _form_sql(value: str, first: str) -> str:
+    return f"""CASE WHEN length({value}) = length({first}) AND contains({value}, 'T') = contains({first}, 'T') AND contains({value}, '/') = contains({first}, '/')
+  THEN CASE WHEN contains({value}, '/') AND substr({first}, 1, 2) > '12' THEN try_strptime({value}, '%d/%m/%Y %H:%M')
+       WHEN contains({value}, '/') THEN try_strptime({value}, '%m/%d/%Y %H:%M') ELSE TRY_CAST({value} AS TIMESTAMP) END END"""
+
+
+@register("parse_ts_one_form", f"{_MIXED} SELECT event_id, {_form_sql('a', 'fa')} AS a, {_form_sql('b', 'fb')} AS b FROM mixed, firsts")
+def q_parse_ts_one_form(spark, sf):
+    """Columns with several forms; only values in the form of the column's first value (by event) are read."""
+    i = F.col("event_id")
+    mixed = st.table(spark, sf, "events").select(
+        "event_id",
+        F.when(i % 11 == 0, "NULL").when(i % 5 == 1, F.date_format("ts", "yyyy-MM-dd")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("a"),
+        F.when(i % 13 == 0, "").when(i % 4 == 3, F.date_format("ts", "dd/MM/yyyy HH:mm")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("b"))
+    forms = first_forms(mixed, ["a", "b"], i)
+    return mixed.select("event_id", *[ps.parse_ts_coerce(ps.na_to_null(c), forms[c]).alias(c) for c in ("a", "b")])
+
+
 @register("parse_ts_strict", """
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS raw_ts, CAST(strftime(ts, '%Y-%m-%dT%H:%M:%S') AS TIMESTAMP) AS value
 FROM events""")
@@ -153,3 +205,15 @@ def q_csv_round_trip(spark, sf):
                         F.round("c_acctbal", 2).alias("balance")), path)
     raw = read_raw_csv(spark, path)
     return raw.select("user_uid", "source", ps.parse_double("balance", "balance").alias("balance"))
+
+
+@register("csv_line_breaks", sql("""
+SELECT CAST(review_uid AS VARCHAR) AS review_uid, CAST(user_uid AS VARCHAR) AS user_uid,
+       replace(text, ' ', CASE WHEN review_uid % 3 = 0 THEN chr(10) WHEN review_uid % 3 = 1 THEN ' "' ELSE ',' END) AS text
+FROM raw_reviews""", "raw_reviews"))
+def q_csv_line_breaks(spark, sf):
+    """A1: reviews whose texts hold line breaks, quotes and commas, written as CSV and read by byte ranges."""
+    path, i = _scratch(spark, "reviews"), F.col("review_uid")
+    broken = F.replace("text", F.lit(" "), F.when(i % 3 == 0, "\n").when(i % 3 == 1, ' "').otherwise(","))
+    write_csv(st.raw_reviews(spark, sf).withColumn("text", broken), path, source_headers("reviews"))
+    return read_typed_csv(spark, path, "reviews")

@@ -234,7 +234,7 @@ def q_tfidf(spark, sf):
 @register("term_index", _lab_sql("""
 SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx FROM vocab"""))
 def q_term_index(spark, sf):
-    return sent_plan.fit_text_features(_docs(spark, sf)).index
+    return sn.dense_index(sent_plan.fit_text_features(_docs(spark, sf)).vocab, "term")
 
 
 @register("class_weights", _lab_sql("""
@@ -296,6 +296,21 @@ def q_sentiment_scored(spark, sf):
                          F.coalesce(F.col("sentiment_pred").isin(r.classes), F.lit(False)).alias("pred_is_class"))
 
 
+@register("sentiment_predictions")
+def q_sentiment_predictions(spark, sf):
+    """The class of every review (tests repeat the scoring join in SQL from the coefficient table)."""
+    return sent_plan.score_reviews(st.raw_reviews(spark, sf), _trained(spark, sf)).select("review_uid", "sentiment_pred")
+
+
+@register("sentiment_coefficients")
+def q_sentiment_coefficients(spark, sf):
+    """The model as a table: term, class and coefficient (``sentiment_lr_gradient`` proves the optimum)."""
+    r = _trained(spark, sf)
+    names = F.array(*[F.lit(c) for c in r.classes])
+    return (r.model.coefficients.select("term", F.posexplode("coef").alias("pos", "coefficient"))
+            .select("term", F.get(names, F.col("pos")).alias("sentiment_label"), F.round("coefficient", 2).alias("coefficient")))
+
+
 # ---------------------------------------------------------- I/K: models
 
 def _churn_data(spark, sf):
