@@ -16,8 +16,9 @@ than sqrt(2 * capacity) different lengths, so it has at most
 3 * capacity * sqrt(2 * capacity) entries (in practice a few thousand).
 
 Tokenising: the vocabulary drops white space, so a text's ids are those of its
-words (cut at ASCII white space) one after the other; a worker remembers words
-and lets the library encode the others, many to a line.
+words (cut at ASCII white space) one after the other; a worker remembers words.
+New words of plain letters go to the library's model directly, others to the
+library, many to a line.
 
 Defined cases: a null or empty text is the end id alone, one piece of length 1;
 a text of any length is encoded whole; equal lengths take slots in the order of
@@ -43,15 +44,15 @@ from pyspark.sql import functions as F
 from cartlens.llm.common import enter, keep_cache, ship, stored
 
 CAPACITY, END_ID = 4096, 1
-#: Words after which a worker lets go of those not met since the last time, words on a line, lines in a call.
-CACHE_WORDS, LINE_WORDS, CALL_LINES = 700_000, 128, 64
-#: The word between the words of a line, and stops that are split from a word's end.
-MARK, STOPS = b"\x01", b".,;:!?"
+#: Words that a worker remembers, words on a line, lines in a call, texts encoded together.
+CACHE_WORDS, LINE_WORDS, CALL_LINES, TEXTS = 400_000, 128, 64, 250
+#: The word between the words of a line.
+MARK = b"\x01"
 #: Tasks whose counts are summed in one window group; longer lists go through sums of such groups.
 TASKS_PER_GROUP = 1_024
 
-#: Words of Latin letters with one spelling: A to Z and U+00C0 to U+00FF without the two signs.
-PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+#: Words of Latin letters with one spelling (A to Z and U+00C0 to U+00FF without the two signs) and stops after them.
+PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,;:!?]*)").fullmatch
 
 
 def _letters_of_bytes() -> dict[int, int]:
@@ -75,22 +76,21 @@ class WordEncoder:
         self.mark = mark[0] if len(mark) == 1 else None  # the id of no other word, as its one byte is in none
         self.raw = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.met: set[bytes] = set()  # known words that were met again
+        self.stops: dict[bytes, bytes] = {b"": b""}
 
     def _alone(self, words: list[bytes]) -> Iterator[bytes]:
         for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False):
             yield np.array(e.ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode words: those of plain letters by the model alone, as lower case is all that the library changes
-        in them; others many to a call, in lines with a mark between them."""
-        plain = [w for w in words if PLAIN(w)]
-        if plain:
-            model, raw, known = self.tokenizer.model.tokenize, self.raw, self.known
-            for w in plain:
-                letters = w.lower().decode() if w.isascii() else w.decode().lower().encode().decode("latin-1").translate(LETTER_OF_BYTE)
-                known[w] = b"".join([raw[t.id] for t in model(letters)])
-            words = [w for w in words if w not in self.known]
+    def _plain(self, word: bytes) -> bytes:
+        """A word of plain letters by the model alone: lower case is all that the library changes in it."""
+        letters = word.lower().decode() if word.isascii() else word.decode().lower().encode().decode("latin-1").translate(LETTER_OF_BYTE)
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.tokenizer.model.tokenize(letters)])
+
+    def _lines(self, words: list[bytes]) -> None:
+        """Other words by the library, many to a call, in lines with a mark between them."""
         odd = [w for w in words if self.mark is None or MARK in w]
         self.known.update(zip(odd, self._alone(odd), strict=True))
         words = [w for w in words if w not in self.known] if odd else words
@@ -108,17 +108,28 @@ class WordEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         words = set().union(*split)
-        if len(self.known) + len(words) > CACHE_WORDS:  # what has not been met since the last time is forgotten
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        new = [w for w in words if w not in known]
-        known.update({w: older[w] for w in new if w in older})
-        # Stops after a letter or digit are words of their own to the tokenizer.
-        ended = [(w, s, w[len(s):]) for w in new if w not in known and (s := w.rstrip(STOPS)) != w and s[-1:].isalnum()]
-        ends = {w for w, _, _ in ended}
-        parts = {x for _, s, stop in ended for x in (s, stop)}
-        self._learn([w for w in parts.union(new).difference(ends) if w not in known])
-        known.update({w: known[s] + known[stop] for w, s, stop in ended})
+        new = words.difference(self.known)
+        self.met |= words - new
+        if len(self.known) + len(new) > CACHE_WORDS:  # what was not met again is forgotten, or all but these texts' words
+            keep = self.met if len(self.met) + len(new) <= CACHE_WORDS else words - new
+            self.known, self.met = {w: self.known[w] for w in keep}, set()
+        known, stops, other = self.known, self.stops, []
+        for w in new:
+            plain = PLAIN(w)
+            if plain is None:
+                other.append(w)
+                continue
+            stem, stop = plain.groups()
+            if not stop:
+                known[w] = self._plain(w)
+                continue
+            ids = known.get(stem)
+            if ids is None:
+                ids = known[stem] = self._plain(stem)
+            if stop not in stops:
+                stops[stop] = next(self._alone([stop]))
+            known[w] = ids + stops[stop]  # to the library, stops after a letter are a word of their own
+        self._lines(other)
         return [b"".join(map(known.__getitem__, x)) for x in split]
 
 
@@ -151,7 +162,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         seen = np.zeros(capacity + 1, np.int64)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(e.encode(b.column(1).to_pylist())):
+            groups = (b.column(1).slice(lo, TEXTS).to_pylist() for lo in range(0, b.num_rows, TEXTS))
+            for i, ids in enumerate(x for texts in groups for x in e.encode(texts)):
                 ids += end
                 for lo in range(0, len(ids), 4 * capacity):
                     part = ids[lo:lo + 4 * capacity]
