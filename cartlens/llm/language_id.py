@@ -16,7 +16,7 @@ Defined cases: a null text, an empty text or one without a letter: ``und``,
 score 0, no spans; a text whose letters no learned language uses: the language
 with most learned words, score 0; null ids are treated as the empty text by
 the hold-out rule; repeated rows are labelled each for itself; no labelled row:
-``ValueError``; an empty table of texts: empty result. Equal shares: the smaller
+``und``, score 0 for every text; an empty table of texts: empty result. Equal shares: the smaller
 language value. Carried columns travel under positional names, so no name clashes.
 """
 
@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from cartlens.llm import common
 
 PER_LANG, TOP_WORDS, TRIGRAM_SLOTS = 400, 20_000, 1 << 15
+#: Parts of a language that are ranked apart.
+FIT_PARTS = 64
 #: Log-likelihood paid for a change of language, and the most that one word can say against one.
 SWITCH, WORST = 8.0, 12.0
 #: A language's script holds at least this share of its learned words.
@@ -43,7 +45,8 @@ PASS = 1_000_000
 
 # FIXED VALUES: first and last code point of the scripts that are told apart.
 SCRIPTS = [
-    ("latin", 0x41, 0x5A), ("latin", 0x61, 0x7A), ("latin", 0xAA, 0xAA), ("latin", 0xBA, 0xBA), ("latin", 0xC0, 0x2AF),
+    ("latin", 0x41, 0x5A), ("latin", 0x61, 0x7A), ("latin", 0xAA, 0xAA), ("latin", 0xBA, 0xBA), ("latin", 0xC0, 0xD6),
+    ("latin", 0xD8, 0xF6), ("latin", 0xF8, 0x2AF),
     ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("armenian", 0x531, 0x58F), ("hebrew", 0x591, 0x5F4),
     ("arabic", 0x600, 0x6FF), ("arabic", 0x750, 0x77F), ("devanagari", 0x900, 0x97F), ("bengali", 0x980, 0x9FF),
     ("gurmukhi", 0xA00, 0xA7F), ("gujarati", 0xA80, 0xAFF), ("tamil", 0xB80, 0xBFF), ("telugu", 0xC00, 0xC7F),
@@ -183,10 +186,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     """Learn from the text and non-null language of the documents that are not held out."""
     common.ship(docs.sparkSession)
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~hold_out(id_col))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    picked = (labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h"))
-              .withColumn("rank", rank).where(F.col("rank") <= per_lang)
-              .select("lang", "id").distinct())
+    # The smallest hashes of each part of a language, then of these: no task ranks a whole language.
+    part = F.pmod(F.col("h"), F.lit(FIT_PARTS))
+    picked = labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.xxhash64(id_col).alias("h")).withColumn("part", part)
+    for by in (["lang", "part"], ["lang"]):
+        picked = (picked.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("h", "id")))
+                  .where(F.col("rank") <= per_lang).drop("rank"))
+    picked = picked.select("lang", "id").distinct()
     # At most per_lang ids of each language: broadcast instead of shuffling the texts.
     sample = (labelled.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
               .join(F.broadcast(picked), ["lang", "id"], "left_semi"))

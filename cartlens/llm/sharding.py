@@ -74,6 +74,8 @@ def _array(table: Sequence[int]) -> Column:
 def place(rows: DataFrame, shards: Sequence[str], size: int, keys: Sequence[str] = ("doc_id",),
           weights: Sequence[float] | None = None) -> DataFrame:
     """``keys``, slot and shard name of every row."""
+    if clash := {"slot", "shard"} & {k.lower() for k in keys}:
+        raise ValueError(f"a key has the name of a result column: {', '.join(sorted(clash))}")
     table = lookup_table(shards, size, weights)
     names = F.array(*map(F.lit, shards))
     slots = (rows.sparkSession.range(1)

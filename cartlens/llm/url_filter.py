@@ -107,6 +107,8 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], keys: Sequen
                 url: str = "url", default: str = "allow") -> DataFrame:
     """``keys``, host, path, rule (the host rule that decided, else null), pattern
     (the glob that decided, else null) and verdict of every row of ``pages``."""
+    if clash := {"host", "path", "rule", "pattern", "verdict"} & {k.lower() for k in keys}:
+        raise ValueError(f"a key has the name of a result column: {', '.join(sorted(clash))}")
     host, path = host_and_path(F.col(url))
     out = pages.select(*[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)], host.alias("host"), path.alias("path"))
     out = out.withColumn("target", F.concat("host", "path"))

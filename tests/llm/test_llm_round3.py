@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cartlens.llm import hard_negatives, packing, queries, whitening
+from cartlens.llm import hard_negatives, language_id, packing, queries, sharding, url_filter, whitening
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 MEDIUM = "/root/testdata/sf0.01"
@@ -260,3 +260,94 @@ def test_zone_maps_skip_blocks(spark):
         lambda part, l0, l1, under, over: over >= part.column(part.schema.get_field_index("least")).to_numpy()[:, None])
     read = chosen.agg(F.sum(F.size("codes"))).first()[0]
     assert read < 0.5 * anchors.count() * zones.count()
+
+
+# ------------------------------------------- language ID, names that clash
+
+def brute_languages(spark, docs):
+    """Predictions from scratch: plain counts and a word-by-word Viterbi, over the same sample rule."""
+    import math
+    import re
+    from cartlens.llm import common, language_id as li
+    picked, held = {}, {r["doc_id"]: r["h"] for r in docs.select("doc_id", li.hold_out().alias("h")).collect()}
+    hashes = {r["doc_id"]: r["x"] for r in docs.select("doc_id", F.xxhash64("doc_id").alias("x")).collect()}
+    rows = docs.select("doc_id", "text", "lang").collect()
+    for r in rows:
+        if r["lang"] and r["text"] is not None and not held[r["doc_id"]]:
+            picked.setdefault(r["lang"], []).append((hashes[r["doc_id"]], r["doc_id"], r["text"]))
+    langs = sorted(picked)
+
+    def words(text):
+        return [w.lower() if w.isascii() else bytes(c + 32 if 65 <= c <= 90 else c for c in w) for w in re.findall(rb"[A-Za-z\x80-\xff]+", text.encode())]
+
+    def slots(word):
+        padded = b" " + word + b" "
+        keys = [padded[i] << 16 | padded[i + 1] << 8 | padded[i + 2] for i in range(len(word))]
+        return (common.mix(np.array(keys, np.uint64) + np.uint64(1)) % np.uint64(li.TRIGRAM_SLOTS)).tolist()
+
+    count, tri = {x: Counter() for x in langs}, {x: Counter() for x in langs}
+    for x in langs:
+        for _, _, text in sorted(picked[x])[:li.PER_LANG]:
+            for w in words(text):
+                count[x][w] += 1
+                tri[x].update(slots(w))
+    assert all(len(c) <= li.TOP_WORDS for c in count.values())
+    known = set().union(*count.values())
+    out = {}
+    for r in rows:
+        text = r["text"] or ""
+        found = words(text)
+        if not any(c.isalpha() for c in text):
+            out[r["doc_id"]] = "und", 0.0
+            continue
+        best, back, first = None, [], None
+        for w in found:
+            s = []
+            for x in langs:
+                one = sum(math.log((tri[x][k] + 0.5) / (sum(tri[x].values()) + 0.5 * li.TRIGRAM_SLOTS)) for k in slots(w))
+                if w in known:
+                    one += math.log((count[x][w] + 0.5) / (sum(count[x].values()) + 0.5 * (len(known) + 1)))
+                s.append(one)
+            s = [max(v - max(s), -li.WORST) for v in s]
+            if best is None:
+                best = s
+            else:
+                top = max(range(len(langs)), key=lambda k: (best[k], -k))
+                back.append([k if best[k] >= best[top] - li.SWITCH else top for k in range(len(langs))])
+                best = [max(best[k], best[top] - li.SWITCH) + s[k] for k in range(len(langs))]
+        path = [max(range(len(langs)), key=lambda k: (best[k], -k))]
+        for b in reversed(back):
+            path.append(b[path[-1]])
+        share = Counter()
+        for w, k in zip(found, reversed(path), strict=True):
+            share[k] += len(w)
+        k = max(share, key=lambda k: (share[k], -k))
+        out[r["doc_id"]] = langs[k], share[k] / sum(share.values())
+    return out
+
+
+def test_language_predictions_against_brute_force(spark):
+    """Whole predictions on Latin texts: the sample, word scores, shares and ties, not the Viterbi pass alone."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 2500 or text is null").where(
+        ~F.col("text").rlike("[\\u0250-\\uffff]"))
+    ids = [r["doc_id"] for r in docs.select("doc_id").collect()][:120]
+    docs = docs.where(F.col("doc_id").isin(ids))
+    got = language_id.identify(docs, language_id.fit(docs)).collect()
+    want = brute_languages(spark, docs)
+    assert len(got) == len(want) > 50
+    assert all(r["lang_pred"] == want[r["c0"]][0] and abs(r["score"] - want[r["c0"]][1]) < 1e-9 for r in got)
+
+
+def test_signs_are_not_letters(spark):
+    train = spark.createDataFrame([(i, "el agua y la casa", "es") for i in range(20)], "doc_id long, text string, lang string")
+    texts = ["×", "12 ÷ 3", "×× 5", "ª", "5 × agua"]
+    got = language_id.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").orderBy("doc_id"), language_id.fit(train))
+    assert [r["lang_pred"] for r in got.orderBy("c0").collect()] == ["und", "und", "und", "es", "es"]
+
+
+def test_keys_named_like_results_are_refused(spark):
+    df = spark.createDataFrame([(1, "http://a.net/")], "slot long, url string")
+    with pytest.raises(ValueError, match="slot"):
+        sharding.place(df, ["a", "b"], 7, keys=("slot",))
+    with pytest.raises(ValueError, match="host"):
+        url_filter.filter_urls(df.withColumnRenamed("slot", "Host"), [("net/", "block")], keys=("Host",))
