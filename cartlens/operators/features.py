@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartlens.operators.stats import distributed_quantiles, ordered_prefix, with_scalars
+from cartlens.operators.stats import ordered_prefix, quantiles, with_scalars
 from cartlens.schema import MISSING_LEVEL
 from cartlens.session import cut_lineage
 
@@ -28,29 +28,17 @@ def as_float(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def impute_median(df: DataFrame, cols: list[str], unbounded: list[str] | None = None,
                   fit_rows: Column | None = None) -> DataFrame:
-    """Replace nulls by the column median (exact).
+    """Replace nulls by the column median (exact; a column without values stays null).
 
     Medians come from all rows (the reference's behaviour) or, with
     ``fit_rows`` (e.g. ``~is_test``), from those rows only and are applied to
-    all. Columns listed in ``unbounded`` (about one distinct value per row,
-    such as money) use the bucketed exact quantile; the others Spark's
-    ``median``, whose final merge holds one entry per distinct value.
+    all. All columns are refined together (:func:`cartlens.operators.stats.quantiles`);
+    ``unbounded`` (columns with many distinct values) needs no care any more and has no effect.
     """
-    unbounded = [c for c in (unbounded or []) if c in cols]
-    df = as_float(df, cols)
-    if unbounded:
-        # Read by several jobs (sketches, medians, the output): materialise once.
-        df = cut_lineage(df)
-    fit = df if fit_rows is None else df.where(fit_rows)
-    med = fit.agg(*[F.median(c).alias(f"_med_{c}") for c in cols if c not in unbounded] or
-                  [F.lit(0).alias("_none")])
-    for c in unbounded:
-        med = med.crossJoin(F.broadcast(
-            distributed_quantiles(fit, c, [0.5], materialize=False).select(F.get("q", F.lit(0)).alias(f"_med_{c}"))))
-    out = with_scalars(df, med.drop("_none") if "_none" in med.columns else med)
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}")))
-    return out.drop(*[f"_med_{c}" for c in cols])
+    # Read by every pass of the medians and by the output: materialise once.
+    df = cut_lineage(as_float(df, cols))
+    medians = quantiles(df if fit_rows is None else df.where(fit_rows), cols, [0.5])
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(q[0])) for c, q in medians.items() if q})
 
 
 def standardize(df: DataFrame, cols: list[str], fit_rows: Column | None = None) -> DataFrame:
@@ -85,9 +73,6 @@ def one_hot_long(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
                     F.concat(F.col("_p.feature"), F.lit("_"), F.col("_p.level")).alias("dummy")))
 
 
-MONEY_FEATURES = ["monetary_total", "avg_order_value"]
-
-
 def prepare_design(df: DataFrame, num_cols: list[str], cat_cols: list[str],
                    fit_rows: Column | None = None) -> DataFrame:
     """Imputed + standardised numerics, categoricals with ``Missing``.
@@ -95,7 +80,7 @@ def prepare_design(df: DataFrame, num_cols: list[str], cat_cols: list[str],
     By default statistics come from all rows, as in the reference (the
     hold-out then leaks slightly); pass ``fit_rows`` to fit on training rows.
     """
-    imputed = impute_median(df, num_cols, unbounded=MONEY_FEATURES, fit_rows=fit_rows)
+    imputed = impute_median(df, num_cols, fit_rows=fit_rows)
     return fill_missing_level(standardize(imputed, num_cols, fit_rows), cat_cols)
 
 

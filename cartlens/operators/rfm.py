@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartlens.operators.stats import distributed_quantiles, money_sum, percentiles, with_scalars
+from cartlens.operators.stats import money_sum, one_row, quantiles, with_scalars
 from cartlens.schema import RFM_OTHER, RFM_QUINTILES, RFM_SEGMENTS
 from cartlens.session import cut_lineage
 
@@ -35,18 +35,11 @@ def rfm_base(order_kpi: DataFrame, snapshot_offset_days: int = 1) -> DataFrame:
 
 def rfm_breaks(rfm: DataFrame, probs: list[float] = RFM_QUINTILES,
                materialized: bool = False) -> DataFrame:
-    """Quintile breaks of recency, frequency and monetary (one row).
-
-    Recency (days) and frequency (orders) have few distinct values, so Spark's
-    exact ``percentile`` (one value -> count map in the final merge) is cheap.
-    Monetary has about one distinct value per user, so it uses the
-    bucketed exact quantile that never holds all values in one task.
-    """
-    counts = rfm.agg(percentiles("recency", probs).alias("recency_breaks"),
-                     percentiles("frequency", probs).alias("frequency_breaks"))
-    money = (distributed_quantiles(rfm, "monetary", probs, materialize=not materialized)
-             .select(F.col("q").alias("monetary_breaks")))
-    return counts.crossJoin(F.broadcast(money))
+    """Quintile breaks of recency, frequency and monetary (one row), all three refined together."""
+    columns = ["recency", "frequency", "monetary"]
+    rows = rfm.select(*columns)
+    found = quantiles(rows if materialized else cut_lineage(rows), columns, probs)
+    return one_row(rfm, **{f"{c}_breaks": found[c] for c in columns})
 
 
 def quintile_score(x: Column, breaks: Column, reverse: bool = False) -> Column:

@@ -7,9 +7,13 @@ and nothing goes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartlens.session import cut_lineage
+
 
 def money_sum(c) -> Column:
     """Sum of money as doubles; NaN counts as missing, a group without any value is 0.0."""
@@ -28,7 +32,7 @@ def percentiles(c, probs: list[float]) -> Column:
     The final merge of Spark's exact ``percentile`` holds a value -> count map,
     so its memory is bounded by the number of *distinct* values; use it for
     day counts, order counts and money rounded to cents. For unbounded
-    distinct counts use :func:`distributed_quantiles`.
+    distinct counts use :func:`quantiles`.
     """
     col = F.col(c) if isinstance(c, str) else c
     return F.percentile(col, F.array(*[F.lit(float(p)) for p in probs]))
@@ -52,55 +56,83 @@ def _sketch_buckets(df: DataFrame, col: str, buckets: int, out: str) -> DataFram
             .withColumn(out, F.col(out).cast("int")).drop(tmp))
 
 
-def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
-                          buckets: int = 1024, materialize: bool = True) -> DataFrame:
-    """Exact interpolated quantiles without a single-reducer value map.
-
-    1. values are collapsed to (value, count) — a hot value becomes one row —
-       and that table is checkpointed (it is read twice) unless
-       ``materialize=False`` (when ``df`` is itself a checkpoint);
-    2. a sketch gives ``buckets`` equi-depth bounds over the distinct values;
-    3. per-bucket counts (at most ``buckets`` rows) locate the bucket holding
-       each needed rank;
-    4. only those buckets are ranked, each in its own task holding about
-       distinct/buckets values.
-    Returns one row with a ``q`` array aligned with ``probs`` (empty without values).
+#: Bins of a column's histogram in one pass.
+QUANTILE_BINS = 1 << 14
+
+
+def _bin(x: Column, low: float, high: float, bins: int) -> Column:
+    """The bin of a value in [low, high], ascending: of its logarithm where the range is unbounded (``low`` is
+    ``-inf`` or ``high`` is ``inf``), else linear."""
+    def log(v: Column) -> Column:
+        return F.when(F.abs(v) == float("inf"), F.signum(v) * 711.0).otherwise(F.signum(v) * F.log1p(F.abs(v)))  # ln of the largest double: 709.8
+    if low == float("-inf") or high == float("inf"):
+        at = (log(x) - log(F.lit(low))) / (log(F.lit(high)) - log(F.lit(low)))
+    else:
+        half = 2.0 if max(-low, high) > 1e300 else 1.0  # the difference of two halves cannot overflow
+        at = (x / half - low / half) / (high / half - low / half)
+    return F.least(F.floor(at * bins), F.lit(bins - 1)).cast("int")
+
+
+def quantiles(df: DataFrame, columns: list[str], probs: list[float], bins: int = QUANTILE_BINS) -> dict[str, list[float]]:
+    """Exact interpolated quantiles (pandas ``quantile``) of all columns together, by histogram refinement.
+
+    A pass counts, for every column and range that still holds a wanted rank, the values by bin with the least and
+    largest of each bin; the bins that hold the ranks are the next ranges, until a range is one value. At most
+    columns x ranks x ``bins`` rows are shuffled in a pass, whatever the number of distinct values, and a number per
+    rank reaches the driver. The first ranges are logarithmic, so a few passes are enough for money, too. Nulls and
+    NaN are left out; a column without values has no quantiles. ``df`` is read in every pass: pass a
+    materialised one if it is dear, or not the same in all its digits each time (sums of doubles).
     """
-    from pyspark.sql import Window
-
-    from cartlens.session import cut_lineage
-    v = F.col(c).cast("double")
-    vc = (df.select(v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-          .groupBy("v").agg(F.count(F.lit(1)).alias("cnt")))
-    if materialize:
-        vc = cut_lineage(vc)
-    tagged = _sketch_buckets(vc, "v", buckets, "bucket")
-    per_bucket = tagged.groupBy("bucket").agg(F.sum("cnt").alias("n_b"))
-    w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_bucket.select("bucket", "n_b",
-                               F.coalesce(F.sum("n_b").over(w), F.lit(0)).alias("start"))
-    total = per_bucket.agg(F.sum("n_b").alias("n"))
-    # The probability list as a tiny frame built in the JVM (no Python workers).
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    probs_df = (df.sparkSession.range(len(probs))
-                .select(F.col("id").cast("int").alias("i"),
-                        F.element_at(plist, F.col("id").cast("int") + 1).alias("p")))
-    ranks = (with_scalars(probs_df, total)
-             .select("i", "p", (F.col("p") * (F.col("n") - 1)).alias("pos"))
-             .select("i", "pos", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("r")))
-    located = ranks.join(F.broadcast(starts), (F.col("r") >= F.col("start"))
-                         & (F.col("r") < F.col("start") + F.col("n_b")))
-    wanted = located.select("bucket").distinct()
-    wb = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (tagged.join(F.broadcast(wanted), "bucket", "left_semi")
-              .select("bucket", "v", (F.sum("cnt").over(wb) - F.col("cnt")).alias("before"), "cnt"))
-    hits = located.join(ranked, "bucket").where(
-        (F.col("r") - F.col("start") >= F.col("before"))
-        & (F.col("r") - F.col("start") < F.col("before") + F.col("cnt")))
-    per_prob = hits.groupBy("i", "pos").agg(F.min_by("v", "r").alias("lo"), F.max_by("v", "r").alias("hi"))
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))
-    return per_prob.agg(F.array_sort(F.collect_list(F.struct("i", value.alias("x")))).alias("qs")) \
-        .select(F.transform("qs", lambda s: s["x"]).alias("q"))
+    if not columns:
+        return {}
+    number = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns}
+    rows = df.select(*[number[c].alias(f"c{i}") for i, c in enumerate(columns)])
+    seen = rows.agg(*[f(f"c{i}").alias(f"{name}{i}") for i in range(len(columns))
+                      for name, f in (("n", F.count), ("low", F.min), ("high", F.max))]).first()
+    places = {}       # (column, rank) -> (low, high, values below low)
+    for i in range(len(columns)):
+        for p in probs if seen[f"n{i}"] else []:
+            at = p * (seen[f"n{i}"] - 1)
+            for r in {math.floor(at), math.ceil(at)}:
+                places[i, r] = seen[f"low{i}"], seen[f"high{i}"], 0
+    first = True
+    while open_ := sorted({(i, *place) for (i, _), place in places.items() if place[0] < place[1]}):
+        entries, ranks = [], []
+        for g, (i, low, high, below) in enumerate(open_):
+            x = F.col(f"c{i}")
+            digit = _bin(x, float("-inf"), float("inf"), 4 * bins) if first else _bin(x, low, high, bins)
+            entries.append(F.when((x >= low) & (x <= high), F.struct(F.lit(g).alias("g"), digit.alias("bin"), x.alias("x"))))
+            ranks.append(F.array(*[F.lit(r - below).cast("long") for (j, r), place in sorted(places.items()) if (j, *place) == (i, low, high, below)]))
+        counts = (rows.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+                  .groupBy("g", "bin").agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")))
+        upto = F.sum("n").over(Window.partitionBy("g").orderBy("bin"))
+        held = F.filter(F.get(F.array(*ranks), F.col("g")), lambda r: (r >= F.col("upto") - F.col("n")) & (r < F.col("upto")))
+        found = counts.withColumn("upto", upto).select("g", "low", "high", (F.col("upto") - F.col("n")).alias("before"), F.explode(held).alias("r"))
+        for f in found.collect():
+            i, low, high, below = open_[f["g"]]
+            places[i, f["r"] + below] = f["low"], f["high"], f["before"] + below
+        first = False
+    out = {}
+    for i, c in enumerate(columns):
+        at = [p * (seen[f"n{i}"] - 1) for p in probs] if seen[f"n{i}"] else []
+        ends = [(places[i, math.floor(x)][0], places[i, math.ceil(x)][0], x - math.floor(x)) for x in at]
+        out[c] = [a if a == b else a + (b - a) * part for a, b, part in ends]
+    return out
+
+
+def one_row(df: DataFrame, **values) -> DataFrame:
+    """A one-row frame of numbers and lists of numbers, built in the JVM."""
+    cols = [(F.array(*[F.lit(float(x)) for x in v]).cast("array<double>") if isinstance(v, list) else F.lit(v).cast("double")).alias(k)
+            for k, v in values.items()]
+    return df.sparkSession.range(1).select(*cols)
+
+
+def distributed_quantiles(df: DataFrame, c: str, probs: list[float],
+                          buckets: int = QUANTILE_BINS, materialize: bool = True) -> DataFrame:
+    """:func:`quantiles` of one column as a one-row frame: a ``q`` array aligned with ``probs`` (empty without
+    values). The column is checkpointed first unless ``materialize=False`` (when ``df`` is itself a checkpoint)."""
+    rows = df.select(c)
+    return one_row(df, q=quantiles(cut_lineage(rows) if materialize else rows, [c], probs, buckets)[c])
 
 
 def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],
@@ -114,9 +146,6 @@ def ordered_prefix(df: DataFrame, order_col: str, sum_cols: list[str],
     ``buckets`` rows) give each range its offset, and the running sum runs
     per range in parallel.
     """
-    from pyspark.sql import Window
-
-    from cartlens.session import cut_lineage
     tagged = _sketch_buckets(cut_lineage(df), order_col, buckets, "_bucket")
     totals = tagged.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     w_all = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

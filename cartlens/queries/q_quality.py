@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from cartlens.catalog import register
 from cartlens.functions.text import clean_str
 from cartlens.oracles.views import EMPTY_CARD, clean, in_list, sql
+from cartlens.operators import check_suite
 from cartlens.operators import quality as dq
 from cartlens.operators import repair
+from cartlens.operators.check_suite import Check
 from cartlens.plans.etl import clean_users, shop_clean
 from cartlens.schema import CARD_NOT_ASSIGNED, CARD_STATUSES, ITEM_STATUSES
 from cartlens.sources import shop_tables as st
@@ -57,6 +59,68 @@ def _details_fk(spark, sf):
 
 # ------------------------------------------------------------------ C checks
 
+SUITE = [
+    Check("cards.card_uid null", "null_key", "cards", ("card_uid",)),
+    Check("profiles.user_uid null", "null_key", "profiles", ("user_uid",)),
+    Check("cards.card_uid repeated", "duplicate", "cards", ("card_uid",)),
+    Check("details key repeated", "duplicate", "order_details", ("order_uid", "item_uid", "item_status")),
+    Check("profiles->users", "foreign_key", "profiles", ("user_uid",), ("users", "user_uid")),
+    Check("orders->users", "foreign_key", "orders", ("user_uid",), ("users", "user_uid")),
+    Check("details->orders", "foreign_key", "order_details", ("order_uid",), ("orders", "order_uid")),
+    Check("reviews->users", "foreign_key", "reviews", ("user_uid",), ("users", "user_uid")),
+    Check("cards->users if assigned", "foreign_key", "cards", ("user_uid",), ("users", "user_uid"), ("status", CARD_NOT_ASSIGNED)),
+    Check("cards.status", "domain", "cards", ("status",), values=tuple(CARD_STATUSES)),
+    Check("details.item_status", "domain", "order_details", ("item_status",), values=tuple(ITEM_STATUSES)),
+    Check("details.item_amount missing", "missing", "order_details", ("item_amount",)),
+    Check("details.item_amount negative", "negative", "order_details", ("item_amount",)),
+    Check("cards empty", "empty", "cards", ("status", "user_uid", "assigned_at", "birthday"), values=(CARD_NOT_ASSIGNED,)),
+]
+
+
+def _suite_sql() -> str:
+    def plain(name, table, cond, key="CAST(NULL AS VARCHAR)"):
+        return f"SELECT '{name}' AS check_name, count(DISTINCT {key}) AS bad_keys, count(*) AS bad_rows, 0 AS matched_keys, 0 AS matched_pairs FROM {table} WHERE {cond}"
+
+    def repeated(name, table, by):
+        return f"""SELECT '{name}', count(k), coalesce(sum(n), 0), 0, 0
+FROM (SELECT {'any_value(' + by + ')' if ',' not in by else '1'} AS k, count(*) AS n FROM {table} GROUP BY {by} HAVING count(*) > 1)"""
+
+    def reference(name, child, key, parent, cond="true"):
+        p = f"(SELECT {key} AS k, count(*) AS m FROM {parent} GROUP BY 1)"
+        return f"""SELECT '{name}', count(DISTINCT c.{key}) FILTER (WHERE m IS NULL), count(*) FILTER (WHERE m IS NULL),
+  count(DISTINCT c.{key}) FILTER (WHERE m IS NOT NULL), (SELECT coalesce(sum(m), 0) FROM {p} WHERE k IN (SELECT {key} FROM {child} WHERE {cond}))
+FROM (SELECT * FROM {child} WHERE {cond}) c LEFT JOIN {p} p ON c.{key} = p.k"""
+
+    details = f"(SELECT * REPLACE ({clean('item_status', 'lower')} AS item_status) FROM raw_details)"
+    assigned = f"status IS DISTINCT FROM '{CARD_NOT_ASSIGNED}'"
+    parts = [
+        plain("cards.card_uid null", "cards_status", "card_uid IS NULL"), plain("profiles.user_uid null", "raw_profiles", "user_uid IS NULL"),
+        repeated("cards.card_uid repeated", "cards_status", "card_uid"),
+        repeated("details key repeated", details, "order_uid, item_uid, item_status"),
+        reference("profiles->users", "raw_profiles", "user_uid", "users"), reference("orders->users", "raw_orders", "user_uid", "users"),
+        reference("details->orders", "raw_details", "order_uid", "raw_orders"), reference("reviews->users", "raw_reviews", "user_uid", "users"),
+        reference("cards->users if assigned", "cards_status", "user_uid", "users", assigned),
+        plain("cards.status", "cards_status", f"NOT coalesce(status IN {in_list(CARD_STATUSES)}, false)", "status"),
+        plain("details.item_status", details, f"NOT coalesce(item_status IN {in_list(ITEM_STATUSES)}, false)", "item_status"),
+        plain("details.item_amount missing", "raw_details", "item_amount IS NULL"),
+        plain("details.item_amount negative", "raw_details", "item_amount < 0"), plain("cards empty", "cards_status", EMPTY_CARD)]
+    body = "\nUNION ALL ".join(parts)
+    return sql(f"""SELECT check_name, CAST(bad_keys AS BIGINT) AS bad_keys, CAST(bad_rows AS BIGINT) AS bad_rows,
+  CAST(matched_keys AS BIGINT) AS matched_keys, CAST(matched_pairs AS BIGINT) AS matched_pairs FROM ({body})""",
+               "cards_status", "raw_profiles", "users", "raw_orders", "raw_details", "raw_reviews")
+
+
+@register("check_suite", _suite_sql())
+def q_check_suite(spark, sf):
+    """C1-C12 in one pass over each table."""
+    return check_suite.report(_suite_tables(spark, sf), SUITE)
+
+
+def _suite_tables(spark, sf):
+    return {"users": st.raw_users(spark, sf), "profiles": st.raw_profiles(spark, sf), "cards": _cards_status(spark, sf),
+            "orders": st.raw_orders(spark, sf), "order_details": _details_status(spark, sf), "reviews": st.raw_reviews(spark, sf)}
+
+
 @register("dq_null_key", sql("""
 SELECT 'cards.card_uid' AS check_name, count(*) FILTER (WHERE card_uid IS NULL) AS null_keys FROM raw_cards
 UNION ALL SELECT 'profiles.user_uid', count(*) FILTER (WHERE user_uid IS NULL) FROM raw_profiles
