@@ -79,7 +79,6 @@ SOURCE_KEYWORDS = ["source", "channel", "platform", "origin"]
 ORDER_DATE_CANDIDATES = ["createdAt", "createdAtTime", "order_date", "created_at"]
 
 # Sentiment labels and text-model settings.
-SENTIMENT_CLASSES = ["negative", "neutral", "positive"]
 TOKEN_PATTERN = r"\b\w\w+\b"
 MIN_DF = 2
 MAX_DF_FRACTION = 0.95
