@@ -1,4 +1,4 @@
-"""Training-data operators: ten numbered operators and their registered queries.
+"""Training-data operators: thirteen numbered operators and their registered queries.
 
 Nothing outside this package (and ``corpus_pipeline.py``) imports it.
 """
