@@ -11,8 +11,12 @@ memory. The shards of :mod:`cartlens.llm.suffix_dedup` do and stay far below
 registered query reaches the files.
 
 A batch takes as many queue entries as cannot be overtaken: everything in front
-of the first slot that the batch itself fills. Names of the sorted
+of the first slot that an earlier entry of the batch itself fills. Names of the sorted
 left-most-smaller substrings form the reduced text, which is sorted recursively.
+The substrings are sorted by keys of several symbols in memory, or by an induction
+where the text lies on disk or holds a substring of over ``SPAN`` symbols. A reduced
+text of at most ``SHORT`` names ends the recursion: its batches would be tiny, so it is
+sorted by names of twice as many symbols each time.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from cartlens.llm import common
 #: Entries held in memory per array; longer arrays go to disk.
 MEMORY = 1 << 24
 BATCH = 1 << 15
+#: Longest substring that is compared by keys, and longest reduced text that is not induced again.
+SPAN, SHORT = 1 << 10, 1 << 16
 
 
 def array(n: int, dtype, fill: int | None = None, memory: int | None = None) -> np.ndarray:
@@ -57,46 +63,43 @@ def _types(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranks(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """How many equal symbols came before each one; with that the distinct symbols and their counts."""
-    order = np.argsort(symbol, kind="stable")
-    s = symbol[order]
-    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    count = np.diff(np.append(first, len(s)))
-    out = np.empty(len(s), np.int64)
-    out[order] = np.arange(len(s)) - np.repeat(first, count)
-    return out, s[first], count
-
-
 def _scan(sa: np.ndarray, x: np.ndarray, small: np.ndarray, bound: np.ndarray, forward: bool) -> None:
     """One induction: larger suffixes by a forward scan from the buckets' starts, or
     smaller ones by a backward scan from their ends."""
-    n, at, size = len(sa), 0, 256
+    n, at, size, step = len(sa), 0, 256, 1 if forward else -1
+    if not forward:
+        bound = bound - 1
     while at < n:
         size = min(size, n - at)
-        lo, hi = (at, at + size) if forward else (n - at - size, n - at)
-        part = np.asarray(sa[lo:hi])
-        if not forward:
-            part = part[::-1]
+        part = sa[at:at + size] if forward else sa[n - at - size:n - at][::-1]
         k = np.flatnonzero(part > 0)
-        j = part[k] - 1
+        j = part[k].astype(np.int64) - 1
         keep = small[j] != forward
         k, j = k[keep], j[keep]
         if not len(k):
             at += size
             size = min(2 * size, BATCH)
             continue
+        # Slots in the order of the symbols: each bucket is filled in the order of the queue.
         symbol = x[j]
-        rank, values, count = _ranks(symbol)
-        slot = bound[symbol] + rank if forward else bound[symbol] - 1 - rank
-        ahead = slot - lo if forward else hi - 1 - slot  # distance from the batch's first entry
-        end = int(min(size, ahead.min()))
+        order = np.argsort(symbol, kind="stable")
+        s = symbol[order]
+        nth = np.arange(len(s))
+        first = nth.copy()
+        first[1:][s[1:] == s[:-1]] = 0
+        slot = bound[s] + step * (nth - np.maximum.accumulate(first))
+        ahead = np.empty(len(s), np.int64)  # distance from the batch's first entry
+        ahead[order] = slot - at if forward else n - at - 1 - slot
+        # The batch ends at the first slot that an entry before it fills.
+        np.minimum.accumulate(ahead, out=ahead)
+        after = np.append(k[1:], size)
+        met = int(np.argmax(ahead <= after))
+        end = int(ahead[met]) if ahead[met] <= after[met] else size
         if end < size:
-            done = k < end
-            slot, j = slot[done], j[done]
-            values, count = np.unique(symbol[done], return_counts=True)
-        sa[slot] = j
-        bound[values] += count if forward else -count
+            done = order <= met
+            order, slot, s = order[done], slot[done], s[done]
+        sa[slot] = j[order]
+        bound[s] = slot + step  # of equal symbols the last one counts
         at += end
         size = min(2 * size, BATCH) if end == size else max(64, 2 * end)
 
@@ -116,6 +119,76 @@ def _induce(x: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray)
     return sa
 
 
+def _by_substring(x: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """The left-most-smaller positions in the order of their substrings (each up to the next such
+    position), by keys of several symbols; whether each differs from the one before it."""
+    bits = int(2 * symbols + 2).bit_length()
+    width = 63 // bits
+    code = np.zeros(len(x) + width, dtype=np.int64)  # of equal symbols the larger type comes first
+    code[:len(x)] = 2 * x.astype(np.int64) + small + 2
+    left = np.append(np.diff(lms) + 1, 1)
+
+    def keys(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), dtype=np.int64)
+        for i in range(width):
+            out = out << bits | np.where(i < left, code[np.minimum(at + i, len(x))], 0)
+        return out
+
+    key = keys(lms, left)
+    order = np.argsort(key, kind="stable")
+    new = np.ones(len(lms), dtype=bool)
+    new[1:] = np.diff(key[order]) != 0
+    depth = width
+    while True:  # what is equal so far and goes on: equal ones go on together
+        group = np.cumsum(new)
+        twin = ~new
+        twin[:-1] |= ~new[1:]
+        place = np.flatnonzero(twin & (left[order] > depth))
+        if not len(place):
+            return lms[order], new
+        at = order[place]
+        key = keys(lms[at] + depth, left[at] - depth)
+        turn = np.lexsort((key, group[place]))
+        order[place] = at[turn]
+        key = key[turn]
+        new[place[1:]] |= key[1:] != key[:-1]
+        depth += width
+
+
+def _doubled(x: np.ndarray) -> np.ndarray:
+    """Starts of the suffixes in order, comparing twice as many symbols each time: for short texts."""
+    n, step = len(x), 1
+    rank = x.astype(np.int64) + 1
+    while True:
+        follow = np.zeros(n, dtype=np.int64)
+        follow[:n - step] = rank[step:]
+        key = rank * (n + int(rank.max()) + 2) + follow
+        order = np.argsort(key, kind="stable")
+        new = np.ones(n, dtype=np.int64)
+        new[1:] = np.diff(key[order]) != 0
+        rank[order] = np.cumsum(new)
+        if rank[order[-1]] == n:
+            return order
+        step *= 2
+
+
+def _by_induction(x: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray, is_lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same by an induction from the positions in the order of their first symbol."""
+    n = len(x)
+    sa = _induce(x, small, ends, lms[np.argsort(x[lms], kind="stable")])
+    ordered = sa[is_lms[sa]]
+    place = array(n, np.int64)
+    place[lms] = np.arange(len(lms))
+    stop = np.append(lms[1:] + 1, n)
+    sums = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(common.mix(x.astype(np.uint64) + np.uint64(1)) * common.powers(n)[0][:n], out=sums[1:])
+    end = stop[place[ordered]]
+    code = common.span_hash(sums, ordered, end)
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = (code[1:] != code[:-1]) | (np.diff(ordered) != np.diff(end))
+    return ordered, new
+
+
 def suffix_array(x: np.ndarray, symbols: int) -> np.ndarray:
     """Starts of the suffixes of ``x`` in ascending order. ``x`` holds symbols from 0
     to ``symbols`` - 1; the last one is 0 and occurs nowhere else."""
@@ -128,26 +201,17 @@ def suffix_array(x: np.ndarray, symbols: int) -> np.ndarray:
     is_lms = array(n, bool, 0)
     is_lms[1:] = small[1:] & ~small[:-1]
     lms = np.flatnonzero(is_lms)
-    rough = lms[np.argsort(x[lms], kind="stable")]
-    sa = _induce(x, small, ends, rough)
-    ordered = sa[is_lms[sa]]
-    if len(ordered) > 1:
-        # Equal substrings from one such position to the next get one name.
+    longest = int(np.diff(lms).max(initial=0))
+    if n <= MEMORY and longest <= SPAN:
+        ordered, new = _by_substring(x, small, lms, symbols)
+    else:
+        ordered, new = _by_induction(x, small, ends, lms, is_lms)
+    name = np.cumsum(new) - 1
+    if name[-1] + 1 < len(lms):
         place = array(n, np.int64)
         place[lms] = np.arange(len(lms))
-        stop = np.append(lms[1:] + 1, n)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(common.mix(x.astype(np.uint64) + np.uint64(1)) * common.powers(n)[0][:n], out=sums[1:])
-        end = stop[place[ordered]]
-        code = common.span_hash(sums, ordered, end)
-        new = np.ones(len(ordered), dtype=bool)
-        new[1:] = (code[1:] != code[:-1]) | (np.diff(ordered) != np.diff(end))
-        name = np.cumsum(new) - 1
-        del sums, code
-        if name[-1] + 1 < len(ordered):
-            reduced = array(len(lms), np.int64)
-            reduced[place[ordered]] = name
-            ordered = lms[suffix_array(reduced, int(name[-1]) + 1)]
-        if not np.array_equal(rough, ordered):
-            sa = _induce(x, small, ends, ordered)
-    return sa
+        reduced = array(len(lms), np.int64)
+        reduced[place[ordered]] = name
+        del place
+        ordered = lms[_doubled(reduced) if len(lms) <= SHORT else suffix_array(reduced, int(name[-1]) + 1)]
+    return _induce(x, small, ends, ordered)

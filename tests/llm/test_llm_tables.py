@@ -158,6 +158,30 @@ def test_suffix_array(monkeypatch, memory):
         assert induced_sort.suffix_array(np.array(x), k + 1).tolist() == brute_suffixes(x)
 
 
+@pytest.mark.parametrize("span, short", [(1 << 10, 1 << 16), (1 << 10, 4), (0, 4), (0, 1 << 16)])
+def test_suffix_array_by_either_naming_and_any_depth(monkeypatch, span, short):
+    monkeypatch.setattr(induced_sort, "SPAN", span)  # below it substrings are compared by keys, else by an induction
+    monkeypatch.setattr(induced_sort, "SHORT", short)  # above it the reduced text is induced again
+    r = random.Random(12)
+    for n, k in [(3, 1), (400, 1), (700, 2), (900, 70000), (1500, 3)]:
+        x = [r.randrange(1, k + 1) for _ in range(n)]
+        x = x + x[:n // 2] + [1] * 50 + x[n // 4:] + [0]
+        assert induced_sort.suffix_array(np.array(x), max(x) + 1).tolist() == brute_suffixes(x)
+
+
+def test_repetitive_text_is_induced_in_few_batches(monkeypatch):
+    """Near copies of a text need many levels of names; short ones are not induced level by level."""
+    calls = []
+    scan = induced_sort._scan
+    monkeypatch.setattr(induced_sort, "_scan", lambda *a: (calls.append(len(a[0])), scan(*a)))
+    r = random.Random(13)
+    one = [r.randrange(1, 20) for _ in range(1000)]
+    x = [s if r.randrange(500) else 20 for _ in range(20) for s in one] + [0]
+    assert induced_sort.suffix_array(np.array(x), 21).tolist() == brute_suffixes(x)
+    assert len(calls) == 2
+
+
+
 def test_components(spark):
     r = random.Random(7)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(260)] + [(i, i + 1) for i in range(1000, 1060)] + [(5000, i) for i in range(5001, 5100)]
