@@ -138,7 +138,7 @@ def op7_jaccard_join(spark, sf):
 
 @register("op4_suffix_dedup")
 def op4_suffix_dedup(spark, sf):
-    return suffix_dedup.dedup(table(spark, sf, "documents")).withColumnRenamed("c0", "doc_id")
+    return suffix_dedup.dedup(table(spark, sf, "documents"), passages=suffix_dedup.PASSAGE).withColumnRenamed("c0", "doc_id")
 
 
 def page_records(pages: DataFrame) -> DataFrame:

@@ -49,6 +49,8 @@ from cartlens.llm.common import stored
 from cartlens.llm.induced_sort import suffix_array
 
 LENGTH, GRAM = 400, 128
+#: Words of a passage that the registered query reports beside the strings it removes.
+PASSAGE = 51
 #: Bytes hashed by one numpy pass: few enough to stay in a processor's cache.
 PASS = 32_768
 #: Bytes of windows in a shard on average, and windows of one anchor that a shard takes.
@@ -329,11 +331,31 @@ def _cuts(pieces: pa.Array, offsets: np.ndarray, length: int) -> tuple[np.ndarra
     return rows[order], begins[order], ends[order]
 
 
+def _covered(data: np.ndarray, offsets: np.ndarray, rows: tuple[int, int], cuts: tuple[np.ndarray, ...], words: int | None) -> np.ndarray:
+    """Flags of the bytes of a pass (from row ``lo`` up to ``hi``) that the stretches of :func:`_cuts`
+    cover; with ``words`` those are marked starts and their ends, in entries of :func:`symbols`."""
+    lo, hi = rows
+    base, size = offsets[lo], int(offsets[hi] - offsets[lo])
+    row, begin, end = cuts
+    i, j = np.searchsorted(row, [lo, hi])
+    row, begin, end = row[i:j] - lo, begin[i:j], end[i:j]
+    if words and i < j:  # of the marked starts, those at words count
+        _, own, s, e = symbols(data[base:base + size], offsets[lo:hi + 1] - base)
+        a, z = own[row] // 2 + (begin + 1) // 2, own[row] // 2 + (end - (2 * words - 1)) // 2
+        at_word = a <= z
+        begin, end = s[a[at_word]], e[z[at_word] + words - 1]
+    else:
+        begin, end = begin - base, end - base
+    return np.cumsum(np.bincount(begin, minlength=size + 1)[:size] - np.bincount(end, minlength=size + 1)[:size]) > 0
+
+
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] | None = None,
-          length: int = LENGTH, with_text: bool = False, gram: int = GRAM, words: int | None = None) -> DataFrame:
+          length: int = LENGTH, with_text: bool = False, gram: int = GRAM, words: int | None = None, passages: int | None = None) -> DataFrame:
     """The carried columns (as ``c0``, ``c1``, ...; by default the id), n_bytes, n_removed, n_spans and
     kept_sha256 of every row; with ``with_text`` also the kept bytes as text (broken characters dropped).
-    With ``words`` strings of so many words are removed, in place of ``length`` bytes."""
+    With ``words`` strings of so many words are removed, in place of ``length`` bytes. With ``passages``
+    two more columns tell what strings of so many words that occur again cover, of the text as it was:
+    n_passages (maximal runs) and passage_bytes; nothing is removed for them."""
     if words:
         length = 2 * words - 1
         gram = max(1, length // 3)
@@ -342,43 +364,47 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(_key(id_col, text).alias("key"), text.alias("text"))
     pieces = repeats(rows, length, gram, bool(words))
+    if passages:
+        span = 2 * passages - 1
+        again = repeats(rows, span, max(1, span // 3), True).select(F.col("of").alias("same"), F.col("pieces").alias("passages"))
+        pieces = pieces.join(again, F.col("of") == F.col("same"), "full").select(
+            F.coalesce("of", "same").alias("of"), "pieces", "passages")
     carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)] + [_key(id_col, text).alias("key")]
     inside = text_col in carry  # then the text travels once
     full = docs.select(*carried) if inside else docs.select(*carried, text.alias("text"))
     name = f"c{carry.index(text_col)}" if inside else "text"
-    schema = ", ".join([f"c{i} {t}" for i, (_, t) in enumerate(full.dtypes[:len(carry)])] +
-                       ["n_bytes long, n_removed long, n_spans long, kept_sha256 string"] + ["kept string"] * with_text)
+    columns = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["n_passages", "passage_bytes"] * bool(passages) + ["kept"] * with_text
+    kinds = {"kept_sha256": "string", "kept": "string"}
+    schema = ", ".join([f"c{i} {t}" for i, (_, t) in enumerate(full.dtypes[:len(carry)])] + [f"{c} {kinds.get(c, 'long')}" for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.enter("suffix_dedup")
         for b in batches:
             data, offsets = common.text_column(b, name)
-            row, begin, end = _cuts(b.column("pieces"), np.zeros_like(offsets) if words else offsets, length)
-            removed, n_spans, digest, kept = [], [], [], []
+            cuts = _cuts(b.column("pieces"), np.zeros_like(offsets) if words else offsets, length)
+            marks = _cuts(b.column("passages"), np.zeros_like(offsets), 2 * passages - 1) if passages else None
+            out = {c: [] for c in columns}
+            out["n_bytes"] = np.diff(offsets)
             for lo, hi in common.passes(offsets):
-                base, size = offsets[lo], int(offsets[hi] - offsets[lo])
-                i, j = np.searchsorted(row, [lo, hi])
-                if words and i < j:  # of the marked starts, those at words count
-                    _, own, s, e = symbols(data[base:base + size], offsets[lo:hi + 1] - base)
-                    a, z = own[row[i:j] - lo] // 2 + (begin[i:j] + 1) // 2, own[row[i:j] - lo] // 2 + (end[i:j] - length) // 2
-                    at_word = a <= z
-                    begin[i:j] = end[i:j] = base
-                    begin[i:j][at_word], end[i:j][at_word] = base + s[a[at_word]], base + e[z[at_word] + words - 1]
-                gone = np.cumsum(np.bincount(begin[i:j] - base, minlength=size + 1)[:size]
-                                 - np.bincount(end[i:j] - base, minlength=size + 1)[:size]) > 0
-                touched = set(row[i:j].tolist())
+                base = offsets[lo]
+                gone = _covered(data, offsets, (lo, hi), cuts, words)
+                touched = set(cuts[0][slice(*np.searchsorted(cuts[0], [lo, hi]))].tolist())
+                if passages:
+                    again = _covered(data, offsets, (lo, hi), marks, passages)
+                    found = set(marks[0][slice(*np.searchsorted(marks[0], [lo, hi]))].tolist())
                 for r in range(lo, hi):
                     a, z = int(offsets[r] - base), int(offsets[r + 1] - base)
                     raw = data[offsets[r]:offsets[r + 1]]
                     left = (raw[~gone[a:z]] if r in touched else raw).tobytes()
-                    removed.append(len(raw) - len(left))
-                    n_spans.append(len(_runs(gone[a:z])[0]) if r in touched else 0)
-                    digest.append(hashlib.sha256(left).hexdigest())
+                    out["n_removed"].append(len(raw) - len(left))
+                    out["n_spans"].append(len(_runs(gone[a:z])[0]) if r in touched else 0)
+                    out["kept_sha256"].append(hashlib.sha256(left).hexdigest())
+                    if passages:
+                        out["n_passages"].append(len(_runs(again[a:z])[0]) if r in found else 0)
+                        out["passage_bytes"].append(int(again[a:z].sum()) if r in found else 0)
                     if with_text:
-                        kept.append(left.decode("utf-8", "ignore"))
-            cols = b.columns[:len(carry)] + [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
-                                             pa.array(digest, pa.string())] + [pa.array(kept, pa.string())] * with_text
-            yield pa.record_batch(cols, names=[f"c{i}" for i in range(len(carry))] +
-                                  ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text)
+                        out["kept"].append(left.decode("utf-8", "ignore"))
+            cols = [pa.array(out[c], pa.string() if c in kinds else pa.int64()) for c in columns]
+            yield pa.record_batch(b.columns[:len(carry)] + cols, names=[f"c{i}" for i in range(len(carry))] + columns)
 
     return full.join(pieces, F.col("key") == F.col("of"), "left").drop("key", "of").mapInArrow(run, schema)

@@ -191,6 +191,22 @@ def test_repeated_passages_in_words(spark, monkeypatch, hot, n):
         assert got[len(texts) - 4] == "前。後"
 
 
+def test_passages_of_words_beside_byte_strings(spark):
+    """Passages of 51 short words fill no 400 bytes: they are reported, and nothing is removed for them."""
+    r = random.Random(14)
+    texts = corpus(3)
+    short, shorter = (" ".join(r.choices("abcdefghijkl", k=k)) for k in (51, 50))
+    texts += [f"one {short} two é", f"three {short}", f"four {shorter} five", f"six {shorter} seven", f"{short}\n\né {short}", None, ""]
+    got = {x["c0"]: x for x in suffix_dedup.dedup(frame(spark, texts), passages=51).collect()}
+    for i, (want, left) in enumerate(zip(brute_repeats(texts), brute_passages(texts, 51), strict=True)):
+        x, t = got[i], texts[i] or ""
+        assert (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) == want
+        assert x["passage_bytes"] == len(t.encode()) - len(left.encode()) and (x["n_passages"] > 0) == (left != t)
+    n = len(texts)
+    assert [got[i]["n_passages"] for i in range(n - 7, n)] == [1, 1, 0, 0, 2, 0, 0] and got[n - 7]["n_removed"] == 0
+    assert got[n - 7]["passage_bytes"] == len(short)
+
+
 def test_pipeline_cuts_51_short_words_and_keeps_50(spark):
     r = random.Random(6)
     short, shorter, whole = (" ".join(r.choices("abcdefghijkl", k=k)) for k in (51, 50, 60))
