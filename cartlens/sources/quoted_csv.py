@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from cartlens.session import cut_lineage, ship_package
 
-_RECORDS = "file string, block long, nth long, kind int, text string"
+_RECORDS = "range long, nth long, kind int, text string"
 #: A whole record; lines that end an earlier record; a record that a later range ends; lines inside one.
 WHOLE, TAIL, HEAD, MIDDLE = range(4)
 
@@ -54,37 +54,41 @@ def range_parities(lines: DataFrame) -> DataFrame:
 class _Range:
     """One byte range: takes lines in order and gives records and fragments."""
 
-    def __init__(self, file: str, block: int, odd: bool):
-        self.file, self.block, self.odd, self.nth = file, block, odd, 0
-        self.open: list[str] = []      # lines of the record that is not finished
-        self.first = odd               # that record began in an earlier range
+    def __init__(self, number: int, odd: bool):
+        self.number, self.odd, self.nth = number, odd, 0
+        self.open: list[pa.Array] = []  # lines of the record that is not finished
+        self.first = odd                # that record began in an earlier range
 
     def take(self, lines: pa.Array) -> pa.RecordBatch:
         quotes = np.asarray(pc.count_substring(lines, '"'), dtype=np.int64)
         inside = (np.cumsum(quotes) + self.odd) % 2 == 1     # after each line
-        texts, out, kinds, lo = lines.to_pylist(), [], [], 0
-        for end in np.flatnonzero(~inside).tolist():          # lines that finish a record
-            if end == lo and not self.open:
-                out.append(texts[lo])
-            else:
-                out.append("\n".join([*self.open, *texts[lo:end + 1]]))
-                self.open = []
-            kinds.append(TAIL if self.first else WHOLE)
-            self.first, lo = False, end + 1
-        self.open += texts[lo:]
-        self.odd = bool(inside[-1]) if len(inside) else self.odd
-        return self._batch(out, kinds)
+        ends = np.flatnonzero(~inside) + 1                   # behind lines that finish a record
+        self.odd = bool(inside[-1])
+        if not len(ends):
+            self.open.append(lines)
+            return self._batch(lines.slice(0, 0))
+        held = sum(map(len, self.open))
+        whole = pa.concat_arrays([*self.open, lines.slice(0, int(ends[-1]))])
+        self.open = [lines.slice(int(ends[-1]))] if ends[-1] < len(lines) else []
+        return self._batch(_joined(whole, ends + held))
 
     def finish(self) -> pa.RecordBatch:
-        out = ["\n".join(self.open)] if self.open else []
-        return self._batch(out, [MIDDLE if self.first else HEAD] * len(out))
+        lines = pa.concat_arrays(self.open) if self.open else pa.array([], pa.string())
+        return self._batch(_joined(lines, np.array([len(lines)] if len(lines) else [], np.int64)), MIDDLE if self.first else HEAD)
 
-    def _batch(self, texts: list[str], kinds: list[int]) -> pa.RecordBatch:
+    def _batch(self, texts: pa.Array, kind: int = WHOLE) -> pa.RecordBatch:
         n = len(texts)
-        nth = np.arange(self.nth, self.nth + n)
+        kinds, nth = np.full(n, kind, np.int32), np.arange(self.nth, self.nth + n)
+        if n and kind == WHOLE and self.first:
+            kinds[0], self.first = TAIL, False
         self.nth += n
-        return pa.record_batch([pa.array([self.file] * n, pa.string()), pa.array([self.block] * n, pa.int64()), pa.array(nth, pa.int64()),
-                                pa.array(kinds, pa.int32()), pa.array(texts, pa.string())], names=["file", "block", "nth", "kind", "text"])
+        return pa.record_batch([pa.array(np.full(n, self.number, np.int64)), pa.array(nth), pa.array(kinds), texts.cast(pa.string())],
+                               names=["range", "nth", "kind", "text"])
+
+
+def _joined(lines: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The lines up to each end as one text, joined by line breaks."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), lines), "\n")
 
 
 def _join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,14 +96,14 @@ def _join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
-        key = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
-        cuts = [0, *[i for i in range(1, len(key)) if key[i] != key[i - 1]], len(key)]
+        number = b.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            if now is None or (now.file, now.block) != key[lo]:
+            if now is None or now.number != number[lo]:
                 if now is not None:
                     yield now.finish()
-                now = _Range(*key[lo], b.column(2)[lo].as_py())
-            yield now.take(b.column(3).slice(lo, hi - lo))
+                now = _Range(int(number[lo]), b.column(1)[lo].as_py())
+            yield now.take(b.column(2).slice(lo, hi - lo))
     if now is not None:
         yield now.finish()
 
@@ -109,9 +113,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     begins and its place there; line breaks inside quotes are kept, the record's own line end is not."""
     ship_package(spark)
     lines = _lines(spark, path)
-    # A row per range; the lines of a range stay in their task and order: the join keeps the lines' side as it is.
-    parts = (lines.join(F.broadcast(range_parities(lines)), ["file", "block"])
-             .select("file", "block", "odd", "line").mapInArrow(_join_lines, _RECORDS))
+    # A row per range; its number stands for file and block, which would outweigh short lines.
+    ranges = F.broadcast(cut_lineage(range_parities(lines).withColumn("range", F.monotonically_increasing_id())))
+    # The lines of a range stay in their task and order: the join keeps the lines' side as it is.
+    parts = (lines.join(ranges, ["file", "block"]).select("range", "odd", "line").mapInArrow(_join_lines, _RECORDS)
+             .join(ranges.drop("odd"), "range"))
     rest = parts.where(F.col("kind") != WHOLE)     # at most two of each range
     along = Window.partitionBy("file").orderBy("block", "nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rest = rest.withColumn("record", F.sum((F.col("kind") == HEAD).cast("int")).over(along))

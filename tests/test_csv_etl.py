@@ -6,6 +6,7 @@ import io
 import random
 import tempfile
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +105,16 @@ def test_quoted_csv_is_the_same_for_any_split(spark, tmp_path, split):
     assert [r["review.uid"] for r in got] == [a for a, _, _ in rows] + ["z1", "z2"]
 
 
+def test_lines_carry_a_number_in_place_of_their_file():
+    """Records and fragments of two ranges, a batch at a time: a line travels with its range's number only."""
+    def batch(number, odd, lines):
+        return pa.record_batch([pa.array([number] * len(lines), pa.int64()), pa.array([odd] * len(lines)), pa.array(lines)], names=["range", "odd", "line"])
+    batches = [batch(7, True, ['end"', '1,"a']), batch(7, True, ["", "b"]), batch(7, True, ['c"', '2,x', '3,"open']), batch(9, True, ["still", "in"])]
+    got = [tuple(x.values()) for b in quoted_csv._join_lines(iter(batches)) for x in b.to_pylist()]
+    assert got == [(7, 0, quoted_csv.TAIL, 'end"'), (7, 1, quoted_csv.WHOLE, '1,"a\n\nb\nc"'), (7, 2, quoted_csv.WHOLE, "2,x"),
+                   (7, 3, quoted_csv.HEAD, '3,"open'), (9, 0, quoted_csv.MIDDLE, "still\nin")]
+
+
 def test_quoted_csv_refuses_an_open_quote(spark, tmp_path):
     (tmp_path / "bad.csv").write_text('a,b\n1,"never closed\n2,x\n')
     with pytest.raises(ValueError, match="odd number of quotes"):
