@@ -1,5 +1,6 @@
 """Invariants over the supplied tables and model sanity (§5.4)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -88,3 +89,31 @@ def test_exact_split_quota_per_class(spark):
         F.count(F.lit(1)).alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
     for n, t in per.values():
         assert t == int(0.3 * n + 0.5)
+
+
+def test_term_counts_travel_packed(spark):
+    """A term moves once per part of the documents, not once per document; keys may repeat or be null."""
+    from collections import Counter
+    from math import log, sqrt
+
+    from pyspark.sql import functions as F
+
+    from cartlens.operators import sentiment as sn
+    rows = [(i % 90 if i % 50 else None, f"common words word{i % 7} common extra{i}", i % 3 > 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, "id long, text string, train boolean")
+    posts = sn.postings(docs, "id", "text", "train").cache()
+    parts = sn.PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert posts.where("term = 'common'").count() <= parts and sn.postings(docs, "id", "text")._jdf.queryExecution().toString().count("Exchange") <= 4
+    counts = Counter((i, train, t) for i, text, train in rows for w in [text.split()] for t in [*w, *map(" ".join, zip(w, w[1:]))])
+    df = Counter(t for i, train, t in counts if train)
+    vocab = sn.vocabulary(posts, spark.createDataFrame([(200,)], "n long"), 2, 0.95)
+    want = {t: (n, log(201 / (1 + n)) + 1) for t, n in df.items() if 2 <= n <= 190}
+    got = {r.term: (r.df, r.idf) for r in vocab.collect()}
+    assert got.keys() == want.keys() and all(got[t] == pytest.approx(want[t]) for t in want)
+    raw = [(i, t, (1 + log(n)) * want[t][1]) for (i, _, t), n in counts.items() if t in want]
+    norm = Counter()
+    for i, _, x in raw:
+        norm[i] += x * x
+    out = Counter((r.id, r.term, round(r.weight, 9)) for r in sn.tfidf(posts, vocab, "id").select("id", "term", F.col("weight")).collect())
+    assert out == Counter((i, t, round(x / sqrt(norm[i]), 9)) for i, t, x in raw)
+    posts.unpersist()
