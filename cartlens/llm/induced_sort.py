@@ -15,8 +15,8 @@ of the first slot that an earlier entry of the batch itself fills. Names of the
 left-most-smaller substrings form the reduced text, which is sorted recursively.
 The substrings are sorted by keys of several symbols in memory, or by an induction
 where the text lies on disk or holds a substring of over ``SPAN`` symbols. A reduced
-text of at most ``SHORT`` names ends the recursion: its batches would be tiny, so it is
-sorted by names of twice as many symbols each time.
+text of at most ``SHORT`` names ends the recursion: its buckets hold a few entries each and its
+batches would be tiny, so it is sorted by names of twice as many symbols each time.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from cartlens.llm import common
 MEMORY = 1 << 24
 BATCH = 1 << 15
 #: Longest substring that is compared by keys, and longest reduced text that is not induced again.
-SPAN, SHORT = 1 << 10, 1 << 16
+SPAN, SHORT = 1 << 10, 1 << 18
 
 
 def array(n: int, dtype, fill: int | None = None, memory: int | None = None) -> np.ndarray:
@@ -69,22 +69,23 @@ def _scan(sa: np.ndarray, x: np.ndarray, small: np.ndarray, bound: np.ndarray, f
     n, at, size, step = len(sa), 0, 256, 1 if forward else -1
     if not forward:
         bound = bound - 1
+    leads = array(n + 2, bool, 0)  # by entry + 1: whether the suffix before it is to be filled in (-1: no entry)
+    np.not_equal(small, forward, out=leads[2:])
+    ramp = np.arange(BATCH)
     while at < n:
         size = min(size, n - at)
         part = sa[at:at + size] if forward else sa[n - at - size:n - at][::-1]
-        k = np.flatnonzero(part > 0)
-        j = part[k].astype(np.int64) - 1
-        keep = small[j] != forward
-        k, j = k[keep], j[keep]
+        k = np.flatnonzero(leads[part + 1])
         if not len(k):
             at += size
             size = min(2 * size, BATCH)
             continue
         # Slots in the order of the symbols: each bucket is filled in the order of the queue.
+        j = part[k] - 1
         symbol = x[j]
-        order = np.argsort(symbol, kind="stable")
+        order = symbol.argsort(kind="stable")
         s = symbol[order]
-        nth = np.arange(len(s))
+        nth = ramp[:len(s)]
         first = nth.copy()
         first[1:][s[1:] == s[:-1]] = 0
         slot = bound[s] + step * (nth - np.maximum.accumulate(first))
@@ -92,8 +93,9 @@ def _scan(sa: np.ndarray, x: np.ndarray, small: np.ndarray, bound: np.ndarray, f
         ahead[order] = slot - at if forward else n - at - 1 - slot
         # The batch ends at the first slot that an entry before it fills.
         np.minimum.accumulate(ahead, out=ahead)
-        after = np.append(k[1:], size)
-        met = int(np.argmax(ahead <= after))
+        after = np.empty(len(s), np.int64)
+        after[:-1], after[-1] = k[1:], size
+        met = int((ahead <= after).argmax())
         end = int(ahead[met]) if ahead[met] <= after[met] else size
         if end < size:
             done = order <= met
@@ -101,7 +103,7 @@ def _scan(sa: np.ndarray, x: np.ndarray, small: np.ndarray, bound: np.ndarray, f
         sa[slot] = j[order]
         bound[s] = slot + step  # of equal symbols the last one counts
         at += end
-        size = min(2 * size, BATCH) if end == size else max(64, 2 * end)
+        size = min(2 * size if end == size else max(64, 2 * end), BATCH)
 
 
 def _induce(x: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray) -> np.ndarray:
@@ -119,6 +121,13 @@ def _induce(x: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray)
     return sa
 
 
+def _twins(new: np.ndarray, flags: bool = False) -> np.ndarray:
+    """Places (or flags) of sorted entries that equal a neighbour; ``new`` tells which differ from the one before."""
+    twin = ~new
+    twin[:-1] |= ~new[1:]
+    return twin if flags else np.flatnonzero(twin)
+
+
 def _by_substring(x: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
     """The left-most-smaller positions in the order of their substrings (each up to the next such
     position), by keys of several symbols; whether each differs from the one before it."""
@@ -139,37 +148,47 @@ def _by_substring(x: np.ndarray, small: np.ndarray, lms: np.ndarray, symbols: in
     new = np.ones(len(lms), dtype=bool)
     new[1:] = np.diff(key[order]) != 0
     depth = width
-    while True:  # what is equal so far and goes on: equal ones go on together
-        group = np.cumsum(new)
-        twin = ~new
-        twin[:-1] |= ~new[1:]
-        place = np.flatnonzero(twin & (left[order] > depth))
-        if not len(place):
-            return lms[order], new
+    place = _twins(new)
+    place = place[left[order[place]] > depth]
+    while len(place):  # what is equal so far and goes on: equal ones go on together
         at = order[place]
         key = keys(lms[at] + depth, left[at] - depth)
-        turn = np.lexsort((key, group[place]))
-        order[place] = at[turn]
-        key = key[turn]
+        turn = np.lexsort((key, np.cumsum(new[place])))
+        at, key = at[turn], key[turn]
+        order[place] = at
         new[place[1:]] |= key[1:] != key[:-1]
         depth += width
+        place = place[(left[at] > depth) & _twins(new[place], flags=True)]
+    return lms[order], new
 
 
 def _doubled(x: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes in order, comparing twice as many symbols each time: for short texts."""
-    n, step = len(x), 1
-    rank = x.astype(np.int64) + 1
-    while True:
-        follow = np.zeros(n, dtype=np.int64)
-        follow[:n - step] = rank[step:]
-        key = rank * (n + int(rank.max()) + 2) + follow
-        order = np.argsort(key, kind="stable")
-        new = np.ones(n, dtype=np.int64)
-        new[1:] = np.diff(key[order]) != 0
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n:
-            return order
+    """Starts of the suffixes in order, first by as many symbols as a key holds, then by twice as many
+    each time, of those that still equal others: for short texts."""
+    n = len(x)
+    bits = (int(x.max()) + 1).bit_length()
+    step = min(n, 63 // bits)
+    key = np.zeros(n, dtype=np.int64)
+    for i in range(step):
+        key <<= bits
+        key[:n - i] |= x[i:] + 1
+    order = np.argsort(key, kind="stable")
+    new = np.ones(n, dtype=bool)
+    new[1:] = np.diff(key[order]) != 0
+    rank = np.zeros(n + 1, dtype=np.int64)  # the place of the first equal one, from 1; 0 for the end of the text
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(1, n + 1), 0))
+    place = _twins(new)
+    while len(place):
+        at = order[place]
+        key = rank[at] * (n + 1) + rank[np.minimum(at + step, n)]
+        turn = np.argsort(key, kind="stable")
+        at, key = at[turn], key[turn]
+        order[place] = at
+        new[place[1:]] |= key[1:] != key[:-1]
+        rank[at] = np.maximum.accumulate(np.where(new[place], place + 1, 0))
+        place = place[_twins(new[place], flags=True)]
         step *= 2
+    return order
 
 
 def _by_induction(x: np.ndarray, small: np.ndarray, ends: np.ndarray, lms: np.ndarray, is_lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -180,13 +180,16 @@ MARKS = "anchor long, content long, spans binary"
 
 
 def _marks(anchor: list, content: list, flags: list[np.ndarray]) -> pa.RecordBatch:
-    spans = []
-    for f in flags:
-        a, b = _runs(f)
-        spans.append(np.stack([a, b], axis=1).astype(np.int64).tobytes())
-    keep = [i for i, s in enumerate(spans) if s]
+    gap = np.zeros(1, dtype=bool)  # ends a run at the end of its window
+    a, b = _runs(np.concatenate([gap] + [x for f in flags for x in (f, gap)]))
+    begin = np.cumsum([1] + [len(f) + 1 for f in flags])
+    cut = np.searchsorted(a, begin)
+    row = np.repeat(begin[:-1], np.diff(cut))
+    pairs = np.stack([a - row, b - row], axis=1).astype(np.int64)
+    keep = np.flatnonzero(np.diff(cut)).tolist()
     return pa.record_batch([pa.array([anchor[i] for i in keep], pa.int64()), pa.array([content[i] for i in keep], pa.int64()),
-                            pa.array([spans[i] for i in keep], pa.binary())], names=["anchor", "content", "spans"])
+                            pa.array([pairs[cut[i]:cut[i + 1]].tobytes() for i in keep], pa.binary())],
+                           names=["anchor", "content", "spans"])
 
 
 def _cold(chosen: DataFrame, n_shards: int, length: int, dtype=np.uint8) -> DataFrame:
@@ -311,6 +314,16 @@ def repeats(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool
                   .withColumnRenamed("key", "of"), "pieces")
 
 
+def _pairs(spans: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of 64-bit numbers of a column of spans, and how many each entry holds (a null: none)."""
+    if spans.null_count == len(spans):
+        return np.zeros((0, 2), np.int64), np.zeros(len(spans), np.int64)
+    spans = spans.fill_null(b"").cast(pa.large_binary())
+    ends = np.frombuffer(spans.buffers()[1], dtype=np.int64)[spans.offset:spans.offset + len(spans) + 1]
+    raw = np.frombuffer(spans.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]]
+    return raw.view(np.int64).reshape(-1, 2), np.diff(ends) // 16
+
+
 def _cuts(pieces: pa.Array, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, begin and end (in bytes of the batch) of the covered stretches, by row."""
     counts = np.asarray(pieces.value_lengths().fill_null(0))
@@ -319,14 +332,11 @@ def _cuts(pieces: pa.Array, offsets: np.ndarray, length: int) -> tuple[np.ndarra
     begin = offsets[row] + flat.field("first").to_numpy(zero_copy_only=False)
     spans = flat.field("spans")
     whole = np.asarray(spans.is_null())
-    rows, begins = [row[whole]], [begin[whole]]
-    ends = [begin[whole] + flat.field("starts").to_numpy(zero_copy_only=False)[whole] + length - 1]
-    for i in np.flatnonzero(~whole).tolist():
-        s = np.frombuffer(spans[i].as_buffer(), dtype=np.int64).reshape(-1, 2) + begin[i]
-        rows.append(np.full(len(s), row[i]))
-        begins.append(s[:, 0])
-        ends.append(s[:, 1] + length - 1)
-    rows, begins, ends = map(np.concatenate, (rows, begins, ends))
+    pairs, sizes = _pairs(spans)
+    at = np.repeat(begin, sizes)
+    rows = np.concatenate([row[whole], np.repeat(row, sizes)])
+    begins = np.concatenate([begin[whole], pairs[:, 0] + at])
+    ends = np.concatenate([(begin + flat.field("starts").to_numpy(zero_copy_only=False))[whole], pairs[:, 1] + at]) + length - 1
     order = np.argsort(rows, kind="stable")
     return rows[order], begins[order], ends[order]
 
@@ -339,11 +349,16 @@ def _covered(data: np.ndarray, offsets: np.ndarray, rows: tuple[int, int], cuts:
     row, begin, end = cuts
     i, j = np.searchsorted(row, [lo, hi])
     row, begin, end = row[i:j] - lo, begin[i:j], end[i:j]
-    if words and i < j:  # of the marked starts, those at words count
-        _, own, s, e = symbols(data[base:base + size], offsets[lo:hi + 1] - base)
-        a, z = own[row] // 2 + (begin + 1) // 2, own[row] // 2 + (end - (2 * words - 1)) // 2
+    if words and i < j:  # of the marked starts, those at words count; only texts with marks are read
+        held, nth = np.unique(row, return_inverse=True)
+        texts = [data[offsets[r]:offsets[r + 1]] for r in (held + lo).tolist()]
+        own = np.cumsum([0] + [len(t) for t in texts])
+        s, e, of = common.tokens(np.concatenate(texts), own)
+        word = np.searchsorted(of, np.arange(len(held)))[nth]
+        a, z = word + (begin + 1) // 2, word + (end - (2 * words - 1)) // 2
         at_word = a <= z
-        begin, end = s[a[at_word]], e[z[at_word] + words - 1]
+        shift = (offsets[held + lo] - base - own[:-1])[nth][at_word]
+        begin, end = s[a[at_word]] + shift, e[z[at_word] + words - 1] + shift
     else:
         begin, end = begin - base, end - base
     return np.cumsum(np.bincount(begin, minlength=size + 1)[:size] - np.bincount(end, minlength=size + 1)[:size]) > 0

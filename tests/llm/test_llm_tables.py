@@ -181,6 +181,22 @@ def test_repetitive_text_is_induced_in_few_batches(monkeypatch):
     assert len(calls) == 2
 
 
+def test_reduced_text_with_many_small_buckets_is_not_induced_again(monkeypatch):
+    """An induction over buckets of a few entries goes in tiny batches: two of them here, not four."""
+    calls = []
+    scan = induced_sort._scan
+    monkeypatch.setattr(induced_sort, "_scan", lambda *a: (calls.append(len(a[0])), scan(*a)))
+    rnd = np.random.default_rng(17)
+    half = rnd.integers(1, 100_000, 140_000)
+    x = np.concatenate([half, half, [0]])
+    got = induced_sort.suffix_array(x, 100_000)
+    rank = np.empty(len(x) + 1, np.int64)
+    rank[got], rank[-1] = np.arange(len(x)), -1
+    a, b = got[:-1], got[1:]  # neighbours: the first symbol decides, or the order of what follows it
+    assert sorted(got.tolist()) == list(range(len(x)))
+    assert ((x[a] < x[b]) | (x[a] == x[b]) & (rank[a + 1] < rank[b + 1])).all()
+    assert calls == [len(x)] * 2
+
 
 def test_components(spark):
     r = random.Random(7)

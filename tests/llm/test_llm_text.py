@@ -6,7 +6,9 @@ import random
 import unicodedata
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,6 +209,24 @@ def test_passages_of_words_beside_byte_strings(spark):
     assert got[n - 7]["passage_bytes"] == len(short)
 
 
+def test_final_cut_reads_the_words_of_marked_texts_only(monkeypatch):
+    """Texts without marks are not split into words again, and no hashes are made for the others."""
+    texts = [b"no marks here, " * 20, b"x, a b  c d", b"none", "é a b c".encode(), b""]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    spans = [np.array(p, np.int64).tobytes() for p in ([[0, 1], [3, 5]], [[2, 3]])]
+    kind = pa.list_(pa.struct([("first", pa.int64()), ("starts", pa.int64()), ("spans", pa.binary())]))
+    pieces = pa.array([[], [{"first": 0, "starts": 9, "spans": spans[0]}], None,
+                       [{"first": 0, "starts": 1, "spans": None}, {"first": 0, "starts": 9, "spans": spans[1]}], []], kind)
+    read, tokens = [], common.tokens
+    monkeypatch.setattr(common, "tokens", lambda data, offsets: (read.append(len(data)), tokens(data, offsets))[1])
+    monkeypatch.setattr(common, "prefix_hash", None)
+    cuts = suffix_dedup._cuts(pieces, np.zeros_like(offsets), 3)  # passages of two words: entries 0 to 2, 2 to 4, ...
+    covered = suffix_dedup._covered(data, offsets, (0, 5), cuts, 2)
+    got = [bytes(np.where(covered[a:z], 42, data[a:z]).astype(np.uint8)) for a, z in zip(offsets[:-1], offsets[1:], strict=True)]
+    assert got == [texts[0], b"**** **** d", b"none", b"****** c", b""]
+    assert read == [len(texts[1]) + len(texts[3])]
+
+
 def test_pipeline_cuts_51_short_words_and_keeps_50(spark):
     r = random.Random(6)
     short, shorter, whole = (" ".join(r.choices("abcdefghijkl", k=k)) for k in (51, 50, 60))
